@@ -4,20 +4,53 @@ Every callable takes ``(spark, sf_dir)`` and returns a DataFrame whose
 column names and types match the DuckDB statement of the same name in
 ``hourmill.plans.oracle``. Timestamps leave as TIMESTAMP_NTZ (DuckDB's
 TIMESTAMP); inside the library they are UTC ``TimestampType``.
+
+Queries that write use a fresh folder under the shared checkpoint root.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourmill.functions.names import pick, prefix_columns, require, snake_columns
+from hourmill.functions.timekeys import day_of, hash_key, parse_ts, snapshot_name, time_policy
+from hourmill.operators.mart import chart as chart_op
+from hourmill.operators.mart import default_sums as default_sums_op
+from hourmill.operators.mart import preview as preview_op
+from hourmill.operators.mart import relationship as relationship_op
+from hourmill.operators.quality import dedupe_latest, non_null
+from hourmill.operators.reshape import record_rows, zip_rows
 from hourmill.operators.trailing import trailing_mean
 from hourmill.plans import testbed as tb
-from hourmill.plans.gold import GoldRules, gold_frame
-from hourmill.session import ensure_utc
+from hourmill.plans.gold import GoldRules, gold_frame, high_water_mark
+from hourmill.plans.pipeline import read_gold, run
+from hourmill.plans.runlog import append_events, ensure_event_table, run_summary
+from hourmill.plans.silver import read_silver, silver_frame
+from hourmill.session import ensure_utc, scratch_path
+from hourmill.sinks.tables import (
+    read_named,
+    read_table,
+    replace_named,
+    replace_table,
+    upsert_named,
+    upsert_path,
+)
+from hourmill.sources.snapshots import land_snapshots, read_snapshots, trailing_extract
+from hourmill.spec import default_spec
 
 TESTBED_RULES = GoldRules(rolling_hours=3, wind_threshold=tb.TESTBED_WIND_THRESHOLD)
+# Fixed run date used by the extract-window and upsert fixtures (inside the
+# driver data's 2024-01-01 .. 2024-01-30 range at every scale factor).
+RUN_DATE = dt.date(2024, 1, 20)
+GOLD_COLUMNS = [
+    "timestamp", "price", "avg_price_last_3h", "pct_vs_3h_avg",
+    "wx_temperature_2m", "wx_wind_speed_10m", "wx_direct_radiation",
+    "aq_carbon_monoxide", "aq_nitrogen_dioxide", "aq_pm10", "label",
+]
 
 
 def ntz(df: DataFrame) -> DataFrame:
@@ -32,17 +65,364 @@ def ntz(df: DataFrame) -> DataFrame:
     )
 
 
-def gold_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold from the events stand-in series, computed in memory."""
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    ev = tb.load(spark, sf_dir, "events")
-    gold = gold_frame(tb.price_series(ev), tb.weather_series(ev), tb.air_series(ev), TESTBED_RULES)
-    return ntz(gold)
+    return tb.load(spark, sf_dir, "events")
+
+
+def _gold_mem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir)
+    return gold_frame(
+        tb.price_series(ev), tb.weather_series(ev), tb.air_series(ev), TESTBED_RULES, dedupe_inputs=False
+    )
+
+
+# ------------------------------------------------------------------ gold
+
+
+def gold_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold from the events stand-in series, in memory."""
+    return ntz(_gold_mem(spark, sf_dir))
 
 
 def trailing_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trailing 3-hour mean of ``value`` over every event (one series, raw rows)."""
-    ensure_utc(spark)
-    ev = tb.load(spark, sf_dir, "events").select("event_id", "ts", "value")
-    out = trailing_mean(ev, "value", "avg_value_last_3h", ts="ts", hours=3, count_out="n_prev_3h")
+    """Trailing 3-hour mean of ``value`` over every event row."""
+    ev = _events(spark, sf_dir).select("event_id", "ts", "value")
+    return ntz(trailing_mean(ev, "value", "avg_value_last_3h", ts="ts", hours=3, count_out="n_prev_3h"))
+
+
+def recompute_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """High-water mark of gold and the recompute start (HWM - 6 h)."""
+    gold = _gold_mem(spark, sf_dir)
+    out = gold.agg(F.max("timestamp").alias("hwm")).select(
+        "hwm", (F.col("hwm") - F.make_dt_interval(hours=F.lit(6))).alias("start_ts")
+    )
+    return ntz(out)
+
+
+# ------------------------------------------------------------------ reshape
+
+
+def zip_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parallel arrays (index, embedding) to one row per position."""
+    emb = tb.load(spark, sf_dir, "embeddings")
+    doc = emb.select(
+        "vec_id",
+        "label",
+        F.struct(
+            F.sequence(F.lit(0), F.size("embedding") - 1).alias("idx"), F.col("embedding").alias("value")
+        ).alias("hourly"),
+    )
+    rows = zip_rows(doc, "hourly", ["idx", "value"])
+    return rows.select("vec_id", "label", F.col("idx").cast(T.LongType()).alias("idx"), "value")
+
+
+def zip_rows_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10 padding: per order, line numbers beside quantities cut one short."""
+    li = tb.load(spark, sf_dir, "lineitem")
+    per_order = li.groupBy("l_orderkey").agg(
+        F.sort_array(F.collect_list(F.struct("l_linenumber", "l_quantity"))).alias("e")
+    )
+    doc = per_order.select(
+        "l_orderkey",
+        F.struct(
+            F.transform("e", lambda x: x["l_linenumber"]).alias("line"),
+            F.slice(F.transform("e", lambda x: x["l_quantity"]), 1, F.size("e") - 1).alias("qty"),
+        ).alias("cols"),
+    )
+    return zip_rows(doc, "cols", ["line", "qty"])
+
+
+def explode_records_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as price documents (array of records + typed metadata)."""
+    iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    orders = tb.load(spark, sf_dir, "orders")
+    li = tb.load(spark, sf_dir, "lineitem")
+    recs = li.groupBy("l_orderkey").agg(
+        F.collect_list(
+            F.struct(
+                F.col("l_extendedprice").alias("price"),
+                F.date_format("l_shipdate", iso).alias("readingDate"),
+            )
+        ).alias("Prices")
+    )
+    docs = orders.join(recs, orders["o_orderkey"] == recs["l_orderkey"], "left").select(
+        "o_orderkey",
+        "Prices",
+        F.col("o_totalprice").alias("average"),
+        F.date_format("o_orderdate", iso).alias("fromDate"),
+        F.date_format(F.col("o_orderdate") + F.make_dt_interval(days=F.lit(1)), iso).alias("tillDate"),
+        F.lit(tb.ENERGY_INTERVAL_TYPE).alias("intervalType"),
+    )
+    rows = record_rows(
+        docs,
+        array_col="Prices",
+        fields={"timestamp": "readingDate", "price": "price"},
+        keep={
+            "order_key": "o_orderkey",
+            "from_date": parse_ts(F.col("fromDate")),
+            "till_date": parse_ts(F.col("tillDate")),
+            "interval_type": F.col("intervalType").cast(T.LongType()),
+            "average": F.col("average").cast(T.DoubleType()),
+        },
+    )
+    return ntz(rows)
+
+
+# ------------------------------------------------------------------ sources
+
+
+def _weather_ds(root: str):
+    return default_spec(root, RUN_DATE).dataset("weather")
+
+
+def snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land overlapping weather snapshots, read them all, newest wins."""
+    ev = _events(spark, sf_dir)
+    root = scratch_path(spark, "snapshot-read")
+    ds = _weather_ds(root)
+    docs = tb.hourly_documents(tb.weather_series(ev), ["temperature_2m", "wind_speed_10m", "direct_radiation"], "Europe/Amsterdam")
+    land_snapshots(docs, ds.bronze)
+    raw = read_snapshots(spark, ds.bronze, ds.schema)
+    return ntz(silver_frame(raw, ds))
+
+
+def trailing_extract_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a fetch on the run date returns, tagged with its snapshot name."""
+    ev = _events(spark, sf_dir).select("event_id", "ts", "event_type", "value")
+    out = trailing_extract(ev, "ts", RUN_DATE, 7)
+    return out.withColumn("snapshot", F.lit(snapshot_name(RUN_DATE, 7)))
+
+
+def snake_columns_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messy source names cleaned to snake_case; one column dropped."""
+    cu = tb.load(spark, sf_dir, "customer")
+    messy = cu.select(
+        F.col("c_custkey").alias(" C CustKey "),
+        F.col("c_name").alias("C-Name!!"),
+        F.col("c_nationkey").alias("c  NationKey"),
+        F.col("c_acctbal").alias("Acct.Bal ($)"),
+        F.col("c_mktsegment").alias("__MKT Segment__"),
+    )
+    return snake_columns(messy).drop("c_nationkey")
+
+
+def pick_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep wanted columns that exist, require keys, prefix non-keys."""
+    orders = tb.load(spark, sf_dir, "orders")
+    require(orders, ["o_orderkey"], "orders")
+    wanted = ["o_orderkey", "o_custkey", "o_missing", "o_totalprice", "o_orderdate", "o_custkey"]
+    return ntz(prefix_columns(pick(orders, wanted), "ord_", keys=("o_orderkey",)))
+
+
+# ------------------------------------------------------------------ scalar functions
+
+
+def hash_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MD5 over text parts joined by '||', NULL parts as ''."""
+    ev = _events(spark, sf_dir)
+    parts = [F.col("ts"), F.col("user_id"), F.when(F.col("event_type") != "error", F.col("event_type"))]
+    return ev.select("event_id", hash_key(parts).alias("hk"))
+
+
+def utc_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times as Amsterdam wall-clock text, parsed and shifted to UTC."""
+    ev = _events(spark, sf_dir)
+    local = ev.select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts_utc"))
+    out = time_policy(local, "ts_utc", parse=True, to_utc=True, zone="Europe/Amsterdam")
     return ntz(out)
+
+
+def date_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 K1: events written partitioned by date, read back, counted per date."""
+    ev = _events(spark, sf_dir)
+    path = scratch_path(spark, "date-partition")
+    replace_table(ev.withColumn("date", day_of(F.col("ts"))), path, ["date"])
+    back = read_table(spark, path)
+    return back.groupBy("date").agg(F.count(F.lit(1)).alias("n_events"), F.max("value").alias("max_value"))
+
+
+def malformed_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text times, some malformed (error events carry their JSON), parsed; bad dropped."""
+    ev = _events(spark, sf_dir)
+    text = F.when(F.col("event_type") == "error", F.col("props")).otherwise(F.col("ts").cast("string"))
+    parsed = ev.select("event_id", parse_ts(text).alias("ts_parsed"))
+    return ntz(non_null(parsed, "ts_parsed"))
+
+
+# ------------------------------------------------------------------ quality
+
+
+def dedupe_latest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: newest event per (hour, event type), deterministic survivor."""
+    ev = _events(spark, sf_dir).select(
+        F.date_trunc("hour", "ts").cast(T.TimestampType()).alias("hour"), "event_type", "ts", "event_id", "value"
+    )
+    return ntz(dedupe_latest(ev, ["hour", "event_type"], newest=["ts", "event_id"]))
+
+
+# ------------------------------------------------------------------ sinks / upsert
+
+
+def _silver_like(series: DataFrame, value: str) -> DataFrame:
+    out = series.select("timestamp", F.col(value).alias("value"))
+    return out.withColumn("date", day_of(F.col("timestamp"))).withColumn("hk", hash_key(["timestamp"]))
+
+
+def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    ev = _events(spark, sf_dir)
+    target = _silver_like(tb.weather_series(ev), "wind_speed_10m")
+    batch = _silver_like(tb.price_series(trailing_extract(ev, "ts", RUN_DATE, 7)), "price")
+    return target, batch
+
+
+def _read_upserted(df: DataFrame) -> DataFrame:
+    return ntz(df.select("timestamp", "value", "date", "hk"))
+
+
+def upsert_path_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Click base table, a 7-day view batch upserted by key."""
+    target, batch = _upsert_inputs(spark, sf_dir)
+    path = scratch_path(spark, "upsert-path")
+    replace_table(target, path, ["date"])
+    upsert_path(spark, batch, path, ["hk"], ["date"])
+    return _read_upserted(read_table(spark, path))
+
+
+def upsert_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a catalog table."""
+    target, batch = _upsert_inputs(spark, sf_dir)
+    path = scratch_path(spark, "upsert-table")
+    name = "hm_" + path.rsplit("-", 1)[-1]
+    assert read_named(spark, name) is None
+    replace_named(spark, target, name, path, ["date"])
+    upsert_named(spark, batch, name, ["hk"], path, ["date"])
+    return _read_upserted(spark.table(name))
+
+
+def upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batch upserted twice leaves the table as after once."""
+    target, batch = _upsert_inputs(spark, sf_dir)
+    path = scratch_path(spark, "upsert-twice")
+    replace_table(target, path, ["date"])
+    upsert_path(spark, batch, path, ["hk"], ["date"])
+    upsert_path(spark, batch, path, ["hk"], ["date"])
+    return _read_upserted(read_table(spark, path))
+
+
+def read_silver_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver read from a lower time bound (date pruning + pushdown)."""
+    ev = _events(spark, sf_dir)
+    path = scratch_path(spark, "silver-bound")
+    replace_table(_silver_like(tb.price_series(ev), "price"), path, ["date"])
+    out = read_silver(spark, path, dt.datetime(2024, 1, 20, 6, 0, 0))
+    return ntz(out.select("timestamp", "value", "date", "hk"))
+
+
+# ------------------------------------------------------------------ pipeline
+
+
+def _land_and_spec(spark: SparkSession, sf_dir: str, label: str):
+    ev = _events(spark, sf_dir)
+    root = scratch_path(spark, label)
+    tb.land_bronze(spark, ev, root)
+    spec = default_spec(root, RUN_DATE, rules=TESTBED_RULES)
+    return spec
+
+
+def _gold_out(spark: SparkSession, spec) -> DataFrame:
+    return ntz(read_gold(spark, spec).select(*GOLD_COLUMNS))
+
+
+def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed JSON -> silver -> gold (full refresh)."""
+    spec = _land_and_spec(spark, sf_dir, "e2e").but(load_mode="full_refresh")
+    run(spark, spec)
+    return _gold_out(spark, spec)
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rebuild as of day 20, then catch up incrementally; equals full refresh."""
+    spec = _land_and_spec(spark, sf_dir, "incremental")
+    cut = snapshot_name(RUN_DATE, 7)
+    run(spark, spec.but(load_mode="full_refresh", until=cut))
+    nxt = snapshot_name(RUN_DATE + dt.timedelta(days=1), 7)
+    run(spark, spec.but(load_mode="incremental", since=nxt))
+    return _gold_out(spark, spec)
+
+
+# ------------------------------------------------------------------ mart
+
+
+def chart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 L1: SUM(avg_price_last_3h) per price, largest first."""
+    return chart_op(_gold_mem(spark, sf_dir))
+
+
+def default_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: default SUM of every numeric gold column per label."""
+    return default_sums_op(_gold_mem(spark, sf_dir), ["label"])
+
+
+def relationship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold <-> air quality one-to-one on timestamp (full outer)."""
+    ev = _events(spark, sf_dir)
+    return ntz(relationship_op(_gold_mem(spark, sf_dir), tb.air_series(ev), "timestamp", "air_"))
+
+
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 1000 gold rows by timestamp."""
+    return ntz(preview_op(_gold_mem(spark, sf_dir), 1000, ["timestamp"]))
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as log rows, appended, summarised per level/step."""
+    ev = _events(spark, sf_dir)
+    rows = ev.select(
+        F.col("ts").cast(T.TimestampType()).alias("event_ts"),
+        F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO").alias("level"),
+        F.lit("events").alias("logger"),
+        F.lit("").alias("notebook_name"),
+        F.lit("").alias("pipeline_job_id"),
+        F.lit("").alias("activity_run_id"),
+        F.date_format("ts", "yyyy-MM-dd").alias("run_date"),
+        F.col("event_type").alias("dataset"),
+        F.col("event_type").alias("step"),
+        F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("message"),
+        F.to_json(F.struct("value", "user_id")).alias("extra_json"),
+    )
+    path = scratch_path(spark, "run-log")
+    name = "hm_log_" + path.rsplit("-", 1)[-1]
+    ensure_event_table(spark, name, path)
+    append_events(rows, path)
+    return run_summary(spark, path)
+
+
+REGISTRY = {
+    "gold_flag": gold_flag,
+    "trailing_avg": trailing_avg,
+    "zip_rows": zip_rows_q,
+    "zip_rows_ragged": zip_rows_ragged,
+    "explode_records": explode_records_q,
+    "snapshot_read": snapshot_read,
+    "trailing_extract": trailing_extract_q,
+    "snake_columns": snake_columns_q,
+    "pick_columns": pick_columns,
+    "hash_key": hash_key_q,
+    "utc_policy": utc_policy,
+    "date_partition": date_partition,
+    "malformed_time": malformed_time,
+    "dedupe_latest": dedupe_latest_q,
+    "upsert_path": upsert_path_q,
+    "upsert_table": upsert_table_q,
+    "upsert_twice": upsert_twice,
+    "recompute_start": recompute_start,
+    "gold_incremental": gold_incremental,
+    "read_silver_bound": read_silver_bound,
+    "chart": chart,
+    "default_sums": default_sums,
+    "relationship": relationship,
+    "preview": preview,
+    "run_log": run_log,
+    "end_to_end": end_to_end,
+}

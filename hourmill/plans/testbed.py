@@ -69,3 +69,78 @@ def air_series(events: DataFrame) -> DataFrame:
             F.max("value").alias("pm10"),
         )
     )
+
+
+# ------------------------------------------------------------ bronze documents
+#
+# Each run date d has one snapshot per feed covering the trailing extract
+# window [d - 7 days, d + 1 day), named ``<d-7>_<d>`` like a landed fetch.
+# An hour therefore appears in the snapshots of eight run dates. Built in
+# one pass: every hourly row is copied to its eight run dates (explode of
+# a date sequence), then grouped per run date into one document of at most
+# 8 * 24 entries.
+
+ENERGY_INTERVAL_TYPE = 4  # fixed: hourly interval code carried by price documents
+
+
+def _with_run_dates(series: DataFrame, days: int = 7) -> DataFrame:
+    day = F.to_date(F.col("timestamp"))
+    return series.withColumn("_run_date", F.explode(F.sequence(day, F.date_add(day, days))))
+
+
+def _snapshot(days: int = 7):
+    from hourmill.functions.timekeys import snapshot_name_col
+
+    return snapshot_name_col(F.col("_run_date"), days).alias("snapshot")
+
+
+def _field(name: str):
+    return lambda x: x[name]
+
+
+def hourly_documents(series: DataFrame, metrics: list[str], zone: str, days: int = 7) -> DataFrame:
+    """Struct-of-arrays documents (local wall times in ``zone``) per snapshot."""
+    local = F.date_format(F.from_utc_timestamp(F.col("timestamp"), zone), "yyyy-MM-dd'T'HH:mm")
+    entries = F.sort_array(F.collect_list(F.struct(F.col("timestamp").alias("t"), local.alias("time"), *metrics)))
+    docs = _with_run_dates(series, days).groupBy(_snapshot(days)).agg(entries.alias("_e"))
+    arrays = [F.transform("_e", _field(f)).alias(f) for f in ["time", *metrics]]
+    return docs.select(
+        F.lit(52.37).alias("latitude"),
+        F.lit(4.90).alias("longitude"),
+        F.lit(zone).alias("timezone"),
+        F.struct(*arrays).alias("hourly"),
+        "snapshot",
+    )
+
+
+def price_documents(series: DataFrame, days: int = 7) -> DataFrame:
+    """Array-of-records price documents (UTC ``readingDate``) per snapshot."""
+    iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    rec = F.struct(F.col("timestamp").alias("t"), F.col("price"), F.date_format("timestamp", iso).alias("readingDate"))
+    docs = _with_run_dates(series, days).groupBy(_snapshot(days), "_run_date").agg(
+        F.sort_array(F.collect_list(rec)).alias("_e"), F.max("price").alias("average")
+    )
+    return docs.select(
+        F.transform("_e", lambda x: F.struct(x["price"].alias("price"), x["readingDate"].alias("readingDate"))).alias("Prices"),
+        F.col("average"),
+        F.date_format(F.date_sub("_run_date", days).cast(T.TimestampType()), iso).alias("fromDate"),
+        F.date_format(F.date_add("_run_date", 1).cast(T.TimestampType()), iso).alias("tillDate"),
+        F.lit(ENERGY_INTERVAL_TYPE).cast(T.LongType()).alias("intervalType"),
+        "snapshot",
+    )
+
+
+def land_bronze(spark: SparkSession, events: DataFrame, root: str, zone: str = "Europe/Amsterdam") -> None:
+    """Land the three feeds' snapshots under ``root/bronze/<dataset>``."""
+    from hourmill.sources.snapshots import land_snapshots
+
+    base = root.rstrip("/") + "/bronze"
+    land_snapshots(
+        hourly_documents(weather_series(events), ["temperature_2m", "wind_speed_10m", "direct_radiation"], zone),
+        f"{base}/weather",
+    )
+    land_snapshots(
+        hourly_documents(air_series(events), ["carbon_monoxide", "nitrogen_dioxide", "pm10"], zone),
+        f"{base}/air_quality",
+    )
+    land_snapshots(price_documents(price_series(events)), f"{base}/energy")

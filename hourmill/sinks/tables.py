@@ -64,7 +64,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _touched(stored: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> tuple[DataFrame, int]:
+def touched_partitions(stored: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> tuple[DataFrame, int]:
     """Stored rows restricted to the partitions present in ``batch``.
 
     With one partition column the distinct values (bounded by the number
@@ -111,7 +111,7 @@ def upsert_path(
     batch = batch.select(*[batch[c].cast(stored.schema[c].dataType) for c in stored.columns])
 
     if partition_by:
-        stored, n_parts = _touched(stored, batch, partition_by)
+        stored, n_parts = touched_partitions(stored, batch, partition_by)
     else:
         n_parts = -1
     untouched_keys = stored.join(batch.select(*keys), keys, "left_anti")
