@@ -16,7 +16,8 @@ series into one task. Instead:
    hour is reduced before it is shuffled);
 2. seconds are cut into time buckets of width B >= R*3600; a second that
    lies within R hours of the next bucket is also copied there as a halo
-   row; a range window runs per (series, bucket) and only home rows are
+   row; per (series, bucket) the frame sum is the difference of two
+   running sums (before s, before s - R*3600), and only home rows are
    kept. A window partition therefore holds at most B + R*3600 distinct
    seconds no matter how many input rows fall into it;
 3. the per-second result is joined back to the rows (equi-join on series
@@ -88,12 +89,21 @@ def trailing_frame(
     copies = F.when(reach > home, F.array(home, reach)).otherwise(F.array(home))
     haloed = per_second.select("*", home.alias(_HOME), F.explode(copies).alias(_BUCKET))
 
-    frame = Window.partitionBy(*by, _BUCKET).orderBy(_SEC).rangeBetween(-width, -1)
+    # Frame sum = (everything before s) - (everything before s - R*3600):
+    # both are running frames Spark maintains incrementally, O(n) per
+    # partition, where a sliding frame re-aggregates every row's frame.
+    # Exact decimals make the subtraction exact.
+    ordered = Window.partitionBy(*by, _BUCKET).orderBy(_SEC)
+    before = ordered.rangeBetween(Window.unboundedPreceding, -1)
+    too_old = ordered.rangeBetween(Window.unboundedPreceding, -width - 1)
+    zero = F.lit(0).cast(T.DecimalType(38, scale))
+    fsum = F.coalesce(F.sum(_PSUM).over(before), zero) - F.coalesce(F.sum(_PSUM).over(too_old), zero)
+    fcnt = F.coalesce(F.sum(_PCNT).over(before), F.lit(0)) - F.coalesce(F.sum(_PCNT).over(too_old), F.lit(0))
     return haloed.select(
         *by,
         _SEC,
-        F.sum(_PSUM).over(frame).alias(_FSUM),
-        F.sum(_PCNT).over(frame).alias(_FCNT),
+        fsum.cast(T.DecimalType(38, scale)).alias(_FSUM),
+        fcnt.alias(_FCNT),
         (F.col(_BUCKET) == F.col(_HOME)).alias("_hm_is_home"),
     ).where("_hm_is_home").drop("_hm_is_home")
 

@@ -3,9 +3,9 @@
 Per dataset: read snapshots -> unnest -> snake_case names -> require keys
 -> ``date`` + MD5 key -> project -> non-null timestamp -> one row per key
 (newest snapshot wins) -> replace or upsert into the date-partitioned
-silver table. In incremental mode the earliest timestamp whose silver row
-is new or different is measured first; gold uses it to recompute every
-affected hour, not only the last few.
+silver table. The write also measures the earliest timestamp whose silver row
+is new or different (in the same job as the merge); gold uses it to
+recompute every affected hour, not only the last few.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from hourmill.functions.names import pick, require, snake_columns, snake_name
 from hourmill.functions.timekeys import day_of, hash_key
 from hourmill.operators.quality import dedupe_latest, non_null
 from hourmill.operators.reshape import apply_transform
-from hourmill.sinks.tables import read_table, table_exists, touched_partitions, write_layer
+from hourmill.sinks.tables import read_table, write_layer
 from hourmill.sources.snapshots import SNAPSHOT_COL, read_incremental, read_snapshots
 from hourmill.spec import DatasetSpec, RunSpec
 
@@ -51,33 +51,6 @@ def silver_frame(raw: DataFrame, ds: DatasetSpec, hash_col: str = "hk", sep: str
     return df.drop(SNAPSHOT_COL) if carried else df
 
 
-def earliest_change(
-    spark: SparkSession, batch: DataFrame, path: str, key: str, partition_by=("date",)
-) -> dt.datetime | None:
-    """Earliest ``timestamp`` of batch rows that are new or differ from the stored row.
-
-    Reads only the partitions the batch touches. NULL-safe comparison on
-    every value column.
-    """
-    if table_exists(spark, path):
-        stored = read_table(spark, path)
-        if partition_by:
-            stored, _ = touched_partitions(stored, batch, list(partition_by))
-        values = [c for c in batch.columns if c != key and c in stored.columns]
-        s = stored.select(key, *[F.col(c).alias(f"_old_{c}") for c in values]).withColumn("_hit", F.lit(True))
-        joined = batch.join(s, key, "left")
-        differs = F.col("_hit").isNull()
-        for c in values:
-            differs = differs | ~F.col(c).eqNullSafe(F.col(f"_old_{c}"))
-        changed = joined.where(differs)
-    else:
-        changed = batch
-    row = changed.agg(F.min(F.unix_micros(F.col("timestamp").cast(T.TimestampType()))).alias("m")).first()
-    if row is None or row["m"] is None:
-        return None
-    return dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=int(row["m"]))
-
-
 def read_bronze(spark: SparkSession, spec: RunSpec, ds: DatasetSpec) -> tuple[DataFrame, bool]:
     """Full refresh: every snapshot. Incremental: the run's snapshot (or a range)."""
     if spec.load_mode == "full_refresh" or spec.since is not None:
@@ -93,13 +66,11 @@ def build_silver(spark: SparkSession, spec: RunSpec, log=None) -> list[SilverRes
             log.add("WARNING" if fell_back else "INFO", "bronze read", ds.name, "read",
                     {"bronze": ds.bronze, "fallback": fell_back})
         df = silver_frame(raw, ds, spec.hash_col, spec.hash_sep)
-        change = None
-        if spec.load_mode == "incremental":
-            change = earliest_change(spark, df, ds.silver, spec.hash_col, ds.partition_by)
         written = write_layer(
             spark, df, ds.silver, mode=spec.load_mode, keys=[spec.hash_col],
-            merge=ds.merge, partition_by=ds.partition_by,
+            merge=ds.merge, partition_by=ds.partition_by, track="timestamp",
         )
+        change = written.earliest_change
         if log is not None:
             log.add("INFO", "silver write complete", ds.name, "write_done",
                     {"rows": written.rows, "silver": ds.silver,

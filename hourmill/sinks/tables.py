@@ -4,8 +4,8 @@ Storage is Parquet partitioned by ``date``. An upsert rewrites only the
 partitions the batch touches:
 
     touched  = partition values present in the batch
-    merged   = stored rows of touched partitions whose key is not in the
-               batch  UNION ALL  the batch
+    merged   = stored rows of touched partitions FULL OUTER JOIN the batch
+               on the keys; the batch row wins where present
     write    merged -> staging folder (shared file system)
     replace  touched partitions from staging (dynamic partition overwrite)
 
@@ -22,11 +22,13 @@ key is kept and a batch row with a NULL key is inserted, as in MERGE.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourmill.session import path_exists, remove_path, scratch_path
 
@@ -36,8 +38,10 @@ MAX_LITERAL_PARTITIONS = 5000
 
 @dataclass(frozen=True)
 class WriteResult:
-    rows: int
-    partitions: int
+    rows: int  # rows of the written batch
+    partitions: int  # touched partitions (-1 when not counted)
+    changed: int = -1  # batch rows that were new or differed from the stored row
+    earliest_change: dt.datetime | None = None  # min ``track`` column over changed rows
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -45,19 +49,42 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
-def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(label)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+def _micros_to_datetime(v) -> dt.datetime | None:
+    return None if v is None else dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=int(v))
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> WriteResult:
-    """Overwrite the whole table at ``path`` (schema included)."""
-    counted, obs = _observed(df, "replace")
-    writer = counted.write.mode("overwrite")
+def _micros(c: str):
+    return F.unix_micros(F.col(c).cast(T.TimestampType()))
+
+
+def _partitioned_writer(df: DataFrame, partition_by: Sequence[str]):
+    """Writer with one right-sized set of files per partition value.
+
+    The ``rebalance`` hint shuffles rows by the partition columns so a
+    date folder is not split into one small file per input task; AQE
+    splits an oversized (skewed) partition value and merges small ones.
+    """
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return WriteResult(rows=int(obs.get["rows"]), partitions=-1)
+        return df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+    return df.write
+
+
+def replace_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), track: str | None = None
+) -> WriteResult:
+    """Overwrite the whole table at ``path`` (schema included).
+
+    With ``track`` every row counts as changed and the earliest value of
+    that timestamp column is reported.
+    """
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if track:
+        metrics.append(F.min(_micros(track)).alias("first"))
+    obs = Observation("replace")
+    _partitioned_writer(df.observe(obs, *metrics), partition_by).mode("overwrite").parquet(path)
+    got = obs.get
+    rows = int(got["rows"])
+    return WriteResult(rows, -1, rows if track else -1, _micros_to_datetime(got.get("first")) if track else None)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -85,24 +112,56 @@ def touched_partitions(stored: DataFrame, batch: DataFrame, partition_by: Sequen
     return stored.join(parts, list(partition_by), "left_semi"), -1
 
 
+def merge_rows(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, object]:
+    """Stored rows overlaid with batch rows by key, plus a per-row "changed" flag.
+
+    One full outer join on the keys: a key present in the batch takes the
+    batch row (update or insert), otherwise the stored row stays. A batch
+    row is *changed* when its key is new or any value differs (NULL-safe).
+    Returns the merged frame (with column ``_hm_changed``) and the flag
+    expression's name.
+    """
+    keys = list(keys)
+    values = [c for c in stored.columns if c not in keys]
+    old = stored.select(*keys, *[F.col(c).alias(f"_hm_old_{c}") for c in values], F.lit(True).alias("_hm_in_store"))
+    new = batch.select(*keys, *[F.col(c).alias(f"_hm_new_{c}") for c in values], F.lit(True).alias("_hm_in_batch"))
+    j = old.join(new, keys, "full_outer")
+    in_batch = F.col("_hm_in_batch").isNotNull()
+    differs = F.col("_hm_in_store").isNull()
+    for c in values:
+        differs = differs | ~F.col(f"_hm_new_{c}").eqNullSafe(F.col(f"_hm_old_{c}"))
+    merged = j.select(
+        *[
+            F.col(c) if c in keys else F.when(in_batch, F.col(f"_hm_new_{c}")).otherwise(F.col(f"_hm_old_{c}")).alias(c)
+            for c in stored.columns
+        ],
+        in_batch.alias("_hm_in_batch"),
+        (in_batch & differs).alias("_hm_changed"),
+    )
+    return merged, "_hm_changed"
+
+
 def upsert_path(
     spark: SparkSession,
     batch: DataFrame,
     path: str,
     keys: Sequence[str],
     partition_by: Sequence[str] = ("date",),
+    track: str | None = None,
 ) -> WriteResult:
     """Update matched keys and insert new ones into the table at ``path``.
 
     Keys must determine the partition (e.g. key ``timestamp`` or its hash,
     partition ``date`` of that timestamp): only partitions present in the
     batch are rewritten. Creates the table when it does not exist yet.
+    With ``track`` (a timestamp column) the earliest changed row is
+    measured in the same job as the merge.
     """
     keys = list(keys)
     if not keys:
         raise ValueError("upsert needs at least one key column; use append_path otherwise")
     if not table_exists(spark, path):
-        return replace_table(batch, path, partition_by)
+        return replace_table(batch, path, partition_by, track)
 
     stored = read_table(spark, path)
     missing = [c for c in stored.columns if c not in batch.columns]
@@ -110,40 +169,41 @@ def upsert_path(
         raise ValueError(f"batch lacks table columns {missing}")
     batch = batch.select(*[batch[c].cast(stored.schema[c].dataType) for c in stored.columns])
 
+    n_parts = -1
     if partition_by:
         stored, n_parts = touched_partitions(stored, batch, partition_by)
-    else:
-        n_parts = -1
-    untouched_keys = stored.join(batch.select(*keys), keys, "left_anti")
-    counted, obs = _observed(batch, "upsert")
-    merged = untouched_keys.unionByName(counted)
+    merged, flag = merge_rows(stored, batch, keys)
+    metrics = [
+        F.count(F.when(F.col("_hm_in_batch"), F.lit(1))).alias("rows"),
+        F.count(F.when(F.col(flag), F.lit(1))).alias("changed"),
+    ]
+    if track:
+        metrics.append(F.min(F.when(F.col(flag), _micros(track))).alias("first"))
+    obs = Observation("upsert")
+    merged = merged.observe(obs, *metrics).drop("_hm_in_batch", flag)
 
     stage = scratch_path(spark, "upsert-stage")
     try:
-        writer = merged.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(stage)
-        rows = int(obs.get["rows"])
+        _partitioned_writer(merged, partition_by).mode("overwrite").parquet(stage)
+        got = obs.get
         staged = spark.read.parquet(stage)
         out = staged.select(*[staged[c].cast(batch.schema[c].dataType) for c in batch.columns])
-        writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
+            out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                *partition_by
+            ).parquet(path)
         else:
-            writer = out.write.mode("overwrite")
-        writer.parquet(path)
+            out.write.mode("overwrite").parquet(path)
     finally:
         remove_path(spark, stage)
-    return WriteResult(rows=rows, partitions=n_parts)
+    return WriteResult(
+        int(got["rows"]), n_parts, int(got["changed"]), _micros_to_datetime(got.get("first")) if track else None
+    )
 
 
 def append_path(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> WriteResult:
-    counted, obs = _observed(df, "append")
-    writer = counted.write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    obs = Observation("append")
+    _partitioned_writer(df.observe(obs, F.count(F.lit(1)).alias("rows")), partition_by).mode("append").parquet(path)
     return WriteResult(rows=int(obs.get["rows"]), partitions=-1)
 
 
@@ -156,6 +216,7 @@ def write_layer(
     keys: Sequence[str],
     merge: bool = True,
     partition_by: Sequence[str] = ("date",),
+    track: str | None = None,
 ) -> WriteResult:
     """Write by load mode: ``full_refresh`` replaces, ``incremental`` upserts.
 
@@ -163,12 +224,12 @@ def write_layer(
     is not read as "match everything").
     """
     if mode == "full_refresh":
-        return replace_table(df, path, partition_by)
+        return replace_table(df, path, partition_by, track)
     if mode != "incremental":
         raise ValueError(f"unknown load mode {mode!r}")
     if not merge:
         return append_path(df, path, partition_by)
-    return upsert_path(spark, df, path, keys, partition_by)
+    return upsert_path(spark, df, path, keys, partition_by, track)
 
 
 # ---------------------------------------------------------------- catalog

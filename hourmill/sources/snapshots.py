@@ -162,7 +162,7 @@ def land_snapshots(df: DataFrame, base: str, replace: bool = False) -> None:
     snapshots stay. ``replace=True`` clears the whole dataset folder first
     (the source pipeline's "delete bronze" step, opt-in).
     """
-    writer = df.write.mode("overwrite").partitionBy(SNAPSHOT_COL)
+    writer = df.hint("rebalance", SNAPSHOT_COL).write.mode("overwrite").partitionBy(SNAPSHOT_COL)
     if not replace:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.json(base)
