@@ -87,6 +87,9 @@ def read_silver(spark: SparkSession, path: str, start: dt.datetime | None = None
     derive from the timestamp predicate by itself.
     """
     df = snake_columns(read_table(spark, path))
+    # Partition columns come back last; restore the silver order (..., date, hk).
+    tail = [c for c in ("date", "hk") if c in df.columns]
+    df = df.select(*[c for c in df.columns if c not in tail], *tail)
     if start is None:
         return df
     from hourmill.functions.timekeys import time_literal

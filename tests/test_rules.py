@@ -1,0 +1,49 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from hourmill.plans.gold import GoldRules, gold_frame
+from hourmill.operators.rules import cheap_label, pct_vs
+
+
+def _series(spark, rows, schema):
+    df = spark.createDataFrame(rows, schema)
+    return df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+
+
+def test_pct_and_label_edges(spark):
+    df = spark.createDataFrame(
+        [(1.0, None, 10.0), (1.0, 0.0, 10.0), (1.0, 2.0, 6.0), (1.0, 2.0, None), (3.0, 2.0, 9.0)],
+        "price double, avg double, wind double",
+    )
+    out = df.select(
+        pct_vs(F.col("price"), F.col("avg")).alias("pct"),
+        cheap_label(F.col("price"), F.col("avg"), F.col("wind"), 6.0).alias("label"),
+    ).collect()
+    assert [r.pct for r in out] == [None, None, -0.5, -0.5, 0.5]
+    assert [r.label for r in out] == ["NORMAL", "NORMAL", "CHEAP", "NORMAL", "NORMAL"]
+
+
+def test_gold_frame_missing_weather_and_zero_average(spark):
+    energy = _series(spark, [("2024-01-01 00:00:00", -1.0), ("2024-01-01 01:00:00", 1.0),
+                             ("2024-01-01 02:00:00", 5.0), ("2024-01-01 03:00:00", 1.0)],
+                     "timestamp string, price double")
+    weather = _series(spark, [("2024-01-01 03:00:00", 1.0, 6.0, 0.0)],
+                      "timestamp string, temperature_2m double, wind_speed_10m double, direct_radiation double")
+    air = _series(spark, [("2024-01-01 00:00:00", 1.0, 2.0, 3.0)],
+                  "timestamp string, carbon_monoxide double, nitrogen_dioxide double, pm10 double")
+    g = gold_frame(energy, weather, air, GoldRules(wind_threshold=6.0)).orderBy("timestamp").collect()
+    assert [r.avg_price_last_3h for r in g] == [None, -1.0, 0.0, 5.0 / 3]
+    assert g[2].pct_vs_3h_avg is None  # average 0
+    assert [r.label for r in g] == ["NORMAL", "NORMAL", "NORMAL", "CHEAP"]  # wind == threshold is CHEAP
+    assert g[1].wx_wind_speed_10m is None and g[0].aq_pm10 == 3.0
+    assert list(g[0].asDict()) == [
+        "timestamp", "price", "avg_price_last_3h", "pct_vs_3h_avg", "wx_temperature_2m",
+        "wx_wind_speed_10m", "wx_direct_radiation", "aq_carbon_monoxide", "aq_nitrogen_dioxide",
+        "aq_pm10", "label",
+    ]
+
+
+def test_average_column_named_from_window(spark):
+    assert GoldRules(rolling_hours=5).avg_col == "avg_price_last_5h"
+    assert GoldRules(rolling_hours=5).pct_col == "pct_vs_5h_avg"
