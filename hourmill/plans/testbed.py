@@ -32,6 +32,9 @@ TESTBED_WIND_THRESHOLD = 60.0
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    from hourmill.session import ensure_utc
+
+    ensure_utc(spark)  # every derivation below assumes a UTC session
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

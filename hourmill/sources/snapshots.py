@@ -86,7 +86,7 @@ def read_source(
     return reader.load(paths if len(paths) > 1 else paths[0])
 
 
-def _with_snapshot_schema(schema: T.StructType | None) -> T.StructType | None:
+def with_snapshot_column(schema: T.StructType | None) -> T.StructType | None:
     if schema is None or SNAPSHOT_COL in schema.fieldNames():
         return schema
     return T.StructType([*schema.fields, T.StructField(SNAPSHOT_COL, T.StringType())])
@@ -105,7 +105,7 @@ def read_snapshots(
     ``since``/``until`` are snapshot names compared as text (inclusive),
     which prunes partition folders before any file is opened.
     """
-    df = read_source(spark, base, fmt, _with_snapshot_schema(schema))
+    df = read_source(spark, base, fmt, with_snapshot_column(schema))
     if since is not None:
         df = df.where(F.col(SNAPSHOT_COL) >= F.lit(since))
     if until is not None:
@@ -122,7 +122,7 @@ def read_snapshot(
 ) -> DataFrame:
     """Exactly one snapshot folder; raises AnalysisException when it is absent."""
     folder = f"{base.rstrip('/')}/{SNAPSHOT_COL}={name}"
-    return read_source(spark, folder, fmt, _with_snapshot_schema(schema), {"basePath": base})
+    return read_source(spark, folder, fmt, with_snapshot_column(schema), {"basePath": base})
 
 
 def read_incremental(
