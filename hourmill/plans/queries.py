@@ -26,7 +26,7 @@ from hourmill.operators.quality import dedupe_latest, non_null
 from hourmill.operators.reshape import record_rows, zip_rows
 from hourmill.operators.trailing import trailing_mean
 from hourmill.plans import testbed as tb
-from hourmill.plans.gold import GoldRules, gold_frame, high_water_mark
+from hourmill.plans.gold import GoldRules, gold_frame
 from hourmill.plans.pipeline import read_gold, run
 from hourmill.plans.runlog import append_events, ensure_event_table, run_summary
 from hourmill.plans.silver import read_silver, silver_frame
@@ -70,11 +70,23 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.load(spark, sf_dir, "events")
 
 
+def _stand_ins(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three hourly series from one scan of ``events``.
+
+    The hourly aggregate (hours x series, small) is checkpointed to the
+    shared checkpoint folder, so the spine, the two lookups and the
+    trailing-window branch read it instead of rescanning ``events`` each.
+    """
+    from hourmill.session import shared_root
+
+    shared_root(spark)  # make sure a checkpoint directory is set
+    hourly = tb.hourly_stand_ins(_events(spark, sf_dir)).checkpoint(eager=True)
+    return tb.split_stand_ins(hourly)
+
+
 def _gold_mem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _events(spark, sf_dir)
-    return gold_frame(
-        tb.price_series(ev), tb.weather_series(ev), tb.air_series(ev), TESTBED_RULES, dedupe_inputs=False
-    )
+    price, weather, air = _stand_ins(spark, sf_dir)
+    return gold_frame(price, weather, air, TESTBED_RULES, dedupe_inputs=False)
 
 
 # ------------------------------------------------------------------ gold
@@ -366,8 +378,9 @@ def default_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def relationship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold <-> air quality one-to-one on timestamp (full outer)."""
-    ev = _events(spark, sf_dir)
-    return ntz(relationship_op(_gold_mem(spark, sf_dir), tb.air_series(ev), "timestamp", "air_"))
+    price, weather, air = _stand_ins(spark, sf_dir)
+    gold = gold_frame(price, weather, air, TESTBED_RULES, dedupe_inputs=False)
+    return ntz(relationship_op(gold, air, "timestamp", "air_"))
 
 
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,36 +42,64 @@ def _hour(ts: str = "ts"):
     return F.date_trunc("hour", F.col(ts)).cast(T.TimestampType()).alias("timestamp")
 
 
-def price_series(events: DataFrame) -> DataFrame:
-    return (
-        events.where(F.col("event_type") == PRICE_EVENT)
-        .groupBy(_hour())
-        .agg(F.max("value").alias("price"))
-    )
+def hourly_stand_ins(events: DataFrame) -> DataFrame:
+    """All three series' hourly aggregates in one scan and one shuffle.
 
+    One conditional aggregate per hour over the three event types (the
+    type filter reaches the Parquet scan). The per-series frames below are
+    projections of this one plan, so Spark computes it once and reuses the
+    exchange instead of scanning ``events`` per series.
+    """
+    t = F.col("event_type")
+    v = F.col("value")
+
+    def of(kind):
+        return F.when(t == kind, v)
+
+    def n(kind):
+        return F.count(F.when(t == kind, F.lit(1)))
 
-def weather_series(events: DataFrame) -> DataFrame:
     return (
-        events.where(F.col("event_type") == WEATHER_EVENT)
+        events.where(t.isin(PRICE_EVENT, WEATHER_EVENT, AIR_EVENT))
         .groupBy(_hour())
         .agg(
-            F.min("value").alias("temperature_2m"),
-            F.max("value").alias("wind_speed_10m"),
-            F.count(F.lit(1)).cast(T.DoubleType()).alias("direct_radiation"),
+            n(PRICE_EVENT).alias("_n_price"),
+            F.max(of(PRICE_EVENT)).alias("price"),
+            n(WEATHER_EVENT).alias("_n_weather"),
+            F.min(of(WEATHER_EVENT)).alias("temperature_2m"),
+            F.max(of(WEATHER_EVENT)).alias("wind_speed_10m"),
+            n(AIR_EVENT).alias("_n_air"),
+            F.min(of(AIR_EVENT)).alias("carbon_monoxide"),
+            F.max(of(AIR_EVENT)).alias("pm10"),
         )
     )
 
 
-def air_series(events: DataFrame) -> DataFrame:
-    return (
-        events.where(F.col("event_type") == AIR_EVENT)
-        .groupBy(_hour())
-        .agg(
-            F.min("value").alias("carbon_monoxide"),
-            F.count(F.lit(1)).cast(T.DoubleType()).alias("nitrogen_dioxide"),
-            F.max("value").alias("pm10"),
-        )
+def split_stand_ins(hourly: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(price, weather, air) series from ``hourly_stand_ins``; an hour belongs to
+    a series when it has at least one event of that type."""
+    price = hourly.where(F.col("_n_price") > 0).select("timestamp", "price")
+    weather = hourly.where(F.col("_n_weather") > 0).select(
+        "timestamp", "temperature_2m", "wind_speed_10m",
+        F.col("_n_weather").cast(T.DoubleType()).alias("direct_radiation"),
+    )
+    air = hourly.where(F.col("_n_air") > 0).select(
+        "timestamp", "carbon_monoxide",
+        F.col("_n_air").cast(T.DoubleType()).alias("nitrogen_dioxide"), "pm10",
     )
+    return price, weather, air
+
+
+def price_series(events: DataFrame) -> DataFrame:
+    return split_stand_ins(hourly_stand_ins(events))[0]
+
+
+def weather_series(events: DataFrame) -> DataFrame:
+    return split_stand_ins(hourly_stand_ins(events))[1]
+
+
+def air_series(events: DataFrame) -> DataFrame:
+    return split_stand_ins(hourly_stand_ins(events))[2]
 
 
 # ------------------------------------------------------------ bronze documents

@@ -6,15 +6,17 @@ partitions the batch touches:
     touched  = partition values present in the batch
     merged   = stored rows of touched partitions FULL OUTER JOIN the batch
                on the keys; the batch row wins where present
-    write    merged -> staging folder (shared file system)
-    replace  touched partitions from staging (dynamic partition overwrite)
-
-Reading and overwriting the same files in one job is avoided on purpose:
-the staging copy is complete before any stored partition is replaced, so
-a lost executor during the merge only reruns tasks against unchanged
-input. The final per-partition swap is not transactional (Parquet has no
-log); a failure inside it leaves some partitions old and some new, and
-re-running the same batch repairs it because the upsert is idempotent.
+    write    merged -> touched partitions (dynamic partition overwrite)
+
+The merge reads the touched partitions and overwrites them in the same
+job. That is safe with dynamic partition overwrite: tasks write into the
+job's staging folder and the touched partition folders are swapped only
+at job commit, after every task (retries and recomputed parent stages
+included) has finished reading the old files. A lost executor therefore
+only reruns tasks against unchanged input. The swap itself is not
+transactional (Parquet has no log); a driver failure inside it can leave
+some partitions old and some new, and re-running the same batch repairs
+it because the upsert is idempotent.
 
 Equi-join matching means NULL keys never match: a stored row with a NULL
 key is kept and a batch row with a NULL key is inserted, as in MERGE.
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourmill.session import path_exists, remove_path, scratch_path
+from hourmill.session import path_exists
 
 # Above this many touched partitions the IN-list is replaced by a semi join.
 MAX_LITERAL_PARTITIONS = 5000
@@ -182,20 +184,12 @@ def upsert_path(
     obs = Observation("upsert")
     merged = merged.observe(obs, *metrics).drop("_hm_in_batch", flag)
 
-    stage = scratch_path(spark, "upsert-stage")
-    try:
-        _partitioned_writer(merged, partition_by).mode("overwrite").parquet(stage)
-        got = obs.get
-        staged = spark.read.parquet(stage)
-        out = staged.select(*[staged[c].cast(batch.schema[c].dataType) for c in batch.columns])
-        if partition_by:
-            out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                *partition_by
-            ).parquet(path)
-        else:
-            out.write.mode("overwrite").parquet(path)
-    finally:
-        remove_path(spark, stage)
+    if partition_by:
+        writer = _partitioned_writer(merged, partition_by).option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = merged.write
+    writer.mode("overwrite").parquet(path)
+    got = obs.get
     return WriteResult(
         int(got["rows"]), n_parts, int(got["changed"]), _micros_to_datetime(got.get("first")) if track else None
     )
