@@ -225,4 +225,5 @@ def statements() -> dict[str, str]:
         "preview": PREVIEW,
         "run_log": RUN_LOG,
         "end_to_end": gold,
+        "streaming_ingest": gold,
     }

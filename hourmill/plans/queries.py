@@ -363,6 +363,22 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold_out(spark, spec)
 
 
+def streaming_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4 (streaming form): snapshots landed in two waves, each ingested by the
+    file stream (availableNow), then incremental gold; equals full refresh."""
+    from hourmill.streaming.ingest import run_streaming
+
+    ev = _events(spark, sf_dir)
+    root = scratch_path(spark, "streaming")
+    spec = default_spec(root, RUN_DATE, "incremental", rules=TESTBED_RULES)
+    checkpoints = root + "/_streams"
+    tb.land_bronze(spark, ev, root, until=snapshot_name(RUN_DATE, 7))
+    run_streaming(spark, spec, checkpoints)
+    tb.land_bronze(spark, ev, root, since=snapshot_name(RUN_DATE + dt.timedelta(days=1), 7))
+    run_streaming(spark, spec, checkpoints)
+    return _gold_out(spark, spec)
+
+
 # ------------------------------------------------------------------ mart
 
 
@@ -438,4 +454,5 @@ REGISTRY = {
     "preview": preview,
     "run_log": run_log,
     "end_to_end": end_to_end,
+    "streaming_ingest": streaming_ingest,
 }

@@ -161,17 +161,36 @@ def price_documents(series: DataFrame, days: int = 7) -> DataFrame:
     )
 
 
-def land_bronze(spark: SparkSession, events: DataFrame, root: str, zone: str = "Europe/Amsterdam") -> None:
-    """Land the three feeds' snapshots under ``root/bronze/<dataset>``."""
+def land_bronze(
+    spark: SparkSession,
+    events: DataFrame,
+    root: str,
+    zone: str = "Europe/Amsterdam",
+    since: str | None = None,
+    until: str | None = None,
+) -> None:
+    """Land the three feeds' snapshots under ``root/bronze/<dataset>``.
+
+    ``since``/``until`` (snapshot names, inclusive) land only part of the
+    history, e.g. to simulate fetches arriving over several runs.
+    """
     from hourmill.sources.snapshots import land_snapshots
 
+    def window(docs: DataFrame) -> DataFrame:
+        if since is not None:
+            docs = docs.where(F.col("snapshot") >= since)
+        if until is not None:
+            docs = docs.where(F.col("snapshot") <= until)
+        return docs
+
     base = root.rstrip("/") + "/bronze"
+    price, weather, air = split_stand_ins(hourly_stand_ins(events))
     land_snapshots(
-        hourly_documents(weather_series(events), ["temperature_2m", "wind_speed_10m", "direct_radiation"], zone),
+        window(hourly_documents(weather, ["temperature_2m", "wind_speed_10m", "direct_radiation"], zone)),
         f"{base}/weather",
     )
     land_snapshots(
-        hourly_documents(air_series(events), ["carbon_monoxide", "nitrogen_dioxide", "pm10"], zone),
+        window(hourly_documents(air, ["carbon_monoxide", "nitrogen_dioxide", "pm10"], zone)),
         f"{base}/air_quality",
     )
-    land_snapshots(price_documents(price_series(events)), f"{base}/energy")
+    land_snapshots(window(price_documents(price)), f"{base}/energy")
