@@ -70,3 +70,9 @@ def relationship(
 def preview(df: DataFrame, n: int = 1000, order_by: Sequence[str] = ("timestamp",)) -> DataFrame:
     """The first ``n`` rows in a stated order (top-k, not an arbitrary sample)."""
     return df.orderBy(*order_by).limit(n)
+
+
+def preview_sql(spark, table: str, n: int = 1000, order_by: Sequence[str] = ("timestamp",)) -> DataFrame:
+    """The same through SQL over a catalog table or view (ad-hoc inspection)."""
+    order = ", ".join(f"`{c}`" for c in order_by)
+    return spark.sql(f"SELECT * FROM {table} ORDER BY {order} LIMIT {int(n)}")

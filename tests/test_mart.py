@@ -38,3 +38,11 @@ def test_relationship_full_outer_and_uniqueness(spark):
 def test_preview_is_ordered_top_n(spark):
     got = [r.price for r in preview(_gold(spark), 2).collect()]
     assert got == [1.0, 2.0]
+
+
+def test_preview_sql_over_a_view(spark):
+    from hourmill.operators.mart import preview_sql
+
+    _gold(spark).createOrReplaceTempView("gold_preview_view")
+    got = [r.price for r in preview_sql(spark, "gold_preview_view", 3).collect()]
+    assert got == [1.0, 2.0, 1.0]
