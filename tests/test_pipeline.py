@@ -109,3 +109,21 @@ def test_gold_catalog_table(spark, scratch):
     _land(spark, spec, dt.date(2024, 1, 10), {t: 1.0 for t in _hours(dt.datetime(2024, 1, 10), 4)})
     run(spark, spec)
     assert spark.sql(f"SELECT count(*) AS n FROM {name}").collect()[0].n == 4
+
+
+def test_log_event_and_buffer(spark, scratch):
+    from hourmill.plans.runlog import LOG_SCHEMA, RunLog, ensure_event_table, log_event
+
+    path = scratch + "/log"
+    name = "log_" + scratch.rsplit("-", 1)[-1]
+    ensure_event_table(spark, name, path)
+    assert log_event(spark, path, "t", "warning", "one", "energy", "read", {"path": "x"}) == 1
+    buf = RunLog(spark, path, "t", "2024-01-20")
+    buf.add("INFO", "a", step="s")
+    buf.add("bogus", "b", step="s")  # unknown level falls back to INFO
+    assert buf.flush() == 2 and buf.flush() == 0
+    spark.catalog.refreshTable(name)
+    rows = spark.table(name).collect()
+    assert len(rows) == 3 and spark.table(name).schema == LOG_SCHEMA
+    assert {(r.level, r.step) for r in rows} == {("WARNING", "read"), ("INFO", "s")}
+    assert [r.extra_json for r in rows if r.level == "WARNING"] == ['{"path": "x"}']

@@ -47,3 +47,21 @@ def test_gold_frame_missing_weather_and_zero_average(spark):
 def test_average_column_named_from_window(spark):
     assert GoldRules(rolling_hours=5).avg_col == "avg_price_last_5h"
     assert GoldRules(rolling_hours=5).pct_col == "pct_vs_5h_avg"
+
+
+def test_gold_per_series_key(spark):
+    """Two locations: joins, window and labels never mix series."""
+    e_rows, w_rows = [], []
+    for loc, base in (("ams", 10.0), ("rtm", 100.0)):
+        for h in range(5):
+            e_rows.append((loc, f"2024-01-01 0{h}:00:00", base + h))
+            w_rows.append((loc, f"2024-01-01 0{h}:00:00", 1.0, 7.0 if loc == "ams" else 1.0, 0.0))
+    energy = _series(spark, e_rows, "location string, timestamp string, price double")
+    weather = _series(spark, w_rows, "location string, timestamp string, temperature_2m double, wind_speed_10m double, direct_radiation double")
+    air = _series(spark, [("ams", "2024-01-01 00:00:00", 1.0)], "location string, timestamp string, pm10 double")
+    g = gold_frame(energy, weather, air, GoldRules(wind_threshold=6.0), keys=("location", "timestamp"))
+    got = {(r.location, r.timestamp.hour): (r.avg_price_last_3h, r.label) for r in g.collect()}
+    assert got[("ams", 0)] == (None, "NORMAL") and got[("rtm", 0)] == (None, "NORMAL")
+    assert got[("ams", 3)][0] == 11.0 and got[("rtm", 3)][0] == 101.0
+    assert got[("ams", 4)][1] == "NORMAL" and got[("rtm", 4)][1] == "NORMAL"  # rising prices: never cheap
+    assert g.columns[:3] == ["location", "timestamp", "price"] and len(got) == 10
