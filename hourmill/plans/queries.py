@@ -130,7 +130,11 @@ def zip_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zip_rows_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P10 padding: per order, line numbers beside quantities cut one short."""
+    """P10 padding: per order, line numbers beside quantities cut one short.
+
+    The documents are built by grouping the lines of an order; an order has
+    at most seven lines, so each array (and each group) stays small.
+    """
     li = tb.load(spark, sf_dir, "lineitem")
     per_order = li.groupBy("l_orderkey").agg(
         F.sort_array(F.collect_list(F.struct("l_linenumber", "l_quantity"))).alias("e")
@@ -146,7 +150,11 @@ def zip_rows_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def explode_records_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as price documents (array of records + typed metadata)."""
+    """Orders as price documents (array of records + typed metadata).
+
+    One document per order (at most seven lines, so arrays stay small);
+    orders without lines get a NULL array and yield no rows.
+    """
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     orders = tb.load(spark, sf_dir, "orders")
     li = tb.load(spark, sf_dir, "lineitem")

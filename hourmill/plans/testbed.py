@@ -109,7 +109,8 @@ def air_series(events: DataFrame) -> DataFrame:
 # An hour therefore appears in the snapshots of eight run dates. Built in
 # one pass: every hourly row is copied to its eight run dates (explode of
 # a date sequence), then grouped per run date into one document of at most
-# 8 * 24 entries.
+# 8 * 24 entries per series: the group size is fixed by the extract window,
+# not by the data volume.
 
 ENERGY_INTERVAL_TYPE = 4  # fixed: hourly interval code carried by price documents
 
