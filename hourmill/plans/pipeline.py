@@ -60,7 +60,10 @@ def build_gold(
         spark, gold, g.path, mode=spec.load_mode, keys=list(g.keys), merge=g.merge, partition_by=g.partition_by
     )
     if g.table:
-        register_table(spark, g.table, g.path, partitioned=bool(g.partition_by))
+        register_table(
+            spark, g.table, g.path, partitioned=bool(g.partition_by),
+            replace_schema=spec.load_mode == "full_refresh",
+        )
     if log is not None:
         log.add("INFO", "gold write complete", "", "write_done", {"rows": written.rows})
     return GoldResult(written.rows, start)

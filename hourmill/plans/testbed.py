@@ -184,8 +184,13 @@ def land_bronze(
             docs = docs.where(F.col("snapshot") <= until)
         return docs
 
+    from hourmill.session import shared_root
+
     base = root.rstrip("/") + "/bronze"
-    price, weather, air = split_stand_ins(hourly_stand_ins(events))
+    shared_root(events.sparkSession)  # checkpoint directory on the shared file system
+    # One scan of ``events`` for the three feeds: the small hourly aggregate is
+    # checkpointed and each landing reads it.
+    price, weather, air = split_stand_ins(hourly_stand_ins(events).checkpoint(eager=True))
     land_snapshots(
         window(hourly_documents(weather, ["temperature_2m", "wind_speed_10m", "direct_radiation"], zone)),
         f"{base}/weather",

@@ -237,8 +237,16 @@ def table_location(spark: SparkSession, name: str) -> str:
     raise ValueError(f"table {name} has no location")
 
 
-def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = True) -> None:
-    """Expose the Parquet folder ``path`` as catalog table ``name``."""
+def register_table(
+    spark: SparkSession, name: str, path: str, partitioned: bool = True, replace_schema: bool = False
+) -> None:
+    """Expose the Parquet folder ``path`` as (external) catalog table ``name``.
+
+    ``replace_schema`` re-creates the catalog entry so a full overwrite with
+    a different schema is seen (dropping an external table keeps its files).
+    """
+    if replace_schema and spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE {name}")
     if not spark.catalog.tableExists(name):
         spark.catalog.createTable(name, path=path, source="parquet")
     if partitioned:
@@ -249,11 +257,11 @@ def register_table(spark: SparkSession, name: str, path: str, partitioned: bool
 def replace_named(
     spark: SparkSession, df: DataFrame, name: str, path: str, partition_by: Sequence[str] = ("date",)
 ) -> WriteResult:
-    """Overwrite a catalog table (stored at ``path``), creating it if absent."""
+    """Overwrite a catalog table (stored at ``path``), schema included; create it if absent."""
     if spark.catalog.tableExists(name):
         path = table_location(spark, name)
     result = replace_table(df, path, partition_by)
-    register_table(spark, name, path, partitioned=bool(partition_by))
+    register_table(spark, name, path, partitioned=bool(partition_by), replace_schema=True)
     return result
 
 

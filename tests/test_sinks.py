@@ -73,3 +73,14 @@ def test_upsert_named_creates_then_merges(spark, scratch):
     upsert_named(spark, _rows(spark, [("2024-01-01 01:00:00", 1.0, "a")]), name, ["k"], scratch)
     upsert_named(spark, _rows(spark, [("2024-01-01 01:00:00", 7.0, "a")]), name, ["k"], scratch)
     assert [(r.k, r.value) for r in spark.table(name).collect()] == [("a", 7.0)]
+
+
+def test_replace_named_replaces_the_schema(spark, scratch):
+    from hourmill.sinks.tables import replace_named
+
+    name = "t_" + scratch.rsplit("-", 1)[-1]
+    replace_named(spark, _rows(spark, [("2024-01-01 01:00:00", 1.0, "a")]), name, scratch)
+    wider = _rows(spark, [("2024-01-02 01:00:00", 2.0, "b")]).withColumn("extra", F.lit("x"))
+    replace_named(spark, wider, name, scratch)
+    t = spark.table(name)
+    assert "extra" in t.columns and [(r.k, r.extra) for r in t.collect()] == [("b", "x")]
