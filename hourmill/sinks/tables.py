@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourmill.session import path_exists
+from hourmill.session import path_exists, shared_root
 
 # Above this many touched partitions the IN-list is replaced by a semi join.
 MAX_LITERAL_PARTITIONS = 5000
@@ -170,6 +170,11 @@ def upsert_path(
     if missing:
         raise ValueError(f"batch lacks table columns {missing}")
     batch = batch.select(*[batch[c].cast(stored.schema[c].dataType) for c in stored.columns])
+    # The batch is used twice (its partition values, then the merge). Compute it
+    # once into the shared checkpoint folder; this also cuts its lineage, so a
+    # lost executor during the merge does not re-run the upstream pipeline.
+    shared_root(spark)
+    batch = batch.checkpoint(eager=True)
 
     n_parts = -1
     if partition_by:
