@@ -127,3 +127,19 @@ def test_log_event_and_buffer(spark, scratch):
     assert len(rows) == 3 and spark.table(name).schema == LOG_SCHEMA
     assert {(r.level, r.step) for r in rows} == {("WARNING", "read"), ("INFO", "s")}
     assert [r.extra_json for r in rows if r.level == "WARNING"] == ['{"path": "x"}']
+
+
+def test_spring_gap_keeps_one_row_deterministically(spark):
+    from hourmill.plans.silver import silver_frame
+
+    spec = default_spec("unused", dt.date(2024, 3, 31))
+    ds = spec.dataset("weather")
+    times = ["2024-03-31T01:00", "2024-03-31T02:00", "2024-03-31T03:00", "xx"]
+    doc = (52.0, 4.9, "Europe/Amsterdam", (times, [1.0, 2.0, 3.0, 4.0], [5.0, 6.0, 7.0, 8.0], [0.0, 0.0, 0.0, 0.0]))
+    raw = spark.createDataFrame([doc], WEATHER_SCHEMA)
+    for shuffle in ("1", "13"):
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+        rows = sorted((r.timestamp, r.temperature_2m) for r in silver_frame(raw, ds).collect())
+        # 01:00 local -> 00:00 UTC; 02:00 and 03:00 local both -> 01:00 UTC; "xx" dropped
+        assert rows == [(dt.datetime(2024, 3, 31, 0, 0), 1.0), (dt.datetime(2024, 3, 31, 1, 0), 3.0)]
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
