@@ -114,7 +114,7 @@ def touched_partitions(stored: DataFrame, batch: DataFrame, partition_by: Sequen
     return stored.join(parts, list(partition_by), "left_semi"), -1
 
 
-def merge_rows(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, object]:
+def merge_rows(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, str]:
     """Stored rows overlaid with batch rows by key, plus a per-row "changed" flag.
 
     One full outer join on the keys: a key present in the batch takes the
