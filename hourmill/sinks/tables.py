@@ -28,11 +28,12 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourmill.session import path_exists, shared_root
+from hourmill.session import path_exists
 
 # Above this many touched partitions the IN-list is replaced by a semi join.
 MAX_LITERAL_PARTITIONS = 5000
@@ -170,31 +171,32 @@ def upsert_path(
     if missing:
         raise ValueError(f"batch lacks table columns {missing}")
     batch = batch.select(*[batch[c].cast(stored.schema[c].dataType) for c in stored.columns])
-    # The batch is used twice (its partition values, then the merge). Compute it
-    # once into the shared checkpoint folder; this also cuts its lineage, so a
-    # lost executor during the merge does not re-run the upstream pipeline.
-    shared_root(spark)
-    batch = batch.checkpoint(eager=True)
-
-    n_parts = -1
-    if partition_by:
-        stored, n_parts = touched_partitions(stored, batch, partition_by)
-    merged, flag = merge_rows(stored, batch, keys)
-    metrics = [
-        F.count(F.when(F.col("_hm_in_batch"), F.lit(1))).alias("rows"),
-        F.count(F.when(F.col(flag), F.lit(1))).alias("changed"),
-    ]
-    if track:
-        metrics.append(F.min(F.when(F.col(flag), _micros(track))).alias("first"))
-    obs = Observation("upsert")
-    merged = merged.observe(obs, *metrics).drop("_hm_in_batch", flag)
-
-    if partition_by:
-        writer = _partitioned_writer(merged, partition_by).option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = merged.write
-    writer.mode("overwrite").parquet(path)
-    got = obs.get
+    # The batch is used twice (its partition values, then the merge): keep it
+    # for the duration of this call instead of computing the upstream plan
+    # twice. Lost blocks are recomputed from lineage; released on return.
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n_parts = -1
+        if partition_by:
+            stored, n_parts = touched_partitions(stored, batch, partition_by)
+        merged, flag = merge_rows(stored, batch, keys)
+        metrics = [
+            F.count(F.when(F.col("_hm_in_batch"), F.lit(1))).alias("rows"),
+            F.count(F.when(F.col(flag), F.lit(1))).alias("changed"),
+        ]
+        if track:
+            metrics.append(F.min(F.when(F.col(flag), _micros(track))).alias("first"))
+        obs = Observation("upsert")
+        merged = merged.observe(obs, *metrics).drop("_hm_in_batch", flag)
+
+        if partition_by:
+            writer = _partitioned_writer(merged, partition_by).option("partitionOverwriteMode", "dynamic")
+        else:
+            writer = merged.write
+        writer.mode("overwrite").parquet(path)
+        got = obs.get
+    finally:
+        batch.unpersist()
     return WriteResult(
         int(got["rows"]), n_parts, int(got["changed"]), _micros_to_datetime(got.get("first")) if track else None
     )
