@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from hourmill.oracle import compare, duck
+from hourmill.compare import compare, duck
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SF = "/root/testdata/sf0.001"
