@@ -86,3 +86,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """True when the path exists on the (shared) file system."""
     fs, hpath = _fs_for(spark, path)
     return bool(fs.exists(hpath))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder this library wrote itself."""
+    fs, hpath = _fs_for(spark, path)
+    if fs.exists(hpath):
+        fs.delete(hpath, True)

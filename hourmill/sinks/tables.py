@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourmill.session import path_exists
+from hourmill.session import path_exists, remove_path
 
 # Above this many touched partitions the IN-list is replaced by a semi join.
 MAX_LITERAL_PARTITIONS = 5000
@@ -87,6 +87,11 @@ def replace_table(
     _partitioned_writer(df.observe(obs, *metrics), partition_by).mode("overwrite").parquet(path)
     got = obs.get
     rows = int(got["rows"])
+    if rows == 0 and partition_by:
+        # A partitioned write of nothing leaves no data file to carry the
+        # schema; drop the commit marker so the table still counts as absent
+        # and the next non-empty batch creates it.
+        remove_path(df.sparkSession, f"{path.rstrip('/')}/_SUCCESS")
     return WriteResult(rows, -1, rows if track else -1, _micros_to_datetime(got.get("first")) if track else None)
 
 

@@ -84,3 +84,13 @@ def test_replace_named_replaces_the_schema(spark, scratch):
     replace_named(spark, wider, name, scratch)
     t = spark.table(name)
     assert "extra" in t.columns and [(r.k, r.extra) for r in t.collect()] == [("b", "x")]
+
+
+def test_empty_batches(spark, scratch):
+    empty = _rows(spark, [("2024-01-01 01:00:00", 1.0, "a")]).where("false")
+    res = upsert_path(spark, empty, scratch, ["k"], ["date"], track="timestamp")
+    assert res.rows == 0 and not table_exists(spark, scratch)  # nothing to create yet
+    upsert_path(spark, _rows(spark, [("2024-01-01 01:00:00", 1.0, "a")]), scratch, ["k"], ["date"])
+    res = upsert_path(spark, empty, scratch, ["k"], ["date"], track="timestamp")
+    assert res.rows == 0 and res.earliest_change is None
+    assert _content(spark, scratch) == [("a", 1.0, dt.date(2024, 1, 1))]
