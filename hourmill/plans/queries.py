@@ -314,7 +314,8 @@ def upsert_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, batch = _upsert_inputs(spark, sf_dir)
     path = scratch_path(spark, "upsert-table")
     name = "hm_" + path.rsplit("-", 1)[-1]
-    assert read_named(spark, name) is None
+    if read_named(spark, name) is not None:  # absent table = first run
+        raise RuntimeError(f"table {name} already exists")
     replace_named(spark, target, name, path, ["date"])
     upsert_named(spark, batch, name, ["hk"], path, ["date"])
     return _read_upserted(spark.table(name))
