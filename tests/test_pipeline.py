@@ -120,12 +120,12 @@ def test_log_event_and_buffer(spark, scratch):
     assert log_event(spark, path, "t", "warning", "one", "energy", "read", {"path": "x"}) == 1
     buf = RunLog(spark, path, "t", "2024-01-20")
     buf.add("INFO", "a", step="s")
-    buf.add("bogus", "b", step="s")  # unknown level falls back to INFO
+    buf.add("debug", "b", step="s")  # levels are stored upper-cased, as given
     assert buf.flush() == 2 and buf.flush() == 0
     spark.catalog.refreshTable(name)
     rows = spark.table(name).collect()
     assert len(rows) == 3 and spark.table(name).schema == LOG_SCHEMA
-    assert {(r.level, r.step) for r in rows} == {("WARNING", "read"), ("INFO", "s")}
+    assert {(r.level, r.step) for r in rows} == {("WARNING", "read"), ("INFO", "s"), ("DEBUG", "s")}
     assert [r.extra_json for r in rows if r.level == "WARNING"] == ['{"path": "x"}']
 
 
