@@ -126,9 +126,15 @@ def trailing_mean(
         df, value, ts=ts, hours=hours, by=by, bucket_seconds=bucket_seconds, scale=scale
     )
     keyed = df.withColumn(_SEC, epoch_seconds(F.col(ts)))
-    joined = keyed.join(framed, [*by, _SEC], "left")
-    mean = F.when(F.col(_FCNT) > 0, F.col(_FSUM).cast(T.DoubleType()) / F.col(_FCNT))
-    cols = [F.col(c) for c in df.columns] + [mean.alias(out)]
+    # Series keys may be NULL (a NULL key is one series, as in partitionBy),
+    # so they are matched null-safely; the second is never NULL here.
+    renamed = framed.select(*[F.col(c).alias(f"_hm_by{i}") for i, c in enumerate(by)], _SEC, _FSUM, _FCNT)
+    renamed = renamed.withColumnRenamed(_SEC, "_hm_fs")
+    cond = [keyed[c].eqNullSafe(renamed[f"_hm_by{i}"]) for i, c in enumerate(by)]
+    cond.append(keyed[_SEC] == renamed["_hm_fs"])
+    joined = keyed.join(renamed, cond, "left")
+    mean = F.when(renamed[_FCNT] > 0, renamed[_FSUM].cast(T.DoubleType()) / renamed[_FCNT])
+    cols = [keyed[c] for c in df.columns] + [mean.alias(out)]
     if count_out:
-        cols.append(F.coalesce(F.col(_FCNT), F.lit(0)).cast(T.LongType()).alias(count_out))
+        cols.append(F.coalesce(renamed[_FCNT], F.lit(0)).cast(T.LongType()).alias(count_out))
     return joined.select(*cols)

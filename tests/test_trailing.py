@@ -114,3 +114,10 @@ def test_hot_second_holding_a_third_of_rows(spark):
     for (t, v), w in zip(rows, want):
         (g,) = got[(dt.datetime.fromisoformat(t), v)]
         assert (g is None and w is None) or abs(g - w) < 1e-9
+
+
+def test_null_series_key_is_its_own_series(spark):
+    rows = [(None, _at(0), 1.0), (None, _at(60), 3.0), ("a", _at(30), 100.0)]
+    df = _frame(spark, rows, with_series=True)
+    got = {(r.s, r.v): r.avg for r in trailing_mean(df, "v", "avg", ts="ts", by=["s"]).collect()}
+    assert got == {(None, 1.0): None, (None, 3.0): 1.0, ("a", 100.0): None}
