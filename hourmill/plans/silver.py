@@ -58,25 +58,39 @@ def read_bronze(spark: SparkSession, spec: RunSpec, ds: DatasetSpec) -> tuple[Da
     return read_incremental(spark, ds.bronze, spec.run_date, ds.schema, ds.fmt, spec.extract_days)
 
 
-def build_silver(spark: SparkSession, spec: RunSpec, log=None) -> list[SilverResult]:
-    results = []
-    for ds in spec.datasets:
-        raw, fell_back = read_bronze(spark, spec, ds)
-        if log is not None:
-            log.add("WARNING" if fell_back else "INFO", "bronze read", ds.name, "read",
-                    {"bronze": ds.bronze, "fallback": fell_back})
-        df = silver_frame(raw, ds, spec.hash_col, spec.hash_sep)
-        written = write_layer(
-            spark, df, ds.silver, mode=spec.load_mode, keys=[spec.hash_col],
-            merge=ds.merge, partition_by=ds.partition_by, track="timestamp",
-        )
-        change = written.earliest_change
-        if log is not None:
-            log.add("INFO", "silver write complete", ds.name, "write_done",
-                    {"rows": written.rows, "silver": ds.silver,
-                     "earliest_change": change.isoformat() if change else None})
-        results.append(SilverResult(ds.name, written.rows, change, fell_back))
-    return results
+def _silver_one(spark: SparkSession, spec: RunSpec, ds: DatasetSpec, log) -> SilverResult:
+    raw, fell_back = read_bronze(spark, spec, ds)
+    if log is not None:
+        log.add("WARNING" if fell_back else "INFO", "bronze read", ds.name, "read",
+                {"bronze": ds.bronze, "fallback": fell_back})
+    df = silver_frame(raw, ds, spec.hash_col, spec.hash_sep)
+    written = write_layer(
+        spark, df, ds.silver, mode=spec.load_mode, keys=[spec.hash_col],
+        merge=ds.merge, partition_by=ds.partition_by, track="timestamp",
+    )
+    change = written.earliest_change
+    if log is not None:
+        log.add("INFO", "silver write complete", ds.name, "write_done",
+                {"rows": written.rows, "silver": ds.silver,
+                 "earliest_change": change.isoformat() if change else None})
+    return SilverResult(ds.name, written.rows, change, fell_back)
+
+
+def build_silver(spark: SparkSession, spec: RunSpec, log=None, parallel: bool = True) -> list[SilverResult]:
+    """Bronze -> silver for every dataset.
+
+    The feeds are independent, so with ``parallel`` their jobs are
+    submitted from one thread each and run side by side on the cluster
+    (Spark schedules jobs from different threads concurrently); results
+    keep the configured order.
+    """
+    if not parallel or len(spec.datasets) < 2:
+        return [_silver_one(spark, spec, ds, log) for ds in spec.datasets]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(spec.datasets), thread_name_prefix="silver") as pool:
+        futures = [pool.submit(_silver_one, spark, spec, ds, log) for ds in spec.datasets]
+        return [f.result() for f in futures]
 
 
 def read_silver(spark: SparkSession, path: str, start: dt.datetime | None = None) -> DataFrame:

@@ -191,12 +191,14 @@ def land_bronze(
     # One scan of ``events`` for the three feeds: the small hourly aggregate is
     # checkpointed and each landing reads it.
     price, weather, air = split_stand_ins(hourly_stand_ins(events).checkpoint(eager=True))
-    land_snapshots(
-        window(hourly_documents(weather, ["temperature_2m", "wind_speed_10m", "direct_radiation"], zone)),
-        f"{base}/weather",
-    )
-    land_snapshots(
-        window(hourly_documents(air, ["carbon_monoxide", "nitrogen_dioxide", "pm10"], zone)),
-        f"{base}/air_quality",
-    )
-    land_snapshots(window(price_documents(price)), f"{base}/energy")
+    landings = [
+        (hourly_documents(weather, ["temperature_2m", "wind_speed_10m", "direct_radiation"], zone), f"{base}/weather"),
+        (hourly_documents(air, ["carbon_monoxide", "nitrogen_dioxide", "pm10"], zone), f"{base}/air_quality"),
+        (price_documents(price), f"{base}/energy"),
+    ]
+    # Independent writes: submitted from one thread each so they run side by side.
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(landings), thread_name_prefix="land") as pool:
+        for f in [pool.submit(land_snapshots, window(docs), path) for docs, path in landings]:
+            f.result()

@@ -51,14 +51,14 @@ def snapshot_stream(spark: SparkSession, ds: DatasetSpec, max_files_per_trigger:
     return reader.load(ds.bronze)
 
 
-def stream_silver(
+def start_silver_stream(
     spark: SparkSession,
     spec: RunSpec,
     ds: DatasetSpec,
     checkpoint: str,
     max_files_per_trigger: int | None = None,
-) -> StreamProgress:
-    """Process every not-yet-seen snapshot of ``ds`` into its silver table, then stop."""
+) -> tuple[object, StreamProgress]:
+    """Start the file stream of ``ds`` (availableNow); returns the query and its progress."""
     progress = StreamProgress(ds.name)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
@@ -76,9 +76,22 @@ def stream_silver(
         snapshot_stream(spark, ds, max_files_per_trigger)
         .writeStream.foreachBatch(upsert_batch)
         .option("checkpointLocation", checkpoint)
+        .queryName(f"silver_{ds.name}")
         .trigger(availableNow=True)
         .start()
     )
+    return query, progress
+
+
+def stream_silver(
+    spark: SparkSession,
+    spec: RunSpec,
+    ds: DatasetSpec,
+    checkpoint: str,
+    max_files_per_trigger: int | None = None,
+) -> StreamProgress:
+    """Process every not-yet-seen snapshot of ``ds`` into its silver table, then stop."""
+    query, progress = start_silver_stream(spark, spec, ds, checkpoint, max_files_per_trigger)
     query.awaitTermination()
     return progress
 
@@ -86,10 +99,13 @@ def stream_silver(
 def run_streaming(
     spark: SparkSession, spec: RunSpec, checkpoint_root: str
 ) -> tuple[list[StreamProgress], GoldResult]:
-    """All feeds through their file streams, then an incremental gold build."""
-    progress = [
-        stream_silver(spark, spec, ds, f"{checkpoint_root.rstrip('/')}/{ds.name}") for ds in spec.datasets
+    """All feeds through their file streams (running side by side), then incremental gold."""
+    started = [
+        start_silver_stream(spark, spec, ds, f"{checkpoint_root.rstrip('/')}/{ds.name}") for ds in spec.datasets
     ]
+    for query, _ in started:
+        query.awaitTermination()
+    progress = [p for _, p in started]
     changes = [p.earliest_change for p in progress if p.earliest_change is not None]
     gold = build_gold(spark, spec.but(load_mode="incremental"), min(changes) if changes else None)
     return progress, gold
