@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourmill.functions.names import pick, prefix_columns, require, snake_columns
-from hourmill.functions.timekeys import day_of, hash_key, parse_ts, snapshot_name, time_policy
+from hourmill.functions.timekeys import day_of, hash_key, hours_before, parse_ts, snapshot_name, time_policy
 from hourmill.operators.mart import chart as chart_op
 from hourmill.operators.mart import default_sums as default_sums_op
 from hourmill.operators.mart import preview as preview_op
@@ -106,9 +106,8 @@ def trailing_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recompute_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     """High-water mark of gold and the recompute start (HWM - 6 h)."""
     gold = _gold_mem(spark, sf_dir)
-    out = gold.agg(F.max("timestamp").alias("hwm")).select(
-        "hwm", (F.col("hwm") - F.make_dt_interval(hours=F.lit(6))).alias("start_ts")
-    )
+    overlap = default_spec("unused", RUN_DATE, rules=TESTBED_RULES).gold.overlap  # max(2R, 6) = 6
+    out = gold.agg(F.max("timestamp").alias("hwm")).select("hwm", hours_before(F.col("hwm"), overlap).alias("start_ts"))
     return ntz(out)
 
 
