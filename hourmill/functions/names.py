@@ -7,11 +7,13 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 
-# Fixed naming rule (must agree with the source pipeline's cleaned names):
-# trim, lower-case, every run of non-word characters becomes "_",
-# repeated "_" collapse to one, leading/trailing "_" are removed.
-_NON_WORD_RUN = re.compile(r"\W+")
-_UNDERSCORE_RUN = re.compile(r"_{2,}")
+# The naming rule cleaned names must agree with.
+# Trim and lower-case; then these two patterns, each replaced by "_":
+#   [^\w]+   a run of non-word characters
+#   __+      a run of two or more underscores
+# and finally leading/trailing "_" are stripped.
+_NON_WORD_RUN = re.compile(r"[^\w]+")
+_UNDERSCORE_RUN = re.compile(r"__+")
 
 
 def snake_name(name: str) -> str:

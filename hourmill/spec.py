@@ -15,6 +15,15 @@ from hourmill.functions.timekeys import DEFAULT_ZONE, KEY_SEPARATOR
 from hourmill.plans.gold import GoldRules
 from hourmill.sources.snapshots import AIR_FIELDS, AIR_SCHEMA, ENERGY_SCHEMA, WEATHER_FIELDS, WEATHER_SCHEMA
 
+# Fixed values of the source pipeline's configuration, kept so that results
+# and table layouts agree with it:
+#   load modes: "incremental" (default), "full_refresh"
+#   hash key: MD5, parts joined by "||", column "hk"; silver/gold key: timestamp
+#   silver partition column: "date"; extract window: 7 days
+#   source time zone: Europe/Amsterdam (weather, air quality wall times)
+#   gold rules: rolling 3 hours, wind threshold 6.0, labels "CHEAP"/"NORMAL",
+#   recompute overlap 6 hours (default max(2 * rolling, 6)),
+#   weather prefix "wx_", air-quality prefix "aq_"
 LOAD_MODES = ("incremental", "full_refresh")
 
 
