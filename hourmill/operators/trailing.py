@@ -67,12 +67,7 @@ def trailing_frame(
     Returns columns ``by + [_hm_s, _hm_fsum, _hm_fcnt]``, one row per
     distinct (series, second) in ``df``.
     """
-    width = int(hours) * 3600
-    if width <= 0:
-        raise ValueError("hours must be positive")
-    bucket = int(bucket_seconds or HALO_FACTOR * width)
-    if bucket < width:
-        raise ValueError("bucket_seconds must be at least the window width")
+    width, bucket = _widths(hours, bucket_seconds)
     by = list(by)
 
     per_second = (
@@ -84,10 +79,30 @@ def trailing_frame(
             F.count("_hm_v").alias(_PCNT),
         )
     )
+    return _haloed_frame(per_second, by, width, bucket, scale, [], _PSUM, _PCNT)
+
+
+def _haloed_frame(
+    rows: DataFrame,
+    by: list[str],
+    width: int,
+    bucket: int,
+    scale: int,
+    carry: Sequence[str],
+    psum: str,
+    pcnt: str,
+) -> DataFrame:
+    """Frame sum/count per row of ``rows`` (which has ``_hm_s``) via halo buckets.
+
+    Each row also goes to the next bucket when it lies within ``width``
+    seconds of it; per (series, bucket) the frame is the difference of two
+    running sums; only rows in their home bucket are returned, with
+    ``carry`` columns passed through.
+    """
     home = F.floor(F.col(_SEC) / F.lit(bucket))
     reach = F.floor((F.col(_SEC) + F.lit(width)) / F.lit(bucket))
     copies = F.when(reach > home, F.array(home, reach)).otherwise(F.array(home))
-    haloed = per_second.select("*", home.alias(_HOME), F.explode(copies).alias(_BUCKET))
+    haloed = rows.select("*", home.alias(_HOME), F.explode(copies).alias(_BUCKET))
 
     # Frame sum = (everything before s) - (everything before s - R*3600):
     # both are running frames Spark maintains incrementally, O(n) per
@@ -97,9 +112,10 @@ def trailing_frame(
     before = ordered.rangeBetween(Window.unboundedPreceding, -1)
     too_old = ordered.rangeBetween(Window.unboundedPreceding, -width - 1)
     zero = F.lit(0).cast(T.DecimalType(38, scale))
-    fsum = F.coalesce(F.sum(_PSUM).over(before), zero) - F.coalesce(F.sum(_PSUM).over(too_old), zero)
-    fcnt = F.coalesce(F.sum(_PCNT).over(before), F.lit(0)) - F.coalesce(F.sum(_PCNT).over(too_old), F.lit(0))
+    fsum = F.coalesce(F.sum(psum).over(before), zero) - F.coalesce(F.sum(psum).over(too_old), zero)
+    fcnt = F.coalesce(F.sum(pcnt).over(before), F.lit(0)) - F.coalesce(F.sum(pcnt).over(too_old), F.lit(0))
     return haloed.select(
+        *[c for c in carry if c not in by],
         *by,
         _SEC,
         fsum.cast(T.DecimalType(38, scale)).alias(_FSUM),
@@ -108,6 +124,16 @@ def trailing_frame(
     ).where("_hm_is_home").drop("_hm_is_home")
 
 
+def _widths(hours: int, bucket_seconds: int | None) -> tuple[int, int]:
+    width = int(hours) * 3600
+    if width <= 0:
+        raise ValueError("hours must be positive")
+    bucket = int(bucket_seconds or HALO_FACTOR * width)
+    if bucket < width:
+        raise ValueError("bucket_seconds must be at least the window width")
+    return width, bucket
+
+
 def trailing_mean(
     df: DataFrame,
     value: str,
@@ -119,9 +145,40 @@ def trailing_mean(
     count_out: str | None = None,
     bucket_seconds: int | None = None,
     scale: int = EXACT_SCALE,
+    unique_rows: bool = False,
 ) -> DataFrame:
-    """``df`` plus ``out`` = trailing mean of ``value`` (and optionally the frame count)."""
+    """``df`` plus ``out`` = trailing mean of ``value`` (and optionally the frame count).
+
+    ``unique_rows=True`` is for inputs with one row per (series, timestamp)
+    at a bounded rate, such as an hourly series: the rows themselves are
+    halo-copied and windowed (one shuffle), skipping the per-second
+    pre-aggregation and the join back. A window partition then holds the
+    rows of B + R hours of one series. Results are identical either way.
+    """
     by = list(by)
+    if unique_rows:
+        width, bucket = _widths(hours, bucket_seconds)
+        rows = df.select(
+            "*",
+            epoch_seconds(F.col(ts)).alias(_SEC),
+            F.col(value).cast(T.DecimalType(18, scale)).alias(_PSUM),
+            F.when(F.col(value).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast(T.LongType()).alias(_PCNT),
+        )
+        # Rows without a time have an empty frame. Filtering on the input
+        # column lets Catalyst drop this branch when the input is already
+        # known to have no NULL times (then the input is read once).
+        timed = rows.where(F.col(ts).isNotNull())
+        framed = _haloed_frame(timed, by, width, bucket, scale, df.columns, _PSUM, _PCNT)
+        untimed = rows.where(F.col(ts).isNull()).select(
+            *df.columns, F.lit(None).cast(T.DecimalType(38, scale)).alias(_FSUM), F.lit(0).cast(T.LongType()).alias(_FCNT)
+        )
+        both = framed.select(*df.columns, _FSUM, _FCNT).unionByName(untimed)
+        mean = F.when(F.col(_FCNT) > 0, F.col(_FSUM).cast(T.DoubleType()) / F.col(_FCNT))
+        cols = [F.col(c) for c in df.columns] + [mean.alias(out)]
+        if count_out:
+            cols.append(F.col(_FCNT).cast(T.LongType()).alias(count_out))
+        return both.select(*cols)
+
     framed = trailing_frame(
         df, value, ts=ts, hours=hours, by=by, bucket_seconds=bucket_seconds, scale=scale
     )

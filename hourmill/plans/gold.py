@@ -71,7 +71,9 @@ def gold_frame(
     require(energy, [*keys, rules.price], "energy")
     require(weather, [*keys, rules.wind], "weather")
     require(air, keys, "air_quality")
-    energy = pick(energy, [*keys, rules.price])
+    # Rows without a timestamp are dropped from gold; dropping them from the
+    # spine first changes no other row's frame and keeps the window one pass.
+    energy = non_null(pick(energy, [*keys, rules.price]), "timestamp")
     weather = pick(weather, [c for c in weather.columns if c not in ("date", "hk")])
     air = pick(air, [c for c in air.columns if c not in ("date", "hk")])
     if dedupe_inputs:
@@ -83,7 +85,11 @@ def gold_frame(
 
     joined = energy.join(wx, keys, "left").join(aq, keys, "left")
     series = [k for k in keys if k != "timestamp"]
-    withavg = trailing_mean(joined, rules.price, rules.avg_col, hours=rules.rolling_hours, by=series)
+    # One row per key on the spine (deduplicated above, or unique in silver),
+    # so the window runs on the rows directly.
+    withavg = trailing_mean(
+        joined, rules.price, rules.avg_col, hours=rules.rolling_hours, by=series, unique_rows=True
+    )
 
     price, avg = F.col(rules.price), F.col(rules.avg_col)
     wind = F.col(rules.weather_prefix + rules.wind)
