@@ -128,21 +128,53 @@ def zip_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", "label", F.col("idx").cast(T.LongType()).alias("idx"), "value")
 
 
+# Documents built from ``lineitem`` hold the lines of one order that lie in
+# the same block of DOC_BLOCK_ROWS consecutive rows of one Parquet file.
+# Orders have no size bound in the data (up to 17 lines at sf0.1, and the
+# (order, line number) pair is not unique), so a document per order would
+# make a hot order one unbounded array in one task. A block caps every
+# ``collect_list`` at DOC_BLOCK_ROWS elements whatever the order sizes;
+# ``_metadata.row_index`` is the row's position in its file, so blocks do
+# not depend on how the scan is split.
+DOC_BLOCK_ROWS = 1024
+
+
+def _line_blocks(li: DataFrame, cols: list[str]) -> DataFrame:
+    """``cols`` of lineitem plus the row's file (hashed) and block within that file."""
+    return li.select(
+        *cols,
+        F.xxhash64("_metadata.file_path").alias("_file"),
+        F.floor(F.col("_metadata.row_index") / F.lit(DOC_BLOCK_ROWS)).alias("_block"),
+    )
+
+
 def zip_rows_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P10 padding: per order, line numbers beside quantities cut one short.
+    """P10 padding: line numbers beside quantities, the order's last quantity missing.
 
-    The documents are built by grouping the lines of an order; an order has
-    at most seven lines, so each array (and each group) stays small.
+    Each document holds an order's lines of one block (sorted by line
+    number, then quantity); in the block holding the order's last line the
+    quantity array is one element short, so that line is padded with NULL.
+    The last line and its block come from a partial aggregate per order
+    (one small row per order), joined back to the blocks.
     """
-    li = tb.load(spark, sf_dir, "lineitem")
-    per_order = li.groupBy("l_orderkey").agg(
+    li = _line_blocks(tb.load(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_quantity"])
+    per_block = li.groupBy("l_orderkey", "_file", "_block").agg(
         F.sort_array(F.collect_list(F.struct("l_linenumber", "l_quantity"))).alias("e")
     )
-    doc = per_order.select(
+    # Ties (the same line number and quantity twice) go to the greatest
+    # block, and within a block sort_array puts the copies last together.
+    last = li.groupBy("l_orderkey").agg(
+        F.max(F.struct("l_linenumber", "l_quantity", "_file", "_block")).alias("last")
+    )
+    docs = per_block.join(last, "l_orderkey")
+    holds_last = (F.col("last._file") == F.col("_file")) & (F.col("last._block") == F.col("_block"))
+    doc = docs.select(
         "l_orderkey",
         F.struct(
             F.transform("e", lambda x: x["l_linenumber"]).alias("line"),
-            F.slice(F.transform("e", lambda x: x["l_quantity"]), 1, F.size("e") - 1).alias("qty"),
+            F.slice(
+                F.transform("e", lambda x: x["l_quantity"]), 1, F.size("e") - F.when(holds_last, 1).otherwise(0)
+            ).alias("qty"),
         ).alias("cols"),
     )
     return zip_rows(doc, "cols", ["line", "qty"])
@@ -151,13 +183,14 @@ def zip_rows_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def explode_records_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as price documents (array of records + typed metadata).
 
-    One document per order (at most seven lines, so arrays stay small);
-    orders without lines get a NULL array and yield no rows.
+    A document carries an order's metadata and its lines of one block
+    (at most DOC_BLOCK_ROWS records); orders without lines get a NULL
+    array and yield no rows.
     """
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     orders = tb.load(spark, sf_dir, "orders")
-    li = tb.load(spark, sf_dir, "lineitem")
-    recs = li.groupBy("l_orderkey").agg(
+    li = _line_blocks(tb.load(spark, sf_dir, "lineitem"), ["l_orderkey", "l_extendedprice", "l_shipdate"])
+    recs = li.groupBy("l_orderkey", "_file", "_block").agg(
         F.collect_list(
             F.struct(
                 F.col("l_extendedprice").alias("price"),

@@ -42,3 +42,21 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     res = compare(ENTRY.queries()[name](spark, SF), con, ENTRY.oracle_sql()[name])
     assert res["ok"], res
+
+
+@pytest.mark.parametrize("name", ["zip_rows_ragged", "explode_records"])
+def test_line_documents_bounded_and_exact(spark, con, monkeypatch, name):
+    """With tiny blocks an order's lines spread over many documents; the
+    result still equals the oracle and no document exceeds the block."""
+    from pyspark.sql import functions as F
+
+    from hourmill.plans import queries as q
+    from hourmill.plans import testbed as tb
+
+    monkeypatch.setattr(q, "DOC_BLOCK_ROWS", 3)
+    res = compare(q.REGISTRY[name](spark, SF), con, ENTRY.oracle_sql()[name])
+    assert res["ok"], res
+    li = q._line_blocks(tb.load(spark, SF, "lineitem"), ["l_orderkey"])
+    sizes = li.groupBy("l_orderkey", "_file", "_block").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 3
+    assert sizes.select("l_orderkey").distinct().count() < sizes.count()  # orders really are split
