@@ -20,8 +20,12 @@ series into one task. Instead:
    running sums (before s, before s - R*3600), and only home rows are
    kept. A window partition therefore holds at most B + R*3600 distinct
    seconds no matter how many input rows fall into it;
-3. the per-second result is joined back to the rows (equi-join on series
-   and second, which AQE may broadcast or split when skewed).
+3. the per-second result is joined back to the rows on (series, second).
+   That result has at most one row per series and second, whatever the
+   number of input rows; it is materialized and measured first and then
+   broadcast when it fits the session's broadcast threshold, so the rows
+   are joined where they are read instead of being shuffled. Above the
+   threshold the join shuffles both sides and AQE splits hot seconds.
 
 Sums are exact decimals, so the result does not depend on the order in
 which partitions are combined.
@@ -37,6 +41,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from hourmill.functions.timekeys import epoch_seconds
+from hourmill.operators.sizing import measured_side
 
 _SEC = "_hm_s"
 _BUCKET = "_hm_b"
@@ -146,6 +151,7 @@ def trailing_mean(
     bucket_seconds: int | None = None,
     scale: int = EXACT_SCALE,
     unique_rows: bool = False,
+    broadcast_limit: int | None = None,
 ) -> DataFrame:
     """``df`` plus ``out`` = trailing mean of ``value`` (and optionally the frame count).
 
@@ -154,6 +160,12 @@ def trailing_mean(
     halo-copied and windowed (one shuffle), skipping the per-second
     pre-aggregation and the join back. A window partition then holds the
     rows of B + R hours of one series. Results are identical either way.
+
+    Otherwise the per-second frames are materialized (a reliable
+    checkpoint, so a job runs now) and broadcast to the rows when their
+    measured size is at most ``broadcast_limit`` bytes (default: the
+    session's ``spark.sql.autoBroadcastJoinThreshold``; negative: never
+    materialize, leave the join to the planner).
     """
     by = list(by)
     if unique_rows:
@@ -182,16 +194,20 @@ def trailing_mean(
     framed = trailing_frame(
         df, value, ts=ts, hours=hours, by=by, bucket_seconds=bucket_seconds, scale=scale
     )
+    if broadcast_limit is None or broadcast_limit >= 0:
+        framed = measured_side(framed, broadcast_limit).df
     keyed = df.withColumn(_SEC, epoch_seconds(F.col(ts)))
     # Series keys may be NULL (a NULL key is one series, as in partitionBy),
     # so they are matched null-safely; the second is never NULL here.
     renamed = framed.select(*[F.col(c).alias(f"_hm_by{i}") for i, c in enumerate(by)], _SEC, _FSUM, _FCNT)
     renamed = renamed.withColumnRenamed(_SEC, "_hm_fs")
-    cond = [keyed[c].eqNullSafe(renamed[f"_hm_by{i}"]) for i, c in enumerate(by)]
-    cond.append(keyed[_SEC] == renamed["_hm_fs"])
+    # Both sides have disjoint column names, so plain names resolve uniquely
+    # (the materialized side may come from the same lineage as ``df``).
+    cond = [F.col(c).eqNullSafe(F.col(f"_hm_by{i}")) for i, c in enumerate(by)]
+    cond.append(F.col(_SEC) == F.col("_hm_fs"))
     joined = keyed.join(renamed, cond, "left")
-    mean = F.when(renamed[_FCNT] > 0, renamed[_FSUM].cast(T.DoubleType()) / renamed[_FCNT])
-    cols = [keyed[c] for c in df.columns] + [mean.alias(out)]
+    mean = F.when(F.col(_FCNT) > 0, F.col(_FSUM).cast(T.DoubleType()) / F.col(_FCNT))
+    cols = [F.col(c) for c in df.columns] + [mean.alias(out)]
     if count_out:
-        cols.append(F.coalesce(renamed[_FCNT], F.lit(0)).cast(T.LongType()).alias(count_out))
+        cols.append(F.coalesce(F.col(_FCNT), F.lit(0)).cast(T.LongType()).alias(count_out))
     return joined.select(*cols)

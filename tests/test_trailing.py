@@ -121,3 +121,46 @@ def test_null_series_key_is_its_own_series(spark):
     df = _frame(spark, rows, with_series=True)
     got = {(r.s, r.v): r.avg for r in trailing_mean(df, "v", "avg", ts="ts", by=["s"]).collect()}
     assert got == {(None, 1.0): None, (None, 3.0): 1.0, ("a", 100.0): None}
+
+
+def _join_plan(df):
+    df.collect()  # final adaptive plan
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("limit", [None, 1, -1])
+def test_join_back_paths_agree_with_brute_force(spark, limit):
+    """Measured broadcast (default), over the limit (shuffle join), and planner's choice."""
+    rnd = random.Random(3)
+    rows = [(_at(rnd.randrange(0, 8 * 3600)), float(rnd.randrange(50))) for _ in range(300)]
+    df = _frame(spark, rows)
+    got = {}
+    for r in trailing_mean(df, "v", "avg", ts="ts", broadcast_limit=limit).collect():
+        got.setdefault((r.ts, r.v), set()).add(r.avg)
+    for (t, v), w in zip(rows, _brute(rows)):
+        (g,) = got[(dt.datetime.fromisoformat(t), v)]
+        assert (g is None and w is None) or abs(g - w) < 1e-9
+
+
+def test_join_back_strategy_follows_measured_size(spark):
+    df = _frame(spark, [(_at(i * 60), float(i)) for i in range(200)])
+    small = _join_plan(trailing_mean(df, "v", "avg", ts="ts"))
+    assert "BroadcastHashJoin" in small and "SortMergeJoin" not in small
+    # Broadcasting disabled in the session: the measured side is not hinted
+    # and the rows are joined by a shuffle join.
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        over = _join_plan(trailing_mean(df, "v", "avg", ts="ts"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" not in over and "SortMergeJoin" in over
+
+
+def test_measured_side_sizes():
+    from hourmill.operators.sizing import parse_bytes, row_width
+    from pyspark.sql import types as T
+
+    assert parse_bytes("10485760b") == 10 << 20 and parse_bytes("10MB") == 10 << 20 and parse_bytes("-1") == -1
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.DecimalType(38, 6))])
+    assert row_width(schema) == 16 + 8 + 16
