@@ -59,3 +59,11 @@ def test_silver_read_prunes_date_partitions(spark, scratch):
     assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-02" in plan
     assert "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp," in plan
     assert out.count() == 18
+
+
+def test_trailing_join_back_does_not_shuffle_the_rows(spark):
+    """The per-second frames are measured and broadcast; the event rows are
+    joined where they are scanned."""
+    plan = _plan(REGISTRY["trailing_avg"](spark, SF))
+    assert "BroadcastHashJoin" in plan and "BroadcastExchange" in plan, plan
+    assert "Exchange hashpartitioning" not in plan, plan
