@@ -148,6 +148,21 @@ def _line_blocks(li: DataFrame, cols: list[str]) -> DataFrame:
     )
 
 
+BLOCK_KEY = ["l_orderkey", "_file", "_block"]
+
+
+def _by_block(lines: DataFrame) -> DataFrame:
+    """Lines hash-partitioned by (order, file, block), grouped on the same key.
+
+    The records of a document are packed after the shuffle, in the same
+    stage. Packing them map-side (partial ``collect_list``) would shuffle
+    the same bytes, and lines lie scattered over the file, so it finds
+    almost nothing to combine. The block in the key spreads a hot order
+    over many partitions.
+    """
+    return lines.repartition(*BLOCK_KEY).groupBy(*BLOCK_KEY)
+
+
 def zip_rows_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P10 padding: line numbers beside quantities, the order's last quantity missing.
 
@@ -158,7 +173,7 @@ def zip_rows_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     (one small row per order), joined back to the blocks.
     """
     li = _line_blocks(tb.load(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_quantity"])
-    per_block = li.groupBy("l_orderkey", "_file", "_block").agg(
+    per_block = _by_block(li).agg(
         F.sort_array(F.collect_list(F.struct("l_linenumber", "l_quantity"))).alias("e")
     )
     # Ties (the same line number and quantity twice) go to the greatest
@@ -190,7 +205,7 @@ def explode_records_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     orders = tb.load(spark, sf_dir, "orders")
     li = _line_blocks(tb.load(spark, sf_dir, "lineitem"), ["l_orderkey", "l_extendedprice", "l_shipdate"])
-    recs = li.groupBy("l_orderkey", "_file", "_block").agg(
+    recs = _by_block(li).agg(
         F.collect_list(
             F.struct(
                 F.col("l_extendedprice").alias("price"),
@@ -198,7 +213,15 @@ def explode_records_q(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ).alias("Prices")
     )
-    docs = orders.join(recs, orders["o_orderkey"] == recs["l_orderkey"], "left").select(
+    # Inner join plus the orders without lines (NULL array) from an anti join,
+    # rather than one left join: a hot order's many block documents are on
+    # the non-preserved side of a left join, which AQE cannot split; both
+    # sides of an inner join, and the left side of an anti join, it can.
+    with_lines = orders.join(recs, orders["o_orderkey"] == recs["l_orderkey"], "inner").select(*orders.columns, "Prices")
+    no_lines = orders.join(li.select("l_orderkey"), orders["o_orderkey"] == F.col("l_orderkey"), "left_anti").select(
+        *orders.columns, F.lit(None).cast(recs.schema["Prices"].dataType).alias("Prices")
+    )
+    docs = with_lines.unionByName(no_lines).select(
         "o_orderkey",
         "Prices",
         F.col("o_totalprice").alias("average"),
