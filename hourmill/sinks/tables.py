@@ -99,23 +99,60 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def touched_partitions(stored: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> tuple[DataFrame, int]:
+def _key_multiplicity(batch: DataFrame, keys: Sequence[str], group: Sequence[str]) -> DataFrame:
+    """Per ``group`` value: the largest number of batch rows sharing one key.
+
+    Rows with a NULL key part are left out (they never match, so repeats
+    are inserted as they are). Both steps are partial aggregations, so a
+    repeated or hot key is counted map-side.
+    """
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    per_key = batch.groupBy(*dict.fromkeys([*keys, *group])).agg(
+        F.count(F.when(keyed, F.lit(1))).alias("_hm_n")
+    )
+    return per_key.groupBy(*group).agg(F.max("_hm_n").alias("_hm_max_n"))
+
+
+def _raise_on_repeats(max_n, keys: Sequence[str]) -> None:
+    if max_n is not None and max_n > 1:
+        raise ValueError(
+            f"upsert batch repeats key {list(keys)} ({max_n} rows for one key); "
+            "deduplicate it first (a MERGE would reject it too)"
+        )
+
+
+def touched_partitions(
+    stored: DataFrame, batch: DataFrame, partition_by: Sequence[str], keys: Sequence[str] = ()
+) -> tuple[DataFrame, int]:
     """Stored rows restricted to the partitions present in ``batch``.
 
     With one partition column the distinct values (bounded by the number
     of days in a batch, not by its rows) become an IN-list, so the scan
     only lists the touched folders. Otherwise a semi join does the same
-    without pruning.
+    without pruning. With ``keys`` the same job also checks that no key
+    repeats in the batch (keys determine the partition, so grouping by
+    keys and partition is grouping by keys).
     """
+    keys = list(keys)
     if len(partition_by) == 1:
         p = partition_by[0]
-        values = [r[0] for r in batch.select(p).distinct().limit(MAX_LITERAL_PARTITIONS + 1).collect()]
-        if len(values) <= MAX_LITERAL_PARTITIONS:
+        if keys:
+            profile = _key_multiplicity(batch, keys, [p])
+        else:
+            profile = batch.select(p).distinct().withColumn("_hm_max_n", F.lit(None).cast("long"))
+        got = profile.limit(MAX_LITERAL_PARTITIONS + 1).collect()
+        if len(got) <= MAX_LITERAL_PARTITIONS:
+            _raise_on_repeats(max((r["_hm_max_n"] or 0 for r in got), default=0), keys)
+            values = [r[p] for r in got]
             non_null = [v for v in values if v is not None]
             cond = F.col(p).isin(non_null) if non_null else F.lit(False)
             if len(non_null) < len(values):
                 cond = cond | F.col(p).isNull()
             return stored.where(cond), len(values)
+    if keys:
+        _raise_on_repeats(_key_multiplicity(batch, keys, []).first()["_hm_max_n"], keys)
     parts = batch.select(*partition_by).distinct()
     return stored.join(parts, list(partition_by), "left_semi"), -1
 
@@ -162,6 +199,9 @@ def upsert_path(
     Keys must determine the partition (e.g. key ``timestamp`` or its hash,
     partition ``date`` of that timestamp): only partitions present in the
     batch are rewritten. Creates the table when it does not exist yet.
+    A key may occur once in the batch (rows with a NULL key part excepted);
+    a repeated key raises before anything is written, as a MERGE would,
+    checked in the job that lists the touched partitions.
     With ``track`` (a timestamp column) the earliest changed row is
     measured in the same job as the merge.
     """
@@ -169,6 +209,7 @@ def upsert_path(
     if not keys:
         raise ValueError("upsert needs at least one key column; use append_path otherwise")
     if not table_exists(spark, path):
+        _raise_on_repeats(_key_multiplicity(batch, keys, []).first()["_hm_max_n"], keys)
         return replace_table(batch, path, partition_by, track)
 
     stored = read_table(spark, path)
@@ -183,7 +224,9 @@ def upsert_path(
     try:
         n_parts = -1
         if partition_by:
-            stored, n_parts = touched_partitions(stored, batch, partition_by)
+            stored, n_parts = touched_partitions(stored, batch, partition_by, keys)
+        else:
+            _raise_on_repeats(_key_multiplicity(batch, keys, []).first()["_hm_max_n"], keys)
         merged, flag = merge_rows(stored, batch, keys)
         metrics = [
             F.count(F.when(F.col("_hm_in_batch"), F.lit(1))).alias("rows"),

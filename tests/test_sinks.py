@@ -94,3 +94,29 @@ def test_empty_batches(spark, scratch):
     res = upsert_path(spark, empty, scratch, ["k"], ["date"], track="timestamp")
     assert res.rows == 0 and res.earliest_change is None
     assert _content(spark, scratch) == [("a", 1.0, dt.date(2024, 1, 1))]
+
+
+@pytest.mark.parametrize("partition_by", [["date"], []])
+def test_repeated_batch_key_raises_and_writes_nothing(spark, scratch, partition_by):
+    base = _rows(spark, [("2024-01-01 01:00:00", 1.0, "a")])
+    upsert_path(spark, base, scratch, ["k"], partition_by)
+    before = _content(spark, scratch)
+    twice = _rows(spark, [("2024-01-01 01:00:00", 2.0, "a"), ("2024-01-01 01:00:00", 3.0, "a")])
+    with pytest.raises(ValueError, match="repeats key"):
+        upsert_path(spark, twice, scratch, ["k"], partition_by)
+    assert _content(spark, scratch) == before
+
+
+def test_repeated_key_in_first_batch_raises(spark, scratch):
+    twice = _rows(spark, [("2024-01-01 01:00:00", 2.0, "a"), ("2024-01-01 01:00:00", 3.0, "a")])
+    with pytest.raises(ValueError, match="repeats key"):
+        upsert_path(spark, twice, scratch, ["k"], ["date"])
+    assert not table_exists(spark, scratch)
+
+
+def test_repeated_null_keys_are_inserted(spark, scratch):
+    base = _rows(spark, [("2024-01-01 01:00:00", 1.0, "a")])
+    upsert_path(spark, base, scratch, ["k"], ["date"])
+    nulls = _rows(spark, [("2024-01-01 02:00:00", 2.0, None), ("2024-01-01 03:00:00", 3.0, None)])
+    upsert_path(spark, nulls, scratch, ["k"], ["date"])
+    assert read_table(spark, scratch).count() == 3
