@@ -7,7 +7,6 @@ not depend on how the input is split or how many shuffle partitions run.
 
 import datetime as dt
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
