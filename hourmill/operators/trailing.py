@@ -51,12 +51,20 @@ _PCNT = "_hm_pcnt"
 _FSUM = "_hm_fsum"
 _FCNT = "_hm_fcnt"
 
-# Values are summed as DECIMAL(18, EXACT_SCALE): exact for inputs with up
-# to six decimals, which covers prices and sensor readings.
+# Values are summed as decimals with EXACT_SCALE decimals: exact for inputs
+# with up to six decimals, which covers prices and sensor readings. Inputs
+# keep INPUT_DIGITS integer digits (|x| < 1e12) whatever the scale.
 EXACT_SCALE = 6
+INPUT_DIGITS = 12
 HALO_FACTOR = 8
 
 
+def _input_type(scale: int) -> T.DecimalType:
+    if not 0 <= scale <= 38 - INPUT_DIGITS:
+        raise ValueError(f"scale must be between 0 and {38 - INPUT_DIGITS}")
+    return T.DecimalType(INPUT_DIGITS + scale, scale)
+
+
 def trailing_frame(
     df: DataFrame,
     value: str,
@@ -80,7 +88,7 @@ def trailing_frame(
         .where(F.col(_SEC).isNotNull())
         .groupBy(*by, _SEC)
         .agg(
-            F.sum(F.col("_hm_v").cast(T.DecimalType(18, scale))).alias(_PSUM),
+            F.sum(F.col("_hm_v").cast(_input_type(scale))).alias(_PSUM),
             F.count("_hm_v").alias(_PCNT),
         )
     )
@@ -173,7 +181,7 @@ def trailing_mean(
         rows = df.select(
             "*",
             epoch_seconds(F.col(ts)).alias(_SEC),
-            F.col(value).cast(T.DecimalType(18, scale)).alias(_PSUM),
+            F.col(value).cast(_input_type(scale)).alias(_PSUM),
             F.when(F.col(value).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast(T.LongType()).alias(_PCNT),
         )
         # Rows without a time have an empty frame. Filtering on the input

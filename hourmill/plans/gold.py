@@ -24,7 +24,7 @@ from hourmill.functions.names import pick, prefix_columns, require
 from hourmill.functions.timekeys import day_of
 from hourmill.operators.quality import dedupe_latest, non_null
 from hourmill.operators.rules import LABEL_FALSE, LABEL_TRUE, cheap_label, pct_vs
-from hourmill.operators.trailing import trailing_mean
+from hourmill.operators.trailing import EXACT_SCALE, trailing_mean
 
 
 @dataclass(frozen=True)
@@ -37,6 +37,11 @@ class GoldRules:
     wind: str = "wind_speed_10m"
     weather_prefix: str = "wx_"
     air_prefix: str = "aq_"
+    # Decimals kept when prices are summed for the trailing average (exact
+    # DECIMAL(38, sum_scale) sums, so results do not depend on partitioning).
+    # Prices with more decimals are rounded to this many; each extra decimal
+    # takes one digit from the 38 - sum_scale integer digits of the sums.
+    sum_scale: int = EXACT_SCALE
 
     @property
     def avg_col(self) -> str:
@@ -88,7 +93,8 @@ def gold_frame(
     # One row per key on the spine (deduplicated above, or unique in silver),
     # so the window runs on the rows directly.
     withavg = trailing_mean(
-        joined, rules.price, rules.avg_col, hours=rules.rolling_hours, by=series, unique_rows=True
+        joined, rules.price, rules.avg_col, hours=rules.rolling_hours, by=series, unique_rows=True,
+        scale=rules.sum_scale,
     )
 
     price, avg = F.col(rules.price), F.col(rules.avg_col)

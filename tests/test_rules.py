@@ -64,3 +64,25 @@ def test_gold_per_series_key(spark):
     assert got[("ams", 3)][0] == 11.0 and got[("rtm", 3)][0] == 101.0
     assert got[("ams", 4)][1] == "NORMAL" and got[("rtm", 4)][1] == "NORMAL"  # rising prices: never cheap
     assert g.columns[:3] == ["location", "timestamp", "price"] and len(got) == 10
+
+
+def test_sum_scale_keeps_finer_prices(spark):
+    """Prices with nine decimals: the default six-decimal sums round them,
+    ``sum_scale=9`` keeps the average exact."""
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    energy = spark.createDataFrame(
+        [(t0, 0.123456789), (t0 + dt.timedelta(hours=1), 0.123456781), (t0 + dt.timedelta(hours=2), 1.0)],
+        "timestamp timestamp, price double",
+    )
+    weather = spark.createDataFrame([(t0, 1.0)], "timestamp timestamp, wind_speed_10m double")
+    air = spark.createDataFrame([(t0, 1.0)], "timestamp timestamp, pm10 double")
+    want = (0.123456789 + 0.123456781) / 2
+
+    def avg_at_2h(rules):
+        rows = gold_frame(energy, weather, air, rules).collect()
+        return {r.timestamp: r.avg_price_last_3h for r in rows}[t0 + dt.timedelta(hours=2)]
+
+    assert abs(avg_at_2h(GoldRules(sum_scale=9)) - want) < 1e-15
+    assert abs(avg_at_2h(GoldRules()) - want) > 1e-10  # rounded to six decimals
