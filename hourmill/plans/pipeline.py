@@ -57,7 +57,8 @@ def build_gold(
     gold = with_date(gold)
 
     written = write_layer(
-        spark, gold, g.path, mode=spec.load_mode, keys=list(g.keys), merge=g.merge, partition_by=g.partition_by
+        spark, gold, g.path, mode=spec.load_mode, keys=list(g.keys), merge=g.merge, partition_by=g.partition_by,
+        check_keys=False,  # one row per key: a deduplicated spine, left joins to key-unique sides
     )
     if g.table:
         register_table(

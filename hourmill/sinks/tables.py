@@ -193,6 +193,7 @@ def upsert_path(
     keys: Sequence[str],
     partition_by: Sequence[str] = ("date",),
     track: str | None = None,
+    check_keys: bool = True,
 ) -> WriteResult:
     """Update matched keys and insert new ones into the table at ``path``.
 
@@ -201,7 +202,8 @@ def upsert_path(
     batch are rewritten. Creates the table when it does not exist yet.
     A key may occur once in the batch (rows with a NULL key part excepted);
     a repeated key raises before anything is written, as a MERGE would,
-    checked in the job that lists the touched partitions.
+    checked in the job that lists the touched partitions. Callers whose
+    batch was just deduplicated on these keys pass ``check_keys=False``.
     With ``track`` (a timestamp column) the earliest changed row is
     measured in the same job as the merge.
     """
@@ -209,8 +211,16 @@ def upsert_path(
     if not keys:
         raise ValueError("upsert needs at least one key column; use append_path otherwise")
     if not table_exists(spark, path):
-        _raise_on_repeats(_key_multiplicity(batch, keys, []).first()["_hm_max_n"], keys)
-        return replace_table(batch, path, partition_by, track)
+        if not check_keys:
+            return replace_table(batch, path, partition_by, track)
+        # The batch is read twice (key check, then the write): kept for the
+        # call, as below, so its upstream plan runs once.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            _raise_on_repeats(_key_multiplicity(batch, keys, []).first()["_hm_max_n"], keys)
+            return replace_table(batch, path, partition_by, track)
+        finally:
+            batch.unpersist()
 
     stored = read_table(spark, path)
     missing = [c for c in stored.columns if c not in batch.columns]
@@ -224,8 +234,8 @@ def upsert_path(
     try:
         n_parts = -1
         if partition_by:
-            stored, n_parts = touched_partitions(stored, batch, partition_by, keys)
-        else:
+            stored, n_parts = touched_partitions(stored, batch, partition_by, keys if check_keys else ())
+        elif check_keys:
             _raise_on_repeats(_key_multiplicity(batch, keys, []).first()["_hm_max_n"], keys)
         merged, flag = merge_rows(stored, batch, keys)
         metrics = [
@@ -266,6 +276,7 @@ def write_layer(
     merge: bool = True,
     partition_by: Sequence[str] = ("date",),
     track: str | None = None,
+    check_keys: bool = True,
 ) -> WriteResult:
     """Write by load mode: ``full_refresh`` replaces, ``incremental`` upserts.
 
@@ -278,7 +289,7 @@ def write_layer(
         raise ValueError(f"unknown load mode {mode!r}")
     if not merge:
         return append_path(df, path, partition_by)
-    return upsert_path(spark, df, path, keys, partition_by, track)
+    return upsert_path(spark, df, path, keys, partition_by, track, check_keys)
 
 
 # ---------------------------------------------------------------- catalog
