@@ -164,3 +164,14 @@ def test_measured_side_sizes():
     assert parse_bytes("10485760b") == 10 << 20 and parse_bytes("10MB") == 10 << 20 and parse_bytes("-1") == -1
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.DecimalType(38, 6))])
     assert row_width(schema) == 16 + 8 + 16
+
+
+def test_measured_side_counts_and_cuts_lineage(spark):
+    from hourmill.operators.sizing import measured_side, row_width
+
+    df = spark.range(500).selectExpr("id", "cast(id as double) * 2 as x").where("id % 5 = 0")
+    m = measured_side(df, limit=10_000_000)
+    assert m.rows == 100 and m.broadcast and m.est_bytes == 100 * row_width(m.df.schema)
+    assert "Range" not in m.df._jdf.queryExecution().executedPlan().toString()  # reads the checkpoint
+    assert not measured_side(df, limit=10).broadcast
+    assert sorted(r.id for r in m.df.collect()) == list(range(0, 500, 5))
