@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourmill.operators.quality import assert_unique
+from hourmill.operators.quality import duplicate_keys
 
 SUM_SCALE = 6
 
@@ -52,12 +52,17 @@ def relationship(
 ) -> DataFrame:
     """One-to-one relationship on ``key`` exposed as a full outer join.
 
-    Both sides must be unique on the key (checked with one aggregation
-    each); right-side non-key columns are prefixed.
+    Both sides must be unique on the key (checked by one aggregation over
+    both sides' keys); right-side non-key columns are prefixed.
     """
     if check:
-        assert_unique(left, [key], "relationship from-side")
-        assert_unique(right, [key], "relationship to-side")
+        # Both sides in one job: keys tagged by side, counted per (side, key).
+        tagged = left.select(F.lit("from-side").alias("_hm_side"), F.col(key)).unionByName(
+            right.select(F.lit("to-side").alias("_hm_side"), F.col(key))
+        )
+        dup = duplicate_keys(tagged, ["_hm_side", key]).select("_hm_side").limit(1).collect()
+        if dup:
+            raise ValueError(f"relationship {dup[0][0]}: key {[key]} is not unique")
     r = right.select(F.col(key).alias("_hm_k"), *[F.col(c).alias(right_prefix + c) for c in right.columns if c != key])
     joined = left.join(r, left[key] == r["_hm_k"], "full_outer")
     return joined.select(
