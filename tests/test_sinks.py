@@ -120,3 +120,19 @@ def test_repeated_null_keys_are_inserted(spark, scratch):
     nulls = _rows(spark, [("2024-01-01 02:00:00", 2.0, None), ("2024-01-01 03:00:00", 3.0, None)])
     upsert_path(spark, nulls, scratch, ["k"], ["date"])
     assert read_table(spark, scratch).count() == 3
+
+
+def test_many_partitions_fall_back_to_semi_join(spark, scratch, monkeypatch):
+    """Beyond the IN-list limit the touched partitions are found by a semi
+    join; results and the repeated-key check are the same."""
+    import hourmill.sinks.tables as tables
+
+    monkeypatch.setattr(tables, "MAX_LITERAL_PARTITIONS", 0)
+    base = _rows(spark, [("2024-01-01 01:00:00", 1.0, "a"), ("2024-01-02 01:00:00", 2.0, "b")])
+    upsert_path(spark, base, scratch, ["k"], ["date"])
+    res = upsert_path(spark, _rows(spark, [("2024-01-02 01:00:00", 20.0, "b")]), scratch, ["k"], ["date"])
+    assert res.partitions == -1 and res.changed == 1
+    assert _content(spark, scratch) == [("a", 1.0, dt.date(2024, 1, 1)), ("b", 20.0, dt.date(2024, 1, 2))]
+    twice = _rows(spark, [("2024-01-02 01:00:00", 3.0, "b"), ("2024-01-02 01:00:00", 4.0, "b")])
+    with pytest.raises(ValueError, match="repeats key"):
+        upsert_path(spark, twice, scratch, ["k"], ["date"])
