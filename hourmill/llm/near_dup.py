@@ -8,8 +8,8 @@
    each of its buckets. A pair goes on if the similarity that XOR and bit
    counts of the packed minima estimate, corrected for chance collisions of
    4-bit values (1/16), and the set sizes allow the threshold.
-4. Pairs that go on are verified on the full shingle sets, and links joined
-   into components.
+4. Pairs that go on are verified on the full shingle sets, nearest first, and
+   links joined into components; pairs inside a component need no test.
 5. Members of one bucket that are still in different components are then
    compared the same way, so no link of a bucket is lost, while a large group
    of near copies, joined by step 4, is never expanded into all its pairs.
@@ -50,6 +50,7 @@ class MinHashSpec:
     bands: int = 40
     rows: int = 5
     least_estimate: float = 0.55
+    rounds: int = 2  # of testing only each document's nearest candidate
     block: int = 64  # members verified against one hub in one group
 
     @property
@@ -97,6 +98,15 @@ def _minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return least
 
 
+#: Bits of the parity sketch: bit h mod ODD_BITS is turned by each shingle hash h.
+ODD_BITS = 1024
+
+
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    bits = np.bincount((shingles & np.uint64(ODD_BITS - 1)).astype(np.int64), minlength=ODD_BITS) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _set_digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
@@ -109,13 +119,14 @@ def _signer(spec: MinHashSpec):
         turn = mix64(np.arange(3, 3 + spec.rows, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) | np.uint64(1)
         shift = (np.arange(16, dtype=np.uint64) * np.uint64(4))[None, :]
         for batch in batches:
-            counts, digests, bands, packed = [], [], [], []
+            counts, digests, bands, packed, odd = [], [], [], [], []
             for shingles in shingle_sets(batch.column(1), spec.shingle):
                 counts.append(len(shingles))
                 if not len(shingles):
                     digests.append(None)
                     bands.append(None)
                     packed.append(None)
+                    odd.append(None)
                     continue
                 least = _minima(shingles, a, b)
                 keys = mix64((least.reshape(spec.bands, spec.rows) * turn).sum(axis=1, dtype=np.uint64) + salt)
@@ -123,6 +134,7 @@ def _signer(spec: MinHashSpec):
                 low[: spec.hashes] = (least ^ (least >> np.uint64(32))) & np.uint64(15)
                 digests.append(_set_digest(shingles))
                 bands.append(keys.view(np.int64))
+                odd.append(_parity(shingles))
                 packed.append((low.reshape(-1, 16) << shift).sum(axis=1, dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -131,37 +143,46 @@ def _signer(spec: MinHashSpec):
                     pa.array(digests, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(packed, pa.list_(pa.int64())),
+                    pa.array(odd, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "digest", "bands", "packed"],
+                names=["doc_id", "n_shingles", "digest", "bands", "packed", "odd"],
             )
 
     return sign
 
 
 def signatures(docs: DataFrame, spec: MinHashSpec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, digest, bands, packed (the last three null for an empty set)."""
+    """doc_id, n_shingles, digest, bands, packed, odd (the last four null for an empty set)."""
     bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, n_shingles long, digest binary, bands array<long>, packed array<long>"
+    schema = "doc_id long, n_shingles long, digest binary, bands array<long>, packed array<long>, odd array<long>"
     return narrow.mapInArrow(_signer(spec), schema)
 
 
-def _may_link(spec: MinHashSpec, a: str, b: str) -> str:
-    """SQL test of a pair: sizes within the threshold's ratio, and the b-bit estimate high enough.
-
-    Nibbles of XOR that are not zero are minima that differ; 1/16 of unequal
-    minima agree in 4 bits by chance, so the share of equal nibbles e gives
-    the similarity (e - 1/16) / (15/16).
-    """
-    unequal = " + ".join(
-        f"bit_count((x | shiftrightunsigned(x, 1) | shiftrightunsigned(x, 2) | shiftrightunsigned(x, 3)) & 1229782938247303441L)".replace(
+def _unequal(spec: MinHashSpec, a: str, b: str) -> str:
+    """SQL for the number of minima that differ in their low bits: nibbles of XOR that are not zero."""
+    return " + ".join(
+        "bit_count((x | shiftrightunsigned(x, 1) | shiftrightunsigned(x, 2) | shiftrightunsigned(x, 3)) & 1229782938247303441L)".replace(
             "x", f"({a}.packed[{i}] ^ {b}.packed[{i}])"
         )
         for i in range(spec.words64)
     )
+
+
+def _may_link(spec: MinHashSpec, a: str, b: str) -> str:
+    """SQL test of a pair: sizes within the threshold's ratio, and the b-bit estimate high enough.
+
+    1/16 of unequal minima agree in 4 bits by chance, so the share of equal
+    nibbles e gives the similarity (e - 1/16) / (15/16). Each shingle that only
+    one set has turns one bit of the parity sketches, so their XOR counts at
+    most the symmetric difference, which a link bounds: a pair over the bound
+    is no link for certain.
+    """
     most = spec.hashes * (1 - (spec.least_estimate * 15 / 16 + 1 / 16))
     sizes = f"100 * least({a}.n, {b}.n) >= {spec.percent} * greatest({a}.n, {b}.n)"
-    return f"{sizes} and ({unequal}) <= {most:.6f}"
+    odd = " + ".join(f"bit_count({a}.odd[{i}] ^ {b}.odd[{i}])" for i in range(ODD_BITS // 64))
+    apart = f"({odd}) * {100 + spec.percent} <= ({a}.n + {b}.n) * {100 - spec.percent}"
+    return f"{sizes} and ({_unequal(spec, a, b)}) <= {most:.6f} and {apart}"
 
 
 def _verifier(spec: MinHashSpec):
@@ -208,6 +229,29 @@ def verified(pairs: DataFrame, docs: DataFrame, spec: MinHashSpec) -> DataFrame:
     )
 
 
+def _settle(pairs: DataFrame, joined: DataFrame, docs: DataFrame, spec: MinHashSpec) -> DataFrame:
+    """Components (node, component_id) after all links among the candidate ``pairs`` (u, v, far).
+
+    In each of ``spec.rounds`` rounds every document verifies only its nearest
+    candidate by the estimate that is in another component and untested; then
+    whatever pairs still lie between components are all verified. Pairs inside
+    a component need no test, so a group of n near copies costs about n tests.
+    """
+    tested = None
+    for turn in range(spec.rounds + 1):
+        u, v = joined.select(F.col("node").alias("u"), F.col("component_id").alias("cu")), joined.select(F.col("node").alias("v"), F.col("component_id").alias("cv"))
+        apart = pairs.join(u, "u", "left").join(v, "v", "left").filter("coalesce(cu, u) <> coalesce(cv, v)").select("u", "v", "far")
+        pairs = write_scratch(apart.join(tested, ["u", "v"], "left_anti") if tested is not None else apart, "pairs-apart")
+        if pairs.isEmpty():
+            break
+        now = pairs.groupBy("u").agg(F.min(F.struct("far", "v")).alias("n")).select("u", "n.v") if turn < spec.rounds else pairs.select("u", "v")
+        tested = write_scratch(now, "pairs-now")
+        links = write_scratch(verified(tested, docs, spec), "links-now")
+        edges = joined.select(F.col("node").alias("u"), F.col("component_id").alias("v")).unionByName(links)
+        joined = write_scratch(connected_components(edges), "components")
+    return joined
+
+
 def near_duplicates(
     docs: DataFrame, spec: MinHashSpec | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -235,23 +279,26 @@ def near_duplicates(
     reps = write_scratch(
         signed.filter("digest is not null")
         .join(classes, [signed.digest == classes.digest, F.col("doc_id") == F.col("rep")], "left_semi")
-        .select(F.col("doc_id").alias("rep"), F.col("n_shingles").cast("int").alias("n"), "bands", "packed")
+        .select(F.col("doc_id").alias("rep"), F.col("n_shingles").cast("int").alias("n"), "bands", "packed", "odd")
         .dropDuplicates(["rep"]),  # repeated rows are alike here
         "reps",
     )
-    rep_packed = reps.select("rep", "n", "packed")
+    rep_packed = reps.select("rep", "n", "packed", "odd")
     by_band = reps.select("rep", F.explode("bands").alias("band"))
     hubs = by_band.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("_top")).filter("hub <> _top")
     shared = write_scratch(by_band.join(hubs.select("band", "hub"), "band"), "buckets")
 
     first = shared.filter("rep <> hub").select("rep", "hub").distinct()
-    a, b = rep_packed.alias("a"), rep_packed.select(F.col("rep").alias("hub"), "n", "packed").alias("b")
-    tested = write_scratch(
-        first.join(a, "rep").join(b, "hub").filter(_may_link(spec, "a", "b")).select(F.col("rep").alias("u"), F.col("hub").alias("v")),
+    a, b = rep_packed.alias("a"), rep_packed.select(F.col("rep").alias("hub"), "n", "packed", "odd").alias("b")
+    stars = write_scratch(
+        first.join(a, "rep")
+        .join(b, "hub")
+        .filter(_may_link(spec, "a", "b"))
+        .select(F.col("rep").alias("u"), F.col("hub").alias("v"), F.expr(_unequal(spec, "a", "b")).alias("far")),
         "star-candidates",
     )
-    links = write_scratch(verified(tested, narrow, spec), "star-links")
-    joined = write_scratch(connected_components(links), "star-components")
+    none = docs.sparkSession.createDataFrame([], "node long, component_id long")
+    joined = _settle(stars, none, narrow, spec)
 
     # Buckets whose members are still in different components.
     placed = shared.select("band", "rep").join(joined, F.col("rep") == F.col("node"), "left").select(
@@ -262,14 +309,11 @@ def near_duplicates(
     x, y = still.alias("x"), still.alias("y")
     rest = (
         x.join(y, F.expr("x.band = y.band and x.comp < y.comp and " + _may_link(spec, "x", "y")))
-        .select(F.greatest("x.rep", "y.rep").alias("u"), F.least("x.rep", "y.rep").alias("v"))
+        .select(F.greatest("x.rep", "y.rep").alias("u"), F.least("x.rep", "y.rep").alias("v"), F.expr(_unequal(spec, "x", "y")).alias("far"))
         .distinct()
-        .join(tested, ["u", "v"], "left_anti")
+        .join(stars, ["u", "v"], "left_anti")
     )
-    rest = write_scratch(rest, "cross-candidates")
-    if not rest.isEmpty():
-        more = write_scratch(verified(rest, narrow, spec), "cross-links")
-        joined = write_scratch(connected_components(joined.select(F.col("node").alias("u"), F.col("component_id").alias("v")).unionByName(more)), "components")
+    joined = _settle(write_scratch(rest, "cross-candidates"), joined, narrow, spec)
 
     found = classes.join(joined, F.col("rep") == F.col("node"), "left").select(
         F.col("digest").alias("_digest"), F.coalesce("component_id", "rep").alias("_comp")
