@@ -1,32 +1,24 @@
 """Serving layer: the report aggregate, default sums, the model relationship, preview.
 
-Sums of measures are exact DECIMAL sums at 1e-6 resolution, returned as
-DOUBLE: the total then does not depend on how rows were split across
-partitions (or engines), which a floating-point sum does.
+Measures are summed as they are, every digit kept. A total of doubles can
+differ in its last digits with how rows were dealt; a measure that has a fixed
+number of decimals should be a DECIMAL column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourmill.operators.quality import duplicate_keys
 
-SUM_SCALE = 6
-
-
-def exact_sum(c: Column | str) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(T.DecimalType(38, SUM_SCALE))).cast(T.DoubleType())
-
-
 def chart(gold: DataFrame, dim: str = "price", measure: str = "avg_price_last_3h") -> DataFrame:
     """SUM(measure) per dim, largest first (the report's column chart)."""
     out = f"sum_{measure}"
-    return gold.groupBy(dim).agg(exact_sum(measure).alias(out)).orderBy(F.desc_nulls_last(out), F.asc(dim))
+    return gold.groupBy(dim).agg(F.sum(measure).cast(T.DoubleType()).alias(out)).orderBy(F.desc_nulls_last(out), F.asc(dim))
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -40,7 +32,7 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 def default_sums(df: DataFrame, dims: Sequence[str] = ("label",), exclude: Sequence[str] = ()) -> DataFrame:
     """SUM of every numeric column per ``dims`` (timestamp/label are not summed)."""
     cols = numeric_columns(df, [*dims, *exclude])
-    return df.groupBy(*dims).agg(*[exact_sum(c).alias(f"sum_{c}") for c in cols])
+    return df.groupBy(*dims).agg(*[F.sum(c).cast(T.DoubleType()).alias(f"sum_{c}") for c in cols])
 
 
 def relationship(

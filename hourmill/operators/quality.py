@@ -40,9 +40,3 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once (empty when ``keys`` is unique)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-
-
-def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "") -> None:
-    """Raise when ``keys`` is not unique; one distributed aggregation."""
-    if not duplicate_keys(df, keys).isEmpty():
-        raise ValueError(f"{what or 'table'}: key {list(keys)} is not unique")

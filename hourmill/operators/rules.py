@@ -12,7 +12,7 @@ LABEL_FALSE = "NORMAL"
 
 def pct_vs(price: Column, avg: Column) -> Column:
     """Relative difference to the average; NULL when the average is NULL or 0."""
-    return F.when(avg.isNotNull() & (avg != 0), (price - avg) / avg)
+    return (price - avg) / F.nullif(avg, F.lit(0.0))
 
 
 def cheap_label(
@@ -24,5 +24,4 @@ def cheap_label(
     no: str = LABEL_FALSE,
 ) -> Column:
     """``yes`` when the price is below its trailing average and wind reaches the threshold."""
-    cheap = avg.isNotNull() & (price < avg) & wind.isNotNull() & (wind >= F.lit(float(threshold)))
-    return F.when(cheap, F.lit(yes)).otherwise(F.lit(no))
+    return F.when((price < avg) & (wind >= float(threshold)), yes).otherwise(no)

@@ -11,14 +11,14 @@ ignored and an empty frame gives NULL.
 A global ``Window.orderBy(t).rangeBetween(...)`` puts every row of a
 series into one task. Instead:
 
-1. rows are pre-aggregated per (series, second) into an exact decimal sum
-   and a non-null count (map-side partial aggregation, so a hot second or
+1. rows are pre-aggregated per (series, second) into a sum (of doubles, or
+   of exact decimals when a scale is given) and a non-null count (map-side partial aggregation, so a hot second or
    hour is reduced before it is shuffled);
 2. seconds are cut into time buckets of width B >= R*3600; a second that
    lies within R hours of the next bucket is also copied there as a halo
-   row; per (series, bucket) the frame sum is the difference of two
-   running sums (before s, before s - R*3600), and only home rows are
-   kept. A window partition therefore holds at most B + R*3600 distinct
+   row; per (series, bucket) the frame sum of decimals is the difference
+   of two running sums (before s, before s - R*3600), that of doubles is
+   taken over the frame, and only home rows are kept. A window partition therefore holds at most B + R*3600 distinct
    seconds no matter how many input rows fall into it;
 3. the per-second result is joined back to the rows on (series, second).
    That result has at most one row per series and second, whatever the
@@ -35,7 +35,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -51,18 +51,25 @@ _PCNT = "_hm_pcnt"
 _FSUM = "_hm_fsum"
 _FCNT = "_hm_fcnt"
 
-# Values are summed as decimals with EXACT_SCALE decimals: exact for inputs
-# with up to six decimals, which covers prices and sensor readings. Inputs
-# keep INPUT_DIGITS integer digits (|x| < 1e12) whatever the scale.
-EXACT_SCALE = 6
+# Integer digits of values summed exactly (|x| < 1e12), beside their ``scale``.
 INPUT_DIGITS = 12
 HALO_FACTOR = 8
 
 
-def _input_type(scale: int) -> T.DecimalType:
+def _summand(value: Column, scale: int | None) -> Column:
+    """The value as it is summed: a double, or with ``scale`` an exact decimal.
+
+    A decimal that is not the value itself (more decimals than ``scale``, 1e12
+    or more, NaN or infinite) is an error, never a rounding.
+    """
+    if scale is None:
+        return value.cast(T.DoubleType())
     if not 0 <= scale <= 38 - INPUT_DIGITS:
         raise ValueError(f"scale must be between 0 and {38 - INPUT_DIGITS}")
-    return T.DecimalType(INPUT_DIGITS + scale, scale)
+    v, kind = value.cast(T.DoubleType()), T.DecimalType(INPUT_DIGITS + scale, scale)
+    exact = v.cast(T.StringType()).try_cast(kind)
+    bad = F.raise_error(F.concat(F.lit(f"value does not fit {scale} decimals: "), v.cast("string"))).cast(kind)
+    return F.when(v.isNull(), F.lit(None).cast(kind)).when(exact.cast(T.DoubleType()) == v, exact).otherwise(bad)
 
 
 def trailing_frame(
@@ -73,9 +80,9 @@ def trailing_frame(
     hours: int = 3,
     by: Sequence[str] = (),
     bucket_seconds: int | None = None,
-    scale: int = EXACT_SCALE,
+    scale: int | None = None,
 ) -> DataFrame:
-    """Per (series, second): exact sum and count of ``value`` over the trailing frame.
+    """Per (series, second): sum and count of ``value`` over the trailing frame.
 
     Returns columns ``by + [_hm_s, _hm_fsum, _hm_fcnt]``, one row per
     distinct (series, second) in ``df``.
@@ -88,7 +95,7 @@ def trailing_frame(
         .where(F.col(_SEC).isNotNull())
         .groupBy(*by, _SEC)
         .agg(
-            F.sum(F.col("_hm_v").cast(_input_type(scale))).alias(_PSUM),
+            F.sum(_summand(F.col("_hm_v"), scale)).alias(_PSUM),
             F.count("_hm_v").alias(_PCNT),
         )
     )
@@ -100,7 +107,7 @@ def _haloed_frame(
     by: list[str],
     width: int,
     bucket: int,
-    scale: int,
+    scale: int | None,
     carry: Sequence[str],
     psum: str,
     pcnt: str,
@@ -117,21 +124,24 @@ def _haloed_frame(
     copies = F.when(reach > home, F.array(home, reach)).otherwise(F.array(home))
     haloed = rows.select("*", home.alias(_HOME), F.explode(copies).alias(_BUCKET))
 
-    # Frame sum = (everything before s) - (everything before s - R*3600):
-    # both are running frames Spark maintains incrementally, O(n) per
-    # partition, where a sliding frame re-aggregates every row's frame.
-    # Exact decimals make the subtraction exact.
+    # Exact decimals: frame sum = (everything before s) - (everything before
+    # s - R*3600), two running frames that Spark maintains in O(n). Doubles
+    # would lose the frame to cancellation (and NaN would never leave), so
+    # they are summed over the frame itself, at most ``width`` seconds.
     ordered = Window.partitionBy(*by, _BUCKET).orderBy(_SEC)
     before = ordered.rangeBetween(Window.unboundedPreceding, -1)
     too_old = ordered.rangeBetween(Window.unboundedPreceding, -width - 1)
-    zero = F.lit(0).cast(T.DecimalType(38, scale))
-    fsum = F.coalesce(F.sum(psum).over(before), zero) - F.coalesce(F.sum(psum).over(too_old), zero)
+    if scale is None:
+        fsum = F.sum(psum).over(ordered.rangeBetween(-width, -1))
+    else:
+        zero = F.lit(0).cast(T.DecimalType(38, scale))
+        fsum = (F.coalesce(F.sum(psum).over(before), zero) - F.coalesce(F.sum(psum).over(too_old), zero)).cast(T.DecimalType(38, scale))
     fcnt = F.coalesce(F.sum(pcnt).over(before), F.lit(0)) - F.coalesce(F.sum(pcnt).over(too_old), F.lit(0))
     return haloed.select(
         *[c for c in carry if c not in by],
         *by,
         _SEC,
-        fsum.cast(T.DecimalType(38, scale)).alias(_FSUM),
+        fsum.alias(_FSUM),
         fcnt.alias(_FCNT),
         (F.col(_BUCKET) == F.col(_HOME)).alias("_hm_is_home"),
     ).where("_hm_is_home").drop("_hm_is_home")
@@ -157,7 +167,7 @@ def trailing_mean(
     by: Sequence[str] = (),
     count_out: str | None = None,
     bucket_seconds: int | None = None,
-    scale: int = EXACT_SCALE,
+    scale: int | None = None,
     unique_rows: bool = False,
     broadcast_limit: int | None = None,
 ) -> DataFrame:
@@ -169,6 +179,11 @@ def trailing_mean(
     pre-aggregation and the join back. A window partition then holds the
     rows of B + R hours of one series. Results are identical either way.
 
+    Values are averaged as doubles, every digit kept; NaN and infinities in
+    a frame show in its mean as in AVG. With ``scale`` they are summed as
+    exact decimals of that many places, so the mean does not depend on how
+    rows were dealt; a value that does not fit exactly is an error.
+
     Otherwise the per-second frames are materialized (a reliable
     checkpoint, so a job runs now) and broadcast to the rows when their
     measured size is at most ``broadcast_limit`` bytes (default: the
@@ -181,7 +196,7 @@ def trailing_mean(
         rows = df.select(
             "*",
             epoch_seconds(F.col(ts)).alias(_SEC),
-            F.col(value).cast(_input_type(scale)).alias(_PSUM),
+            _summand(F.col(value), scale).alias(_PSUM),
             F.when(F.col(value).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast(T.LongType()).alias(_PCNT),
         )
         # Rows without a time have an empty frame. Filtering on the input
@@ -190,7 +205,7 @@ def trailing_mean(
         timed = rows.where(F.col(ts).isNotNull())
         framed = _haloed_frame(timed, by, width, bucket, scale, df.columns, _PSUM, _PCNT)
         untimed = rows.where(F.col(ts).isNull()).select(
-            *df.columns, F.lit(None).cast(T.DecimalType(38, scale)).alias(_FSUM), F.lit(0).cast(T.LongType()).alias(_FCNT)
+            *df.columns, F.lit(None).cast(framed.schema[_FSUM].dataType).alias(_FSUM), F.lit(0).cast(T.LongType()).alias(_FCNT)
         )
         both = framed.select(*df.columns, _FSUM, _FCNT).unionByName(untimed)
         mean = F.when(F.col(_FCNT) > 0, F.col(_FSUM).cast(T.DoubleType()) / F.col(_FCNT))

@@ -24,7 +24,7 @@ from hourmill.functions.names import pick, prefix_columns, require
 from hourmill.functions.timekeys import day_of
 from hourmill.operators.quality import dedupe_latest, non_null
 from hourmill.operators.rules import LABEL_FALSE, LABEL_TRUE, cheap_label, pct_vs
-from hourmill.operators.trailing import EXACT_SCALE, trailing_mean
+from hourmill.operators.trailing import trailing_mean
 
 
 @dataclass(frozen=True)
@@ -37,11 +37,9 @@ class GoldRules:
     wind: str = "wind_speed_10m"
     weather_prefix: str = "wx_"
     air_prefix: str = "aq_"
-    # Decimals kept when prices are summed for the trailing average (exact
-    # DECIMAL(38, sum_scale) sums, so results do not depend on partitioning).
-    # Prices with more decimals are rounded to this many; each extra decimal
-    # takes one digit from the 38 - sum_scale integer digits of the sums.
-    sum_scale: int = EXACT_SCALE
+    # None: prices are averaged as doubles. A number: as exact decimals of so
+    # many places, the same however rows are dealt; prices must fit it.
+    sum_scale: int | None = None
 
     @property
     def avg_col(self) -> str:

@@ -12,7 +12,7 @@ from hourmill.functions.timekeys import time_literal
 from hourmill.plans.gold import gold_frame, recompute_start, with_date
 from hourmill.plans.runlog import RunLog
 from hourmill.plans.silver import SilverResult, build_silver, read_silver
-from hourmill.sinks.tables import read_table, register_table, table_exists, write_layer
+from hourmill.sinks.tables import is_managed, read_table, register_table, table_exists, write_layer
 from hourmill.spec import RunSpec
 
 
@@ -36,6 +36,8 @@ def build_gold(
 ) -> GoldResult:
     g = spec.gold
     rules = g.rules
+    if g.table and is_managed(spark, g.table):
+        raise ValueError(f"{g.table} is a managed table; gold is stored at {g.path}")
     start = None
     if spec.load_mode == "incremental":
         start = recompute_start(read_gold(spark, spec), g.overlap, changed_since)

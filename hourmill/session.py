@@ -51,7 +51,7 @@ def shared_root(spark: SparkSession) -> str:
 
     Taken from ``spark.checkpoint.dir`` (or the context's checkpoint
     directory). Only when neither is set, as in a bare local test
-    session, a private temporary directory is created and installed as
+    session (another master raises), a private temporary directory is created and installed as
     the checkpoint directory, so later calls agree on it.
     """
     sc = spark.sparkContext
@@ -64,6 +64,8 @@ def shared_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="hourmill-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -88,6 +90,36 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def visible_children(spark: SparkSession, path: str) -> bool:
+    """True when a folder holds anything but names starting with ``_`` or ``.``."""
+    fs, hpath = _fs_for(spark, path)
+    if not fs.exists(hpath):
+        return False
+    return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(hpath))
+
+
+def write_small_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file on the (shared) file system, replacing it."""
+    fs, hpath = _fs_for(spark, path)
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_small_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, None when it is absent."""
+    if not path_exists(spark, path):
+        return None
+    fs, hpath = _fs_for(spark, path)
+    source = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder this library wrote itself."""
     fs, hpath = _fs_for(spark, path)

@@ -25,6 +25,7 @@ key is kept and a batch row with a NULL key is inserted, as in MERGE.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourmill.session import path_exists, remove_path
+from hourmill.session import path_exists, read_small_text, visible_children, write_small_text
 
 # Above this many touched partitions the IN-list is replaced by a semi join.
 MAX_LITERAL_PARTITIONS = 5000
@@ -47,9 +48,21 @@ class WriteResult:
     earliest_change: dt.datetime | None = None  # min ``track`` column over changed rows
 
 
+#: Keeps the schema of a partitioned table that has no rows, and so no data file.
+SCHEMA_FILE = ".hourmill-schema.json"
+
+
+def _schema_path(path: str) -> str:
+    return f"{path.rstrip('/')}/{SCHEMA_FILE}"
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """A Parquet table exists at ``path`` once a write has committed there."""
-    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+    """A table exists when its folder holds data or a kept schema, whoever wrote it.
+
+    The commit marker is not asked: other tools, and Spark with
+    ``marksuccessfuljobs`` off, write none.
+    """
+    return visible_children(spark, path) or path_exists(spark, _schema_path(path))
 
 
 def _micros_to_datetime(v) -> dt.datetime | None:
@@ -88,14 +101,18 @@ def replace_table(
     got = obs.get
     rows = int(got["rows"])
     if rows == 0 and partition_by:
-        # A partitioned write of nothing leaves no data file to carry the
-        # schema; drop the commit marker so the table still counts as absent
-        # and the next non-empty batch creates it.
-        remove_path(df.sparkSession, f"{path.rstrip('/')}/_SUCCESS")
+        # A partitioned write of nothing leaves no data file to carry the schema.
+        kept = [f for f in df.schema.fields if f.name not in partition_by] + [df.schema[c] for c in partition_by]
+        write_small_text(df.sparkSession, _schema_path(path), T.StructType(kept).json())
     return WriteResult(rows, -1, rows if track else -1, _micros_to_datetime(got.get("first")) if track else None)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table at ``path``; one without rows has the schema it was written with."""
+    if not visible_children(spark, path):
+        kept = read_small_text(spark, _schema_path(path))
+        if kept is not None:
+            return spark.createDataFrame([], T.StructType.fromJson(json.loads(kept)))
     return spark.read.parquet(path)
 
 
@@ -303,6 +320,13 @@ def table_location(spark: SparkSession, name: str) -> str:
     raise ValueError(f"table {name} has no location")
 
 
+def is_managed(spark: SparkSession, name: str) -> bool:
+    """True for an existing table whose files belong to the catalog: dropping it deletes them."""
+    if not spark.catalog.tableExists(name):
+        return False
+    return any(r["col_name"] == "Type" and r["data_type"] == "MANAGED" for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect())
+
+
 def register_table(
     spark: SparkSession, name: str, path: str, partitioned: bool = True, replace_schema: bool = False
 ) -> None:
@@ -310,7 +334,11 @@ def register_table(
 
     ``replace_schema`` re-creates the catalog entry so a full overwrite with
     a different schema is seen (dropping an external table keeps its files).
+    A managed table is never dropped: its own name raises here, and is
+    overwritten by ``replace_named`` instead.
     """
+    if replace_schema and is_managed(spark, name):
+        raise ValueError(f"{name} is a managed table; overwrite it with replace_named")
     if replace_schema and spark.catalog.tableExists(name):
         spark.sql(f"DROP TABLE {name}")
     if not spark.catalog.tableExists(name):
@@ -323,7 +351,14 @@ def register_table(
 def replace_named(
     spark: SparkSession, df: DataFrame, name: str, path: str, partition_by: Sequence[str] = ("date",)
 ) -> WriteResult:
-    """Overwrite a catalog table (stored at ``path``), schema included; create it if absent."""
+    """Overwrite a catalog table (stored at ``path``), schema included; create it if absent.
+
+    A managed table stays managed: the catalog replaces files and schema.
+    """
+    if is_managed(spark, name):
+        obs = Observation("replace-managed")
+        _partitioned_writer(df.observe(obs, F.count(F.lit(1)).alias("rows")), partition_by).mode("overwrite").format("parquet").saveAsTable(name)
+        return WriteResult(int(obs.get["rows"]), -1)
     if spark.catalog.tableExists(name):
         path = table_location(spark, name)
     result = replace_table(df, path, partition_by)

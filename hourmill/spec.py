@@ -110,7 +110,7 @@ def default_spec(
         name="weather",
         bronze=f"{root}/bronze/weather",
         silver=f"{root}/silver/weather",
-        transform="open_meteo_hourly",
+        transform="struct_of_arrays",
         params={"hourly_fields": list(WEATHER_FIELDS), "timestamp_field": "time", "source_timezone": zone, "to_utc": True},
         select=("timestamp", "temperature_2m", "wind_speed_10m", "direct_radiation"),
         schema=WEATHER_SCHEMA,
@@ -119,7 +119,7 @@ def default_spec(
         name="air_quality",
         bronze=f"{root}/bronze/air_quality",
         silver=f"{root}/silver/air_quality",
-        transform="open_meteo_hourly",
+        transform="struct_of_arrays",
         params={"hourly_fields": list(AIR_FIELDS), "timestamp_field": "time", "source_timezone": zone, "to_utc": True},
         select=("timestamp", "carbon_monoxide", "nitrogen_dioxide", "pm10"),
         schema=AIR_SCHEMA,
@@ -137,7 +137,7 @@ def default_spec(
         select=("timestamp", "price"),
         schema=ENERGY_SCHEMA,
     )
-    gold = GoldSpec(path=f"{root}/gold/smart_city_monitoring", table=gold_table, rules=rules or GoldRules())
+    gold = GoldSpec(path=f"{root}/gold/hourly_prices", table=gold_table, rules=rules or GoldRules())
     return RunSpec(
         run_date=run_date,
         datasets=(weather, air, energy),

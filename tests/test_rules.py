@@ -1,4 +1,5 @@
 
+import pytest
 from pyspark.sql import functions as F
 
 from hourmill.plans.gold import GoldRules, gold_frame
@@ -67,8 +68,7 @@ def test_gold_per_series_key(spark):
 
 
 def test_sum_scale_keeps_finer_prices(spark):
-    """Prices with nine decimals: the default six-decimal sums round them,
-    ``sum_scale=9`` keeps the average exact."""
+    """Prices with nine decimals keep them by default and with ``sum_scale=9``; six places are an error."""
     import datetime as dt
 
     t0 = dt.datetime(2024, 1, 1)
@@ -85,4 +85,35 @@ def test_sum_scale_keeps_finer_prices(spark):
         return {r.timestamp: r.avg_price_last_3h for r in rows}[t0 + dt.timedelta(hours=2)]
 
     assert abs(avg_at_2h(GoldRules(sum_scale=9)) - want) < 1e-15
-    assert abs(avg_at_2h(GoldRules()) - want) > 1e-10  # rounded to six decimals
+    assert abs(avg_at_2h(GoldRules()) - want) < 1e-15
+    with pytest.raises(Exception, match="does not fit 6 decimals"):
+        avg_at_2h(GoldRules(sum_scale=6))
+
+
+@pytest.mark.parametrize("unique_rows", [True, False])
+def test_trailing_mean_keeps_every_digit(spark, unique_rows):
+    """Tiny, huge, NaN and infinite values: the mean of doubles, as AVG gives it."""
+    import datetime as dt
+    import math
+
+    from hourmill.operators.trailing import trailing_mean
+
+    def last(values):
+        t0 = dt.datetime(2024, 1, 1)
+        rows = [(t0 + dt.timedelta(minutes=30 * i), v) for i, v in enumerate([*values, 0.0])]
+        df = spark.createDataFrame(rows, "timestamp timestamp, v double")
+        out = trailing_mean(df, "v", "m", unique_rows=unique_rows).collect()
+        return max(out, key=lambda r: r.timestamp).m
+
+    assert last([1e-8, 3e-8]) == pytest.approx(2e-8, rel=1e-12)
+    assert last([2e12, 4e12]) == 3e12
+    assert math.isnan(last([10.0, float("nan"), 20.0]))
+    assert last([10.0, float("inf"), 20.0]) == float("inf")
+    assert last([10.0, None, 20.0]) == 15.0
+
+
+def test_sums_keep_every_digit(spark):
+    from hourmill.operators.mart import chart, default_sums
+
+    df = spark.createDataFrame([("a", 1 / 3)], "label string, v double")
+    assert chart(df, "label", "v").first()[1] == 1 / 3 and default_sums(df).first()[1] == 1 / 3

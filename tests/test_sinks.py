@@ -89,7 +89,7 @@ def test_replace_named_replaces_the_schema(spark, scratch):
 def test_empty_batches(spark, scratch):
     empty = _rows(spark, [("2024-01-01 01:00:00", 1.0, "a")]).where("false")
     res = upsert_path(spark, empty, scratch, ["k"], ["date"], track="timestamp")
-    assert res.rows == 0 and not table_exists(spark, scratch)  # nothing to create yet
+    assert res.rows == 0 and table_exists(spark, scratch) and read_table(spark, scratch).count() == 0  # its schema is kept
     upsert_path(spark, _rows(spark, [("2024-01-01 01:00:00", 1.0, "a")]), scratch, ["k"], ["date"])
     res = upsert_path(spark, empty, scratch, ["k"], ["date"], track="timestamp")
     assert res.rows == 0 and res.earliest_change is None
@@ -136,3 +136,46 @@ def test_many_partitions_fall_back_to_semi_join(spark, scratch, monkeypatch):
     twice = _rows(spark, [("2024-01-02 01:00:00", 3.0, "b"), ("2024-01-02 01:00:00", 4.0, "b")])
     with pytest.raises(ValueError, match="repeats key"):
         upsert_path(spark, twice, scratch, ["k"], ["date"])
+
+
+def _stored(spark, n=5):
+    return spark.range(n).selectExpr("id", "id * 10 as v", "date'2024-01-01' as date")
+
+
+def test_upsert_into_a_table_without_commit_marker(spark, scratch):
+    """Another tool wrote the table, or the marker is switched off: no stored row is lost."""
+    from hourmill.session import remove_path
+    from hourmill.sinks.tables import read_table, replace_table, upsert_path
+
+    replace_table(_stored(spark), scratch, ["date"])
+    remove_path(spark, f"{scratch}/_SUCCESS")
+    upsert_path(spark, _stored(spark, 1).selectExpr("id", "99L as v", "date"), scratch, ["id"])
+    assert sorted((r.id, r.v) for r in read_table(spark, scratch).collect()) == [(0, 99), (1, 10), (2, 20), (3, 30), (4, 40)]
+
+
+def test_empty_table_keeps_its_schema(spark, scratch):
+    from hourmill.sinks.tables import read_table, replace_table, table_exists, upsert_path
+
+    replace_table(_stored(spark).limit(0), scratch, ["date"])
+    empty = read_table(spark, scratch)
+    assert table_exists(spark, scratch) and empty.count() == 0 and empty.columns == ["id", "v", "date"]
+    upsert_path(spark, _stored(spark, 2), scratch, ["id"])
+    assert read_table(spark, scratch).count() == 2
+
+
+def test_managed_table_is_replaced_not_dropped(spark, scratch):
+    import pytest
+
+    from hourmill.sinks.tables import is_managed, register_table, replace_named
+
+    name = "t_managed_replace"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _stored(spark).write.saveAsTable(name)
+    assert is_managed(spark, name)
+    with pytest.raises(ValueError, match="managed"):
+        register_table(spark, name, scratch, replace_schema=True)
+    assert spark.table(name).count() == 5
+    wider = _stored(spark, 3).selectExpr("id", "cast(v as string) as v", "1 as extra", "date")
+    assert replace_named(spark, wider, name, scratch).rows == 3
+    assert is_managed(spark, name) and spark.table(name).count() == 3 and "extra" in spark.table(name).columns
+    spark.sql(f"DROP TABLE {name}")
