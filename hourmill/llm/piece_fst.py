@@ -8,8 +8,8 @@ Arcs therefore carry weights of the tropical semiring between neighbours: 0 if
 merging the two pieces' characters alone gives these two pieces back, else
 infinite. A path of weight 0 is the encoding, and there is exactly one: a
 sequence of pieces is what merging produces if and only if each adjacent pair
-is. Each prefix of the input then has one best last piece, and the shortest
-path is found left to right in one pass.
+is. Each prefix of the input then has one best last piece, so the search
+settles each position at most once.
 
 No piece joins a U+2581 to characters before it, so the input is composed
 unit by unit (blanks and what follows), and a worker keeps the paths of the
@@ -52,7 +52,7 @@ def read_model(path: str) -> tuple[list[tuple[str, float, int]], bool]:
 
 
 class PieceTransducer:
-    def __init__(self, path: str, most_units: int = 300_000, most_pairs: int = 1_000_000):
+    def __init__(self, path: str, most_units: int = 200_000, most_pairs: int = 1_000_000):
         pieces, self.prefix = read_model(path)
         normal = {p: (i, s) for i, (p, s, t) in enumerate(pieces) if t == 1}
         self.score = {p: s for p, (_, s) in normal.items()}
@@ -65,9 +65,13 @@ class PieceTransducer:
                 self.value[i] = int(p[3:5], 16)
         self.arcs = {p: i for p, (i, _) in normal.items() if self._merge(p) == [p]}
         self.chars = {p for p in normal if len(p) == 1}
-        self.longest = max(map(len, self.arcs), default=1)
+        self.reach: dict[str, int] = {}  # two characters to the length of the longest arc they begin
+        for p in self.arcs:
+            self.reach[p[:2]] = max(len(p), self.reach.get(p[:2], 1))
+        self.raw = [bytes([self.value[i]]) if i in self.value else p.encode() for i, p in enumerate(self.text)]
         self.most_units, self.most_pairs = most_units, most_pairs
         self.units: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}  # units of the last full round: frequent ones move on
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def _merge(self, text: str) -> list[str]:
@@ -85,46 +89,60 @@ class PieceTransducer:
         return parts
 
     def _may_follow(self, a: int, b: int) -> bool:
-        key = (a, b)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) > self.most_pairs:
-                self.pairs.clear()
-            x, y = self.text[a], self.text[b]
-            known = self.pairs[key] = self._merge(x + y) == [x, y]
+        """Computes and keeps the weight between two pieces."""
+        if len(self.pairs) > self.most_pairs:
+            self.pairs.clear()
+        x, y = self.text[a], self.text[b]
+        known = self.pairs[a, b] = self._merge(x + y) == [x, y]
         return known
 
     def path(self, unit: str) -> tuple[int, ...]:
-        """Ids of the shortest path over a unit."""
-        arcs, chars, n = self.arcs, self.chars, len(unit)
-        last: list[int | None] = [None] * (n + 1)  # the piece that ends here; -1 for a character in bytes
-        came = [-1] * (n + 1)
-        came[0] = 0
-        for end in range(1, n + 1):
-            if unit[end - 1] not in chars:
-                if came[end - 1] >= 0:
-                    last[end], came[end] = -1, end - 1
-                continue
-            for start in range(max(0, end - self.longest), end):
-                if came[start] < 0:
-                    continue
-                piece = arcs.get(unit[start:end])
-                if piece is None:
-                    continue
-                before = last[start]
-                if before is None or before < 0 or self._may_follow(before, piece):
-                    last[end], came[end] = piece, start
-                    break
-        out: list[int] = []
-        at = n
-        while at:
-            piece = last[at]
-            if piece == -1:
-                out += [self.byte[b] for b in reversed(unit[came[at] : at].encode())]
+        """Ids of the shortest path over a unit.
+
+        Only one path of weight 0 leads to any position, so a position is
+        settled once: the search takes the longest arc first, and steps back
+        from a position that no arc leaves, never to enter it again.
+        """
+        arcs, chars, pairs, reach, n = self.arcs, self.chars, self.pairs, self.reach, len(unit)
+        taken: list[int] = []  # pieces from the start; -1 for a character in bytes
+        begins: list[int] = []
+        dead: set[int] = set()
+        at, before, top = 0, -1, -1
+        while at < n:
+            if top < 0:
+                top = min(n, at + reach.get(unit[at : at + 2], 1))
+            if unit[at] not in chars:
+                piece, end = -1, at + 1
+                found = top > at and end not in dead
+            else:
+                found = False
+                for end in range(top, at, -1):
+                    piece = arcs.get(unit[at:end])
+                    if piece is None or end in dead:
+                        continue
+                    if before >= 0:
+                        found = pairs.get((before, piece))
+                        if found is None:
+                            found = self._may_follow(before, piece)
+                    else:
+                        found = True
+                    if found:
+                        break
+            if found:
+                taken.append(piece)
+                begins.append(at)
+                at, before, top = end, piece, -1
             else:
-                out.append(piece)
-            at = came[at]
-        return tuple(reversed(out))
+                dead.add(at)
+                taken.pop()
+                at, top = begins.pop(), at - 1
+                before = taken[-1] if taken else -1
+        if -1 not in taken:
+            return tuple(taken)
+        out: list[int] = []
+        for piece, begin in zip(taken, begins, strict=True):
+            out += [piece] if piece >= 0 else [self.byte[b] for b in unit[begin].encode()]
+        return tuple(out)
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
@@ -135,21 +153,20 @@ class PieceTransducer:
         for unit in _UNITS(normal):
             own = units.get(unit)
             if own is None:
-                if len(units) > self.most_units:
-                    units.clear()
-                own = self.path(unit)
+                own = self.older.get(unit)
+                if own is None:
+                    own = self.path(unit)
                 if len(unit) < 64:
+                    if len(units) >= self.most_units:
+                        self.older, self.units = units, {}
+                        units = self.units
                     units[unit] = own
             ids += own
         return ids
 
     def decode(self, ids: list[int]) -> str:
         """The text whose encoding has these ids; bytes that are no UTF-8 become U+FFFD."""
-        value, text = self.value, self.text
-        if any(i in value for i in ids):
-            raw = b"".join(bytes([value[i]]) if i in value else text[i].encode() for i in ids).decode(errors="replace")
-        else:
-            raw = "".join([text[i] for i in ids])
+        raw = b"".join(map(self.raw.__getitem__, ids)).decode(errors="replace")
         raw = raw.replace(_BLANK, " ")
         return raw[1:] if self.prefix and raw.startswith(" ") else raw
 
@@ -197,7 +214,13 @@ def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = transducer(model)
         for batch in batches:
-            texts = [fst.decode(x or []) for x in batch.column(0).to_pylist()]
+            ids = batch.column(0).fill_null([])
+            cuts = ids.offsets.to_pylist()
+            texts = []
+            for lo in range(0, len(ids), 64):  # Python integers of a few documents at a time
+                hi = min(lo + 64, len(ids))
+                flat = ids.values.slice(cuts[lo], cuts[hi] - cuts[lo]).to_numpy(zero_copy_only=False).tolist()
+                texts += [fst.decode(flat[x - cuts[lo] : y - cuts[lo]]) for x, y in zip(cuts[lo:hi], cuts[lo + 1 : hi + 1], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"])
 
     return encoded.select("ids", *rest).mapInArrow(run, schema)
