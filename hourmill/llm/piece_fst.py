@@ -12,8 +12,9 @@ is. Each prefix of the input then has one best last piece, so the search
 settles each position at most once.
 
 No piece joins a U+2581 to characters before it, so the input is composed
-unit by unit (blanks and what follows), and a worker keeps the paths of the
-units it has seen. Decoding inverts the transducer.
+unit by unit (blanks and what follows), cut again between characters that no
+piece joins. A worker keeps the paths of the units it has seen lately.
+Decoding inverts the transducer.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ def read_model(path: str) -> tuple[list[tuple[str, float, int]], bool]:
 
 
 class PieceTransducer:
-    def __init__(self, path: str, most_units: int = 200_000, most_pairs: int = 1_000_000):
+    def __init__(self, path: str, most_units: int = 300_000, most_pairs: int = 1_000_000):
         pieces, self.prefix = read_model(path)
         normal = {p: (i, s) for i, (p, s, t) in enumerate(pieces) if t == 1}
         self.score = {p: s for p, (_, s) in normal.items()}
@@ -64,6 +65,7 @@ class PieceTransducer:
                 self.byte[int(p[3:5], 16)] = i
                 self.value[i] = int(p[3:5], 16)
         self.arcs = {p: i for p, (i, _) in normal.items() if self._merge(p) == [p]}
+        self.joins = {p[i : i + 2] for p in normal for i in range(len(p) - 1)}
         self.chars = {p for p in normal if len(p) == 1}
         self.reach: dict[str, int] = {}  # two characters to the length of the longest arc they begin
         for p in self.arcs:
@@ -144,6 +146,28 @@ class PieceTransducer:
             out += [piece] if piece >= 0 else [self.byte[b] for b in unit[begin].encode()]
         return tuple(out)
 
+    def _find(self, unit: str) -> tuple[int, ...]:
+        """Ids of a unit not among the newest ones, cut where no piece joins two neighbours."""
+        own = self.older.get(unit)
+        if own is None:
+            joins, begin, parts = self.joins, 0, []
+            for i in range(1, len(unit)):
+                if unit[i - 1 : i + 1] not in joins:
+                    part = unit[begin:i]
+                    parts += self.units.get(part) or self._find(part)
+                    begin = i
+            if begin:
+                part = unit[begin:]
+                own = (*parts, *(self.units.get(part) or self._find(part)))
+            else:
+                own = self.path(unit)
+        if len(unit) < 64:
+            if len(self.units) >= self.most_units:
+                self.older = self.units.copy()
+                self.units.clear()
+            self.units[unit] = own
+        return own
+
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
@@ -153,14 +177,7 @@ class PieceTransducer:
         for unit in _UNITS(normal):
             own = units.get(unit)
             if own is None:
-                own = self.older.get(unit)
-                if own is None:
-                    own = self.path(unit)
-                if len(unit) < 64:
-                    if len(units) >= self.most_units:
-                        self.older, self.units = units, {}
-                        units = self.units
-                    units[unit] = own
+                own = self._find(unit)
             ids += own
         return ids
 

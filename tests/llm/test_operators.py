@@ -263,7 +263,7 @@ def test_surrogates_stay_distinct_in_a_small_space(spark):
 def test_piece_transducer(spark, odd_docs, no_docs):
     import sentencepiece
 
-    from hourmill.llm.piece_fst import round_trip, transducer
+    from hourmill.llm.piece_fst import PieceTransducer, round_trip, transducer
 
     path = tokenizer_path(PIECES)
     s, f = sentencepiece.SentencePieceProcessor(model_file=path), transducer(path)
@@ -271,6 +271,9 @@ def test_piece_transducer(spark, odd_docs, no_docs):
     odd = ["", " ", "a  b   c", "<s> x </s> <0x41>", "a" * 50, "\n\n\t x", "日本語", "▁▁a▁", "\0 z", "x" * 300, "1234567"]
     odd += ["".join(rng.choice("aeio nt \n=-1é語") for _ in range(120)) for _ in range(300)]
     assert all(f.encode(x) == s.encode(x) and f.decode(f.encode(x)) == x.replace("▁", " ") for x in odd)
+    small = PieceTransducer(path, most_units=5, most_pairs=5)  # forgets units and pairs all the time
+    longer = ["a\n" * 30_000, "lol" * 5_000, *odd, *odd]
+    assert all(small.encode(x) == s.encode(x) for x in longer)
     want = Counter((i, len(s.encode(t or "")), crc(s.encode(t or "")), True) for i, t in texts(odd_docs))
     assert Counter(tuple(r) for r in round_trip(odd_docs, path).collect()) == want
     assert round_trip(no_docs, path).count() == 0
