@@ -73,14 +73,29 @@ def build_gold(
 
 
 def run(spark: SparkSession, spec: RunSpec) -> tuple[list[SilverResult], GoldResult]:
-    """Bronze -> silver for every feed, then silver -> gold, then one log append."""
+    """Bronze -> silver for every feed, then silver -> gold, then one log append.
+
+    A failed run appends its events too, the last one an ERROR naming the step.
+    """
     log = RunLog(spark, spec.log_path, "hourmill.run", spec.run_date.isoformat()) if spec.log_path else None
     if log is not None:
         log.add("INFO", "run started", "", "start", {"load_mode": spec.load_mode})
-    silver = build_silver(spark, spec, log)
-    changes = [r.earliest_change for r in silver if r.earliest_change is not None]
-    gold = build_gold(spark, spec, min(changes) if changes else None, log)
+    step = "silver"
+    try:
+        silver = build_silver(spark, spec, log)
+        changes = [r.earliest_change for r in silver if r.earliest_change is not None]
+        step = "gold"
+        gold = build_gold(spark, spec, min(changes) if changes else None, log)
+        if log is not None:
+            log.add("INFO", "run finished", "", "end")
+    except Exception as error:
+        if log is not None:
+            log.add("ERROR", "run failed", "", step, {"error": type(error).__name__, "message": str(error)[:1000]})
+            try:
+                log.flush()
+            except Exception as unlogged:  # the run's own error is the one to raise
+                error.add_note(f"the run log could not be written: {unlogged}")
+        raise
     if log is not None:
-        log.add("INFO", "run finished", "", "end")
         log.flush()
     return silver, gold

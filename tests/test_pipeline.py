@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from hourmill.functions.timekeys import snapshot_name
@@ -93,6 +94,20 @@ def test_incremental_equals_full_refresh_with_old_correction(spark, scratch):
     assert summary[("INFO", "start")] == 3 and summary[("INFO", "end")] == 3
 
 
+def test_failed_gold_leaves_its_events_in_the_log(spark, scratch):
+    from hourmill.plans.runlog import LOG_SCHEMA
+
+    spec = default_spec(scratch, dt.date(2024, 1, 10), "full_refresh", rules=GoldRules(price="no_such_column"))
+    _land(spark, spec, dt.date(2024, 1, 10), {t: 1.0 for t in _hours(dt.datetime(2024, 1, 10), 4)})
+    with pytest.raises(ValueError, match="no_such_column"):
+        run(spark, spec)
+    rows = spark.read.schema(LOG_SCHEMA).parquet(spec.log_path).collect()
+    steps = {(r.level, r.step) for r in rows}
+    assert {("INFO", "start"), ("INFO", "read"), ("INFO", "write_done"), ("ERROR", "gold")} <= steps
+    assert ("INFO", "end") not in steps
+    assert "no_such_column" in next(r.extra_json for r in rows if r.level == "ERROR")
+
+
 def test_missing_run_date_snapshot_falls_back_to_all(spark, scratch):
     spec = default_spec(scratch, dt.date(2024, 1, 11), rules=RULES)
     _land(spark, spec, dt.date(2024, 1, 10), {dt.datetime(2024, 1, 10, 0, 0): 1.0})
