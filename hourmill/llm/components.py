@@ -1,7 +1,7 @@
 """Connected components of a link table by alternating large and small stars.
 
 Every round is two joins on a node against its smallest neighbour, written to
-the shared folder; no adjacency list is ever gathered into a row, so a hub
+the shared folder, until all links form stars; no adjacency list is ever gathered into a row, so a hub
 with very many links is a skewed join that Spark can split.
 """
 
@@ -25,8 +25,13 @@ def _small_star(e: DataFrame) -> DataFrame:
     return hop.unionByName(least.select("u", F.col("m").alias("v")))
 
 
-def _digest(e: DataFrame) -> tuple:
-    return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(e: DataFrame) -> bool:
+    """Whether all links form stars: a node has one smaller neighbour or is one, not both. No links are settled."""
+    ends = e.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in")).unionByName(
+        e.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("in"))
+    )
+    most = ends.groupBy("node").agg((F.sum("out") + F.max("in")).alias("n")).agg(F.max("n")).first()[0]
+    return most is None or most == 1
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -42,12 +47,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    before = _digest(e)
-    while before[0]:
-        e = write_scratch(_small_star(_large_star(e).distinct()).distinct(), "stars")
-        after = _digest(e)
-        if after == before:
-            break
-        before = after
+    while not _settled(e):
+        e = write_scratch(_small_star(_large_star(e)).distinct(), "stars")
     roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component_id"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("component_id")).unionByName(roots)

@@ -229,6 +229,13 @@ def verified(pairs: DataFrame, docs: DataFrame, spec: MinHashSpec) -> DataFrame:
     )
 
 
+def _merged(joined: DataFrame, moved: DataFrame) -> DataFrame:
+    """Components after ``moved`` gives old components (and single nodes, which are their own) their new ones."""
+    m = moved.select(F.col("node").alias("_old"), F.col("component_id").alias("_new"))
+    kept = joined.join(m, F.col("component_id") == F.col("_old"), "left").select("node", F.coalesce("_new", "component_id").alias("component_id"))
+    return write_scratch(kept.unionByName(moved.join(joined, "node", "left_anti")), "components")
+
+
 def _settle(pairs: DataFrame, joined: DataFrame, docs: DataFrame, spec: MinHashSpec) -> DataFrame:
     """Components (node, component_id) after all links among the candidate ``pairs`` (u, v, far).
 
@@ -236,19 +243,22 @@ def _settle(pairs: DataFrame, joined: DataFrame, docs: DataFrame, spec: MinHashS
     candidate by the estimate that is in another component and untested; then
     whatever pairs still lie between components are all verified. Pairs inside
     a component need no test, so a group of n near copies costs about n tests.
+    The links found join whole components, so only those are searched anew.
     """
     tested = None
     for turn in range(spec.rounds + 1):
         u, v = joined.select(F.col("node").alias("u"), F.col("component_id").alias("cu")), joined.select(F.col("node").alias("v"), F.col("component_id").alias("cv"))
-        apart = pairs.join(u, "u", "left").join(v, "v", "left").filter("coalesce(cu, u) <> coalesce(cv, v)").select("u", "v", "far")
+        placed = pairs.select("u", "v", "far").join(u, "u", "left").join(v, "v", "left").select("u", "v", "far", F.coalesce("cu", "u").alias("cu"), F.coalesce("cv", "v").alias("cv"))
+        apart = placed.filter("cu <> cv")
         pairs = write_scratch(apart.join(tested, ["u", "v"], "left_anti") if tested is not None else apart, "pairs-apart")
         if pairs.isEmpty():
             break
-        now = pairs.groupBy("u").agg(F.min(F.struct("far", "v")).alias("n")).select("u", "n.v") if turn < spec.rounds else pairs.select("u", "v")
-        tested = write_scratch(now, "pairs-now")
-        links = write_scratch(verified(tested, docs, spec), "links-now")
-        edges = joined.select(F.col("node").alias("u"), F.col("component_id").alias("v")).unionByName(links)
-        joined = write_scratch(connected_components(edges), "components")
+        now = pairs.groupBy("u").agg(F.min(F.struct("far", "v", "cu", "cv")).alias("n")).select("u", "n.v", "n.cu", "n.cv") if turn < spec.rounds else pairs.drop("far")
+        now = write_scratch(now, "pairs-now")
+        tested = now.select("u", "v")
+        links = write_scratch(verified(tested, docs, spec).join(now, ["u", "v"]).select(F.col("cu").alias("u"), F.col("cv").alias("v")), "links-now")
+        if not links.isEmpty():
+            joined = _merged(joined, write_scratch(connected_components(links), "moved"))
     return joined
 
 
