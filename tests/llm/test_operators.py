@@ -204,6 +204,31 @@ def test_packing_prefers_neighbours():
     assert {int(i) % 3 for i in near[:3]} == {0}
 
 
+def test_packing_searches_the_whole_table(spark):
+    from hourmill.llm.packing import PackSpec, ShardIndex, best_windows, pack_documents
+
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(6)) for _ in range(40 * 30)]
+    rows = [(i, " ".join(rng.choices(words[30 * (i % 40) : 30 * (i % 40) + 30], k=100))) for i in range(40 * 16)]  # topic = id mod 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = pack_documents(docs, tokenizer_path(WORDS), PackSpec(length=1024, shard_bytes=20_000)).collect()
+    sequences = defaultdict(Counter)
+    for r in got:
+        sequences[r.sequence_id][r.doc_id % 40] += r.length
+    # About 23 shards of 28 documents in 40 topics: within a shard hardly a document has a neighbour of its topic.
+    assert sum(max(c.values()) for c in sequences.values()) > 0.6 * sum(r.length for r in got)
+    for i in {r.doc_id for r in got}:
+        spans = sorted((r.start, r.length) for r in got if r.doc_id == i)
+        assert [a for a, _ in spans] == [0, *np.cumsum([n for _, n in spans])[:-1]] and sum(n for _, n in spans) == next(r.doc_tokens for r in got if r.doc_id == i)
+    assert len({r.doc_id for r in got}) == len(rows)
+    arrays = [np.array(rng.choices(range(300), k=40)) for _ in range(50)]
+    index, queries = ShardIndex(arrays, PackSpec()), [np.array(rng.sample(range(300), 12)) for _ in range(300)]
+    doc, query, score = best_windows(index, queries, 8)
+    table = np.array([index.scores(q) / index.scale(q) for q in queries])
+    for d in range(50):
+        assert np.allclose(np.sort(score[doc == d]), np.sort(table[:, d])[-8:]) and np.allclose(table[query[doc == d], d], score[doc == d])
+
+
 def test_language_id(spark, odd_docs, no_docs):
     from hourmill.llm.language_id import ProfileSpec, identify_languages, ngrams, ranked
 
