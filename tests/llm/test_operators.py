@@ -204,6 +204,17 @@ def test_packing_prefers_neighbours():
     assert {int(i) % 3 for i in near[:3]} == {0}
 
 
+def test_packing_searches_the_rest_of_the_terms():
+    from hourmill.llm.packing import PackSpec, ShardIndex, fill_windows
+
+    # Twelve heavy terms, used up by document 3; document 2 shares only a light one, document 1 none.
+    docs = [np.array([*range(12)] * 5 + [50]), np.array([60] * 9), np.array([50, 70]), np.array([*range(12)] * 5), np.array([60, 61])]
+    index = ShardIndex(docs, PackSpec())
+    assert 50 not in index.queries[0]
+    first = [d for d, *_ in fill_windows(np.array([len(d) for d in docs]), index, 4096)]
+    assert first[:3] == [0, 3, 2]
+
+
 def test_packing_searches_the_whole_table(spark):
     from hourmill.llm.packing import PackSpec, ShardIndex, best_windows, pack_documents
 
