@@ -65,7 +65,7 @@ _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Every entity holds a digit, an @, or comes after one of these; most texts need no further look.
 _MARKS = ("@", *dict.fromkeys(t[:3] for t in MALE_TITLES + FEMALE_TITLES + OTHER_TITLES))
 _MARKS_LOWER = ("passw", "pwd", "secret", "token", "api_key", "apikey", "access_key")
-#: Attempts after which four characters are added, should a small format be used up.
+#: Attempts after which four characters are added (an address changes the lengths of its octets), should a small format be used up.
 _LONGER_AFTER = 8
 
 
@@ -164,6 +164,8 @@ def surrogate(kind: Column, canonical: Column, attempt: int, key: str) -> Column
     def octets(s: Column) -> Column:
         def one(o: Column, k: Column) -> Column:
             n = _byte(s, k)
+            if attempt >= _LONGER_AFTER:  # any length
+                return (1 + n % 255).cast("string")
             return F.when(F.length(o) == 3, 100 + n % 156).when(F.length(o) == 2, 10 + n % 90).otherwise(1 + n % 9).cast("string")
 
         return F.array_join(F.transform(F.split(canonical, "\\."), one), ".")

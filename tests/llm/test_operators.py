@@ -287,6 +287,16 @@ def test_surrogates(spark, odd_docs, no_docs):
     assert replace_entities(no_docs, "k").count() == 0
 
 
+def test_addresses_of_one_digit_octets_outgrow_their_shape(spark):
+    from hourmill.llm.pii import surrogates
+
+    real = {f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)}
+    got = surrogates(spark.createDataFrame([("ip", x) for x in sorted(real)], "type string, canonical string"), "k").collect()
+    drawn = {r.surrogate for r in got}
+    assert len(got) == len(drawn) == len(real) and not drawn & real
+    assert all(0 < int(o) < 256 for x in drawn for o in x.split("."))
+
+
 def test_surrogates_stay_distinct_in_a_small_space(spark):
     from hourmill.llm.pii import surrogates
 
