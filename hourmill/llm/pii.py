@@ -43,19 +43,29 @@ SYLLABLES = {
     "cyrillic": "ба бе бо ва ве во га да де до ка ке ко ла ле ли ло ма ме ми мо на не но ра ре ро са се со та то".split(),
 }
 
-_ALL_TITLES = "|".join(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES)
+#: In lower case these are words of their own ("miss London", "5 ms").
+_ALSO_WORDS = ("Miss", "Ms", "Sr")
+
+
+def _forms(titles: tuple[str, ...]) -> str:
+    """Titles as given, in capitals and in lower case."""
+    return "|".join(dict.fromkeys(f for t in titles for f in (t, t.upper(), t if t in _ALSO_WORDS else t.lower(), t.capitalize())))
+
+
+_ALL_TITLES = _forms(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES)
 _TITLE = rf"(?<![\p{{L}}])(?:{_ALL_TITLES})\.? "
 _NAME = r"\p{Lu}[\p{L}'’-]{1,40}"
 _SECRET_KEYS = "password|passwd|pwd|secret|token|api_key|apikey|access_key"
 
 # The patterns of the entity types, in the order in which they are tried.
 PATTERNS = {
+    "secret": rf"(?<=[=:\"' \t])(?=[^\s\"']{{6}})(?<=(?i:{_SECRET_KEYS})[ \t]{{0,16}}[=:][ \t]{{0,16}}[\"']?)[^\s\"']{{5,}}[^\s\"'.,;:!?)\]}}>]",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
-    "secret": rf"(?<=[=:\"' \t])(?=[\p{{L}}\p{{N}}_+/=.-]{{6}})(?<=(?i:{_SECRET_KEYS})[ \t]{{0,2}}[=:][ \t]{{0,2}}[\"']?)[\p{{L}}\p{{N}}_+/=.-]{{6,}}",
-    "ipv6": r"(?<![\p{L}\p{N}:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])",
+    "ipv6": r"(?<![\p{L}\p{N}:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])"
+    r"|(?<![\p{L}\p{N}:])(?=[0-9A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){1,7}:|::(?=[0-9A-Fa-f]))(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![\p{L}\p{N}:])",
     "ip": r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?!\.?[\p{N}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "card": r"(?<![\p{L}\p{N}.-])[2-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![\p{L}\p{N}])",
+    "card": r"(?<![\p{L}\p{N}.-])(?:[2-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}|3[0-9]{3}[ -][0-9]{6}[ -][0-9]{4,5})(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![\p{L}\p{N}])"
     r"|(?<![\p{L}\p{N}+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\p{L}\p{N}-])",
@@ -63,7 +73,6 @@ PATTERNS = {
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Every entity holds a digit, an @, or comes after one of these; most texts need no further look.
-_MARKS = ("@", *dict.fromkeys(t[:3] for t in MALE_TITLES + FEMALE_TITLES + OTHER_TITLES))
 _MARKS_LOWER = ("passw", "pwd", "secret", "token", "api_key", "apikey", "access_key")
 #: Attempts after which four characters are added (an address changes the lengths of its octets), should a small format be used up.
 _LONGER_AFTER = 8
@@ -75,9 +84,7 @@ def _let(value: Column, use) -> Column:
 
 def has_entity(text: Column) -> Column:
     t = F.coalesce(text, F.lit(""))
-    marked = t.rlike("[0-9]")
-    for m in _MARKS:
-        marked = marked | F.contains(t, F.lit(m))
+    marked = t.rlike("[0-9@]") | t.rlike(rf"(?:{_ALL_TITLES})\.? \p{{Lu}}")
     for m in _MARKS_LOWER:
         marked = marked | F.contains(F.lower(t), F.lit(m))
     return F.when(marked, t.rlike(_ANY)).otherwise(F.lit(False))
@@ -96,8 +103,8 @@ def occurrences(text: Column) -> Column:
         titled = before.rlike(_TITLE + "$")
         goes_on = F.coalesce((F.get(befores, i + 1) == " ") & F.get(values, i + 1).rlike(rf"^{_NAME}$"), F.lit(False))
         gender = (
-            F.when(before.rlike(rf"(?:{'|'.join(MALE_TITLES)})\.? $"), F.lit("m"))
-            .when(before.rlike(rf"(?:{'|'.join(FEMALE_TITLES)})\.? $"), F.lit("f"))
+            F.when(before.rlike(rf"(?<!\p{{L}})(?:{_forms(MALE_TITLES)})\.? $"), F.lit("m"))
+            .when(before.rlike(rf"(?<!\p{{L}})(?:{_forms(FEMALE_TITLES)})\.? $"), F.lit("f"))
             .otherwise(F.lit("x"))
         )
         given = titled & goes_on
@@ -155,9 +162,9 @@ def surrogate(kind: Column, canonical: Column, attempt: int, key: str) -> Column
         body = F.array_join(F.transform(F.filter(F.split(draw, ""), lambda c: c != ""), one), "")
         more = F.lit("")
         if attempt >= _LONGER_AFTER:
-            more = F.when(kind.isin("email", "secret"), F.substring(s, F.lit(1), F.lit(4))).otherwise(
-                F.lpad((_byte(s, F.lit(5)) % 10000).cast("string"), 4, "0")
-            )
+            four = F.lpad((_byte(s, F.lit(5)) % 10000).cast("string"), 4, "0")
+            more = F.when(kind.isin("email", "secret"), F.substring(s, F.lit(1), F.lit(4))).otherwise(four)
+            more = F.when((kind == "ipv6") & ~canonical.endswith(":"), F.concat(F.lit(":"), four)).otherwise(more)  # a group of its own
         drawn = F.concat(F.substring(canonical, F.lit(1), head), F.when(kind == "email", F.concat(more, body)).otherwise(F.concat(body, more)))
         return F.concat(drawn, F.substring(canonical, F.length(canonical) - tail + 1, tail))
 

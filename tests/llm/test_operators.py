@@ -287,6 +287,22 @@ def test_surrogates(spark, odd_docs, no_docs):
     assert replace_entities(no_docs, "k").count() == 0
 
 
+def test_surrogates_of_common_forms(spark):
+    from hourmill.llm.pii import replace_entities
+
+    forms = {
+        "password=P@ssw0rd stays": "P@ssw0rd", "pwd:     hunter2hunter!x end": "hunter2", "token = \"a#b$c%d^\" end": "a#b$c%d", "at 2001:db8::1 now": "2001:db8::1",
+        "at ::1 now": " ::1 ", "at fe80:: now": "fe80::", "at 1:2:3:4:5:6:7:8 now": "1:2:3:4:5:6:7:8", "card 3782 822463 10005 end": "822463", "MR. Smith came": "Smith",
+        "FRAU Schmidt came": "Schmidt", "mr. Jones came": "Jones", "MRS SMITH came": "SMITH",
+    }
+    stay = ["I miss London", "std::vector and add::bad", "at 12:30:45 now", "token: the end", "card 3782 822463 10006 end", "it took 5 ms Delay"]
+    docs = spark.createDataFrame(list(enumerate([*forms, *stay])), "doc_id long, text string")
+    got = dict(texts(replace_entities(docs, "k")))
+    for i, (text, gone) in enumerate(forms.items()):
+        assert gone not in got[i] and got[i].split()[-1] == text.split()[-1], (text, got[i])
+    assert [got[len(forms) + i] for i in range(len(stay))] == stay
+
+
 def test_addresses_of_one_digit_octets_outgrow_their_shape(spark):
     from hourmill.llm.pii import surrogates
 
