@@ -1,7 +1,8 @@
 """Token counts by a digest cache.
 
-A count belongs to a pair of digests: of the normalised content, and of the
-tokenizer file. Documents are joined with the stored counts; of those without
+A count belongs to a pair of digests: of the raw content, and of the tokenizer
+file. Contents that only a normaliser makes equal are counted and stored once
+each; their counts are right. Documents are joined with the stored counts; of those without
 one, each distinct content is encoded once and appended to the cache, a
 Parquet folder partitioned by the tokenizer's digest. A later run, or another
 corpus with the same texts, finds them there.
@@ -37,7 +38,6 @@ class CountedTokenizer:
             t = Tokenizer.from_file(path)
             t.no_truncation()
             t.no_padding()
-            self.normalise = None
             self.count = lambda texts: [len(e.ids) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
         else:
             import sentencepiece
@@ -73,7 +73,7 @@ def count_tokens(
 ) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_tokens, over_limit.
 
-    The models served here normalise nothing, so content is digested as it
+    Content is digested raw, whatever the tokenizer normalises: as it
     is. Null texts are empty and have 0 tokens. Repeated rows, equal texts and
     null ids share one count. Other columns are ignored; an empty table gives
     an empty result and leaves the cache as it is.
