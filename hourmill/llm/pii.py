@@ -59,7 +59,7 @@ _SECRET_KEYS = "password|passwd|pwd|secret|token|api_key|apikey|access_key"
 
 # The patterns of the entity types, in the order in which they are tried.
 PATTERNS = {
-    "secret": rf"(?<=[=:\"' \t])(?=[^\s\"']{{6}})(?<=(?i:{_SECRET_KEYS})[ \t]{{0,16}}[=:][ \t]{{0,16}}[\"']?)[^\s\"']{{5,}}[^\s\"'.,;:!?)\]}}>]",
+    "secret": rf"(?<=[=:\"']|[=: \t][ \t])(?=[^\s\"']{{6}})(?<=(?i:{_SECRET_KEYS})[ \t]{{0,16}}[=:][ \t]{{0,16}}[\"']?)[^\s\"']{{5,}}[^\s\"'.,;:!?)\]}}>]",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
     "ipv6": r"(?<![\p{L}\p{N}:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])"
     r"|(?<![\p{L}\p{N}:])(?=[0-9A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){1,7}:|::(?=[0-9A-Fa-f]))(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![\p{L}\p{N}:])",
