@@ -200,8 +200,8 @@ def explode_records_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as price documents (array of records + typed metadata).
 
     A document carries an order's metadata and its lines of one block
-    (at most DOC_BLOCK_ROWS records); orders without lines get a NULL
-    array and yield no rows.
+    (at most DOC_BLOCK_ROWS records). Orders without lines yield no rows:
+    their NULL array is a literal, so Catalyst removes that half unrun.
     """
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     orders = tb.load(spark, sf_dir, "orders")
