@@ -73,8 +73,7 @@ def count_tokens(
 ) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_tokens, over_limit.
 
-    Content is digested raw, whatever the tokenizer normalises: as it
-    is. Null texts are empty and have 0 tokens. Repeated rows, equal texts and
+    Content is digested raw, whatever the tokenizer normalises. Null texts are empty and have 0 tokens. Repeated rows, equal texts and
     null ids share one count. Other columns are ignored; an empty table gives
     an empty result and leaves the cache as it is.
     """
