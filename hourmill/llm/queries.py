@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hourmill.llm.cap_filters import near_vectors
+from hourmill.llm.collocations import collocations
+from hourmill.llm.hard_negatives import hard_negatives
 from hourmill.llm.language_id import identify_languages
 from hourmill.llm.near_dup import near_duplicates
 from hourmill.llm.packing import pack_documents
@@ -14,6 +16,7 @@ from hourmill.llm.piece_fst import round_trip
 from hourmill.llm.pii import replace_entities
 from hourmill.llm.quality_classifier import score_documents
 from hourmill.llm.quality_rules import apply_rules
+from hourmill.llm.repeats import remove_repeats
 from hourmill.llm.token_counts import count_tokens
 from hourmill.llm.token_files import read_tokens, write_tokens
 from hourmill.session import scratch_path
@@ -78,11 +81,24 @@ def op10_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash, op2_token_files, op3_quality_classifier, op4_quality_rules, op5_packing,
         op6_language_id, op7_surrogates, op8_piece_transducer, op9_token_counts, op10_cap_filters,
+        op11_repeats, op12_hard_negatives, op13_collocations,
     )
 }
 
