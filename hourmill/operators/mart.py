@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,7 +69,10 @@ def preview(df: DataFrame, n: int = 1000, order_by: Sequence[str] = ("timestamp"
     return df.orderBy(*order_by).limit(n)
 
 
-def preview_sql(spark, table: str, n: int = 1000, order_by: Sequence[str] = ("timestamp",)) -> DataFrame:
-    """The same through SQL over a catalog table or view (ad-hoc inspection)."""
-    order = ", ".join(f"`{c}`" for c in order_by)
-    return spark.sql(f"SELECT * FROM {table} ORDER BY {order} LIMIT {int(n)}")
+def preview_sql(spark: SparkSession, table: str, n: int = 1000, order_by: Sequence[str] = ("timestamp",)) -> DataFrame:
+    """The same through SQL over a catalog table or view (ad-hoc inspection); a leading ``-`` means descending.
+
+    Table name and limit are parameters of the statement, never part of its text.
+    """
+    order = ", ".join(f"`{c.removeprefix('-')}`" + (" DESC" if c.startswith("-") else "") for c in order_by)
+    return spark.sql(f"SELECT * FROM IDENTIFIER(:name) ORDER BY {order} LIMIT :n", args={"name": table, "n": int(n)})

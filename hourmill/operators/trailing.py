@@ -12,14 +12,21 @@ A global ``Window.orderBy(t).rangeBetween(...)`` puts every row of a
 series into one task. Instead:
 
 1. rows are pre-aggregated per (series, second) into a sum (of doubles, or
-   of exact decimals when a scale is given) and a non-null count (map-side partial aggregation, so a hot second or
-   hour is reduced before it is shuffled);
-2. seconds are cut into time buckets of width B >= R*3600; a second that
-   lies within R hours of the next bucket is also copied there as a halo
-   row; per (series, bucket) the frame sum of decimals is the difference
-   of two running sums (before s, before s - R*3600), that of doubles is
-   taken over the frame, and only home rows are kept. A window partition therefore holds at most B + R*3600 distinct
-   seconds no matter how many input rows fall into it;
+   of exact decimals when a scale is given) and a non-null count (map-side
+   partial aggregation, so a hot second or hour is reduced before it is
+   shuffled);
+2. frames only ever add, in time linear in the seconds:
+   * doubles: time is cut into blocks as long as the window. A frame that
+     ends in a block is the rest of the block before it (a running sum from
+     the back) plus what its own block has had so far (a running sum from
+     the front). Nothing is taken away again, so no digit is lost to
+     cancellation and a NaN or an infinity leaves with its frame, as in AVG.
+     A block's rows and a copy of the block before, moved on by the window's
+     length, make one window partition: 2 * R*3600 seconds at most;
+   * decimals: blocks of B >= R*3600 seconds with the last R hours of the
+     block before as a halo; the frame is the difference of two running
+     sums, exact for decimals. A partition has at most B + R*3600 seconds.
+   Either bound holds however many rows fall in a partition;
 3. the per-second result is joined back to the rows on (series, second).
    That result has at most one row per series and second, whatever the
    number of input rows; it is materialized and measured first and then
@@ -27,13 +34,14 @@ series into one task. Instead:
    are joined where they are read instead of being shuffled. Above the
    threshold the join shuffles both sides and AQE splits hot seconds.
 
-Sums are exact decimals, so the result does not depend on the order in
-which partitions are combined.
+With a scale the result does not depend on the order in which partitions
+are combined; sums of doubles can differ in their last digits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +54,8 @@ from hourmill.operators.sizing import measured_side
 _SEC = "_hm_s"
 _BUCKET = "_hm_b"
 _HOME = "_hm_home"
+_MOVED = "_hm_moved"
+_AT = "_hm_at"
 _PSUM = "_hm_psum"
 _PCNT = "_hm_pcnt"
 _FSUM = "_hm_fsum"
@@ -67,9 +77,15 @@ def _summand(value: Column, scale: int | None) -> Column:
     if not 0 <= scale <= 38 - INPUT_DIGITS:
         raise ValueError(f"scale must be between 0 and {38 - INPUT_DIGITS}")
     v, kind = value.cast(T.DoubleType()), T.DecimalType(INPUT_DIGITS + scale, scale)
-    exact = v.cast(T.StringType()).try_cast(kind)
+    # A whole number of units below 2**53 whose quotient is the value again:
+    # division rounds to the nearest double, so no other decimal comes closer.
+    units = F.rint(v * F.lit(float(10**scale)))
+    few = (F.abs(units) <= F.lit(float(1 << 53))) & (units / F.lit(float(10**scale)) == v)
+    fast = (units.cast("long").cast(T.DecimalType(16, 0)) * F.lit(Decimal(1).scaleb(-scale))).cast(kind)
+    exact = v.cast(T.StringType()).try_cast(kind)  # beyond: by its digits
     bad = F.raise_error(F.concat(F.lit(f"value does not fit {scale} decimals: "), v.cast("string"))).cast(kind)
-    return F.when(v.isNull(), F.lit(None).cast(kind)).when(exact.cast(T.DoubleType()) == v, exact).otherwise(bad)
+    slow = F.when(exact.cast(T.DoubleType()) == v, exact).otherwise(bad)
+    return F.when(v.isNull(), F.lit(None).cast(kind)).when(few, fast).otherwise(slow)
 
 
 def trailing_frame(
@@ -99,7 +115,7 @@ def trailing_frame(
             F.count("_hm_v").alias(_PCNT),
         )
     )
-    return _haloed_frame(per_second, by, width, bucket, scale, [], _PSUM, _PCNT)
+    return _framed(per_second, by, width, bucket, scale, [])
 
 
 def _haloed_frame(
@@ -107,12 +123,12 @@ def _haloed_frame(
     by: list[str],
     width: int,
     bucket: int,
-    scale: int | None,
+    scale: int,
     carry: Sequence[str],
     psum: str,
     pcnt: str,
 ) -> DataFrame:
-    """Frame sum/count per row of ``rows`` (which has ``_hm_s``) via halo buckets.
+    """Frame sum/count of decimals per row of ``rows`` (which has ``_hm_s``) via halo buckets.
 
     Each row also goes to the next bucket when it lies within ``width``
     seconds of it; per (series, bucket) the frame is the difference of two
@@ -125,17 +141,12 @@ def _haloed_frame(
     haloed = rows.select("*", home.alias(_HOME), F.explode(copies).alias(_BUCKET))
 
     # Exact decimals: frame sum = (everything before s) - (everything before
-    # s - R*3600), two running frames that Spark maintains in O(n). Doubles
-    # would lose the frame to cancellation (and NaN would never leave), so
-    # they are summed over the frame itself, at most ``width`` seconds.
+    # s - R*3600), two running frames that Spark maintains in O(n).
     ordered = Window.partitionBy(*by, _BUCKET).orderBy(_SEC)
     before = ordered.rangeBetween(Window.unboundedPreceding, -1)
     too_old = ordered.rangeBetween(Window.unboundedPreceding, -width - 1)
-    if scale is None:
-        fsum = F.sum(psum).over(ordered.rangeBetween(-width, -1))
-    else:
-        zero = F.lit(0).cast(T.DecimalType(38, scale))
-        fsum = (F.coalesce(F.sum(psum).over(before), zero) - F.coalesce(F.sum(psum).over(too_old), zero)).cast(T.DecimalType(38, scale))
+    zero = F.lit(0).cast(T.DecimalType(38, scale))
+    fsum = (F.coalesce(F.sum(psum).over(before), zero) - F.coalesce(F.sum(psum).over(too_old), zero)).cast(T.DecimalType(38, scale))
     fcnt = F.coalesce(F.sum(pcnt).over(before), F.lit(0)) - F.coalesce(F.sum(pcnt).over(too_old), F.lit(0))
     return haloed.select(
         *[c for c in carry if c not in by],
@@ -147,6 +158,39 @@ def _haloed_frame(
     ).where("_hm_is_home").drop("_hm_is_home")
 
 
+def _block_frame(rows: DataFrame, by: list[str], width: int, carry: Sequence[str], psum: str, pcnt: str) -> DataFrame:
+    """Frame sum/count of doubles per row of ``rows`` (which has ``_hm_s``), by additions alone.
+
+    Every row stands in its own block of ``width`` seconds and, moved on by
+    ``width``, in the next one. In a block, read forwards, own rows before s
+    add up to the frame's younger part; read backwards, moved rows from s on
+    (those at most ``width`` seconds older than s) to its older part.
+    """
+    copies = rows.select("*", F.explode(F.array(F.lit(0), F.lit(width))).alias(_MOVED))
+    copies = copies.withColumn(_AT, F.col(_SEC) + F.col(_MOVED)).withColumn(_BUCKET, F.floor(F.col(_AT) / F.lit(width)))
+    block = Window.partitionBy(*by, _BUCKET)
+    forward = block.orderBy(_AT).rangeBetween(Window.unboundedPreceding, -1)
+    backward = block.orderBy(F.desc(_AT)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    own = F.col(_MOVED) == 0
+
+    def frame(c: str, zero: Column) -> Column:
+        young = F.sum(F.when(own, F.col(c))).over(forward)
+        old = F.sum(F.when(~own, F.col(c))).over(backward)
+        return F.when(young.isNotNull() | old.isNotNull(), F.coalesce(young, zero) + F.coalesce(old, zero))
+
+    framed = copies.select(
+        *[c for c in carry if c not in by], *by, _SEC, _MOVED,
+        frame(psum, F.lit(0.0)).alias(_FSUM), F.coalesce(frame(pcnt, F.lit(0)), F.lit(0)).alias(_FCNT),
+    )
+    return framed.where(F.col(_MOVED) == 0).drop(_MOVED)
+
+
+def _framed(rows: DataFrame, by: list[str], width: int, bucket: int, scale: int | None, carry: Sequence[str]) -> DataFrame:
+    if scale is None:
+        return _block_frame(rows, by, width, carry, _PSUM, _PCNT)
+    return _haloed_frame(rows, by, width, bucket, scale, carry, _PSUM, _PCNT)
+
+
 def _widths(hours: int, bucket_seconds: int | None) -> tuple[int, int]:
     width = int(hours) * 3600
     if width <= 0:
@@ -177,7 +221,8 @@ def trailing_mean(
     at a bounded rate, such as an hourly series: the rows themselves are
     halo-copied and windowed (one shuffle), skipping the per-second
     pre-aggregation and the join back. A window partition then holds the
-    rows of B + R hours of one series. Results are identical either way.
+    rows of 2R (with ``scale``: B + R) hours of one series. Results are
+    identical either way. ``bucket_seconds`` (B) is for ``scale`` only.
 
     Values are averaged as doubles, every digit kept; NaN and infinities in
     a frame show in its mean as in AVG. With ``scale`` they are summed as
@@ -203,7 +248,7 @@ def trailing_mean(
         # column lets Catalyst drop this branch when the input is already
         # known to have no NULL times (then the input is read once).
         timed = rows.where(F.col(ts).isNotNull())
-        framed = _haloed_frame(timed, by, width, bucket, scale, df.columns, _PSUM, _PCNT)
+        framed = _framed(timed, by, width, bucket, scale, df.columns)
         untimed = rows.where(F.col(ts).isNull()).select(
             *df.columns, F.lit(None).cast(framed.schema[_FSUM].dataType).alias(_FSUM), F.lit(0).cast(T.LongType()).alias(_FCNT)
         )

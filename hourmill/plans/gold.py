@@ -25,6 +25,7 @@ from hourmill.functions.timekeys import day_of
 from hourmill.operators.quality import dedupe_latest, non_null
 from hourmill.operators.rules import LABEL_FALSE, LABEL_TRUE, cheap_label, pct_vs
 from hourmill.operators.trailing import trailing_mean
+from hourmill.sources.snapshots import SNAPSHOT_COL
 
 
 @dataclass(frozen=True)
@@ -64,11 +65,13 @@ def gold_frame(
     rules: GoldRules = GoldRules(),
     keys: Sequence[str] = ("timestamp",),
     dedupe_inputs: bool = True,
+    upkeep: Sequence[str] = ("date", "hk", SNAPSHOT_COL),
 ) -> DataFrame:
     """Energy (spine) LEFT JOIN weather LEFT JOIN air, then window and rules.
 
     ``keys`` are the series keys plus ``timestamp``; every key but
     ``timestamp`` partitions the trailing window (one series each).
+    ``upkeep`` names silver columns that do not enter gold.
     """
     keys = list(keys)
     require(energy, [*keys, rules.price], "energy")
@@ -77,8 +80,8 @@ def gold_frame(
     # Rows without a timestamp are dropped from gold; dropping them from the
     # spine first changes no other row's frame and keeps the window one pass.
     energy = non_null(pick(energy, [*keys, rules.price]), "timestamp")
-    weather = pick(weather, [c for c in weather.columns if c not in ("date", "hk")])
-    air = pick(air, [c for c in air.columns if c not in ("date", "hk")])
+    weather = pick(weather, [c for c in weather.columns if c not in upkeep])
+    air = pick(air, [c for c in air.columns if c not in upkeep])
     if dedupe_inputs:
         energy = dedupe_latest(energy, keys)
         weather = dedupe_latest(weather, keys)
@@ -86,14 +89,14 @@ def gold_frame(
     wx = prefix_columns(weather, rules.weather_prefix, keys)
     aq = prefix_columns(air, rules.air_prefix, keys)
 
-    joined = energy.join(wx, keys, "left").join(aq, keys, "left")
     series = [k for k in keys if k != "timestamp"]
     # One row per key on the spine (deduplicated above, or unique in silver),
-    # so the window runs on the rows directly.
-    withavg = trailing_mean(
-        joined, rules.price, rules.avg_col, hours=rules.rolling_hours, by=series, unique_rows=True,
+    # so the window runs on the rows directly, before the joins widen them.
+    spine = trailing_mean(
+        energy, rules.price, rules.avg_col, hours=rules.rolling_hours, by=series, unique_rows=True,
         scale=rules.sum_scale,
     )
+    withavg = spine.join(wx, keys, "left").join(aq, keys, "left")
 
     price, avg = F.col(rules.price), F.col(rules.avg_col)
     wind = F.col(rules.weather_prefix + rules.wind)

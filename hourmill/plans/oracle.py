@@ -1,7 +1,7 @@
 """DuckDB statements equivalent to ``hourmill.plans.queries``.
 
-Averages are computed as exact DECIMAL sums divided by counts on both
-sides (see ``operators/trailing.py``); epoch seconds are whole seconds.
+Averages are exact DECIMAL sums divided by counts; where the Spark side sums
+doubles, both are compared at nine decimals. Epoch seconds are whole seconds.
 """
 
 from __future__ import annotations
@@ -60,6 +60,12 @@ FROM (SELECT event_id, ts, value,
 """
 
 
+def nine_places(sql: str, columns: list[str]) -> str:
+    """A statement with some of its columns rounded."""
+    rounded = ", ".join(f"round({c}, 9) AS {c}" for c in columns)
+    return f"SELECT * REPLACE ({rounded}) FROM ({sql})"
+
+
 GOLD_CTE = "gold AS (" + gold_sql(60.0).strip().replace("WITH ", "SELECT * FROM (WITH ", 1) + "))"
 
 _HOURLY_CLICK = "SELECT date_trunc('hour', ts) AS timestamp, max(value) AS value FROM events WHERE event_type = 'click' GROUP BY 1"
@@ -197,11 +203,64 @@ FROM events GROUP BY 1, 2
 """
 
 
+UPSERT_TEXT_PARTITION = """
+SELECT event_id, CASE WHEN event_type = 'view' THEN value + 1 ELSE value END AS value,
+       lpad(CAST(user_id % 13 AS VARCHAR), 3, '0') AS part
+FROM events
+"""
+
+REPLACE_SCHEMA = """
+SELECT event_id, value, user_id, CAST(ts AS DATE) AS date FROM events
+"""
+
+WRITE_METRICS = f"""
+WITH t AS ({_HOURLY_CLICK}), s AS ({_HOURLY_VIEW_WINDOW}),
+  c AS (SELECT s.timestamp FROM s LEFT JOIN t ON t.timestamp = s.timestamp WHERE t.timestamp IS NULL OR t.value IS DISTINCT FROM s.value)
+SELECT 'hourly' AS table_name, 'replace' AS mode, count(*) AS batch_rows, count(*) AS changed_rows,
+       CAST(NULL AS BIGINT) AS named_partitions, CAST(NULL AS BIGINT) AS rewritten_partitions, min(timestamp) AS earliest_change FROM t
+UNION ALL
+SELECT 'hourly', 'upsert', (SELECT count(*) FROM s), count(*), (SELECT count(DISTINCT CAST(timestamp AS DATE)) FROM s),
+       count(DISTINCT CAST(timestamp AS DATE)), min(timestamp) FROM c
+"""
+
+_PRICES = "SELECT date_trunc('hour', ts) AS timestamp, max(value) AS price FROM events WHERE event_type = 'view' GROUP BY 1"
+
+# The fetch of a run date covers its day and the seven before.
+SNAPSHOT_RUNS = f"""
+WITH e AS ({_PRICES}), r AS (SELECT * FROM (VALUES (DATE '2024-01-12', FALSE), (DATE '2024-01-20', TRUE), (DATE '2024-01-28', FALSE)) AS v(run_date, fell_back))
+SELECT run_date, fell_back, timestamp, price FROM e JOIN r
+  ON CASE WHEN fell_back THEN timestamp >= DATE '2024-01-05' AND timestamp < DATE '2024-01-13' OR timestamp >= DATE '2024-01-21' AND timestamp < DATE '2024-01-29'
+          ELSE timestamp >= run_date - 7 AND timestamp < run_date + 1 END
+"""
+
+BRONZE_CLEARED = f"""
+WITH e AS ({_PRICES}) SELECT * FROM e WHERE timestamp >= DATE '2024-01-16' AND timestamp < DATE '2024-01-24'
+"""
+
+# Of the hours in the fetch of 18 January only those of the 11th are in no later one.
+OLDER_RERUN = f"""
+WITH e AS ({_PRICES}) SELECT timestamp, CASE WHEN CAST(timestamp AS DATE) = DATE '2024-01-11' THEN price + 1 ELSE price END AS price FROM e
+"""
+
+SQL_TOP = """
+SELECT event_id, ts, event_type, value FROM events ORDER BY ts DESC, event_id LIMIT 1000
+"""
+
+LOG_TABLE = """
+SELECT ts AS event_ts, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level, 'events' AS logger, 'events' AS dataset,
+       event_type AS step, 'event ' || event_id AS message, '{"kind":"' || event_type || '","user":"' || user_id || '"}' AS extra_json
+FROM events
+"""
+
+
 def statements() -> dict[str, str]:
-    gold = gold_sql(60.0)
+    exact = gold_sql(60.0)
+    gold = nine_places(exact, ["avg_price_last_3h", "pct_vs_3h_avg"])
     return {
         "gold_flag": gold,
-        "trailing_avg": TRAILING_AVG,
+        "gold_flag_exact": exact,
+        "trailing_avg": nine_places(TRAILING_AVG, ["avg_value_last_3h"]),
+        "trailing_avg_exact": TRAILING_AVG,
         "zip_rows": ZIP_ROWS,
         "zip_rows_ragged": ZIP_ROWS_RAGGED,
         "explode_records": EXPLODE_RECORDS,
@@ -217,14 +276,24 @@ def statements() -> dict[str, str]:
         "upsert_path": UPSERT,
         "upsert_table": UPSERT,
         "upsert_twice": UPSERT,
+        "upsert_text_partition": UPSERT_TEXT_PARTITION,
+        "replace_schema": REPLACE_SCHEMA,
+        "write_metrics": WRITE_METRICS,
+        "snapshot_runs": SNAPSHOT_RUNS,
+        "bronze_cleared": BRONZE_CLEARED,
+        "older_rerun": OLDER_RERUN,
         "recompute_start": RECOMPUTE_START,
         "gold_incremental": gold,
+        "gold_correction": gold,
+        "gold_retry": gold,
         "read_silver_bound": READ_SILVER_BOUND,
         "chart": CHART,
         "default_sums": DEFAULT_SUMS,
         "relationship": RELATIONSHIP,
         "preview": PREVIEW,
+        "sql_top": SQL_TOP,
         "run_log": RUN_LOG,
+        "log_table": LOG_TABLE,
         "end_to_end": gold,
         "streaming_ingest": gold,
     }

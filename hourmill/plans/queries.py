@@ -11,47 +11,48 @@ Queries that write use a fresh folder under the shared checkpoint root.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourmill.functions.names import pick, prefix_columns, require, snake_columns
-from hourmill.functions.timekeys import day_of, hash_key, hours_before, parse_ts, snapshot_name, time_policy
+from hourmill.functions.timekeys import day_of, hash_key, parse_ts, snapshot_name, time_policy
 from hourmill.operators.mart import chart as chart_op
 from hourmill.operators.mart import default_sums as default_sums_op
 from hourmill.operators.mart import preview as preview_op
+from hourmill.operators.mart import preview_sql
 from hourmill.operators.mart import relationship as relationship_op
 from hourmill.operators.quality import dedupe_latest, non_null
 from hourmill.operators.reshape import record_rows, zip_rows
 from hourmill.operators.trailing import trailing_mean
 from hourmill.plans import testbed as tb
-from hourmill.plans.gold import GoldRules, gold_frame
+from hourmill.plans.gold import GoldRules, gold_columns, gold_frame, high_water_mark
+from hourmill.plans.gold import recompute_start as recompute_start_op
 from hourmill.plans.pipeline import read_gold, run
-from hourmill.plans.runlog import append_events, ensure_event_table, run_summary
-from hourmill.plans.silver import read_silver, silver_frame
+from hourmill.plans.runlog import append_events, read_log, run_summary
+from hourmill.plans.silver import build_silver, read_silver, silver_frame
 from hourmill.session import ensure_utc, scratch_path
+from hourmill.sinks.metrics import record_write, write_metrics
 from hourmill.sinks.tables import (
     read_named,
     read_table,
+    register_table,
     replace_named,
     replace_table,
     upsert_named,
     upsert_path,
 )
-from hourmill.sources.snapshots import land_snapshots, read_snapshots, trailing_extract
+from hourmill.sources.snapshots import land_snapshots, read_incremental, read_snapshots, trailing_extract
 from hourmill.spec import default_spec
 
-# Event values have two decimals: summed exactly, so that results do not depend on how rows are dealt.
-TESTBED_RULES = GoldRules(rolling_hours=3, wind_threshold=tb.TESTBED_WIND_THRESHOLD, sum_scale=6)
+TESTBED_RULES = GoldRules(rolling_hours=3, wind_threshold=tb.TESTBED_WIND_THRESHOLD)
+# Event values have two decimals: summed exactly, so that totals do not depend on how rows are dealt.
+EXACT_RULES = GoldRules(rolling_hours=3, wind_threshold=tb.TESTBED_WIND_THRESHOLD, sum_scale=6)
 # Fixed run date used by the extract-window and upsert fixtures (inside the
 # driver data's 2024-01-01 .. 2024-01-30 range at every scale factor).
 RUN_DATE = dt.date(2024, 1, 20)
-GOLD_COLUMNS = [
-    "timestamp", "price", "avg_price_last_3h", "pct_vs_3h_avg",
-    "wx_temperature_2m", "wx_wind_speed_10m", "wx_direct_radiation",
-    "aq_carbon_monoxide", "aq_nitrogen_dioxide", "aq_pm10", "label",
-]
 
 
 def ntz(df: DataFrame) -> DataFrame:
@@ -85,31 +86,47 @@ def _stand_ins(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     return tb.split_stand_ins(hourly)
 
 
-def _gold_mem(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _gold_mem(spark: SparkSession, sf_dir: str, rules: GoldRules = EXACT_RULES) -> DataFrame:
     price, weather, air = _stand_ins(spark, sf_dir)
-    return gold_frame(price, weather, air, TESTBED_RULES, dedupe_inputs=False)
+    return gold_frame(price, weather, air, rules, dedupe_inputs=False)
+
+
+def _nine_places(df: DataFrame) -> DataFrame:
+    """Averages of doubles at nine decimals, for comparison: their last digits depend on the order of summation."""
+    return df.select(*[F.round(c, 9).alias(c) if c.startswith(("avg_", "pct_")) else c for c in df.columns])
 
 
 # ------------------------------------------------------------------ gold
 
 
 def gold_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold from the events stand-in series, in memory."""
+    """Gold from the events stand-in series, in memory, averages as doubles."""
+    return ntz(_nine_places(_gold_mem(spark, sf_dir, TESTBED_RULES)))
+
+
+def gold_flag_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with prices averaged as exact decimals (``sum_scale``)."""
     return ntz(_gold_mem(spark, sf_dir))
 
 
 def trailing_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trailing 3-hour mean of ``value`` over every event row."""
+    """Trailing 3-hour mean of ``value`` over every event row, as doubles."""
+    ev = _events(spark, sf_dir).select("event_id", "ts", "value")
+    return ntz(_nine_places(trailing_mean(ev, "value", "avg_value_last_3h", ts="ts", hours=3, count_out="n_prev_3h")))
+
+
+def trailing_avg_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with values summed as exact decimals (``scale``)."""
     ev = _events(spark, sf_dir).select("event_id", "ts", "value")
     return ntz(trailing_mean(ev, "value", "avg_value_last_3h", ts="ts", hours=3, count_out="n_prev_3h", scale=6))
 
 
 def recompute_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     """High-water mark of gold and the recompute start (HWM - 6 h)."""
-    gold = _gold_mem(spark, sf_dir)
+    gold = _gold_mem(spark, sf_dir).select("timestamp")
     overlap = default_spec("unused", RUN_DATE, rules=TESTBED_RULES).gold.overlap  # max(2R, 6) = 6
-    out = gold.agg(F.max("timestamp").alias("hwm")).select("hwm", hours_before(F.col("hwm"), overlap).alias("start_ts"))
-    return ntz(out)
+    found = (high_water_mark(gold), recompute_start_op(gold, overlap))
+    return spark.createDataFrame([found], "hwm timestamp_ntz, start_ts timestamp_ntz")
 
 
 # ------------------------------------------------------------------ reshape
@@ -396,6 +413,81 @@ def read_silver_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(out.select("timestamp", "value", "date", "hk"))
 
 
+def upsert_text_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table partitioned by zero-padded text (``007``), viewed events upserted by key; no row twice."""
+    ev = _events(spark, sf_dir)
+    part = F.lpad((F.col("user_id") % 13).cast("string"), 3, "0").alias("part")
+    path = scratch_path(spark, "upsert-text")
+    name = "hm_text_" + path.rsplit("-", 1)[-1]
+    replace_named(spark, ev.select("event_id", "value", part), name, path, ["part"])
+    batch = ev.where("event_type = 'view'").select("event_id", (F.col("value") + 1).alias("value"), part)
+    upsert_path(spark, batch, path, ["event_id"], ["part"])
+    upsert_named(spark, batch, name, ["event_id"], path, ["part"])
+    return spark.table(name)
+
+
+def replace_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 K5: a catalog table overwritten with another schema (a column less, one more, two wider), read by name."""
+    ev = _events(spark, sf_dir).withColumn("date", day_of(F.col("ts")))
+    path = scratch_path(spark, "replace-schema")
+    name = "hm_schema_" + path.rsplit("-", 1)[-1]
+    first = ev.select(F.col("event_id").cast("int").alias("event_id"), F.col("value").cast("float").alias("value"), "event_type", "date")
+    replace_named(spark, first, name, path)
+    replace_named(spark, ev.select(F.col("event_id").cast("long").alias("event_id"), "value", "user_id", "date"), name, path)
+    return spark.table(name)
+
+
+def write_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: the counts of two writes (a replace, an upsert), stored as rows and read back."""
+    target, batch = _upsert_inputs(spark, sf_dir)
+    root = scratch_path(spark, "write-metrics")
+    record_write(spark, f"{root}/metrics", "hourly", "replace", replace_table(target, f"{root}/t", ["date"], track="timestamp"))
+    record_write(spark, f"{root}/metrics", "hourly", "upsert", upsert_path(spark, batch, f"{root}/t", ["hk"], ["date"], track="timestamp"))
+    return ntz(write_metrics(spark, f"{root}/metrics").drop("written_at"))
+
+
+# ------------------------------------------------------------------ bronze
+
+
+def _price_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.price_documents(tb.price_series(_events(spark, sf_dir)))
+
+
+def snapshot_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three run dates, the middle one never landed: its run reads all there is."""
+    spec = default_spec(scratch_path(spark, "snapshot-runs"), RUN_DATE)
+    ds = spec.dataset("energy")
+    runs = [RUN_DATE - dt.timedelta(days=8), RUN_DATE, RUN_DATE + dt.timedelta(days=8)]
+    land_snapshots(_price_docs(spark, sf_dir).where(F.col("snapshot").isin([snapshot_name(runs[0]), snapshot_name(runs[2])])), ds.bronze)
+    out = None
+    for day in runs:
+        raw, fell_back = read_incremental(spark, ds.bronze, day, ds.schema)
+        one = silver_frame(raw, ds).select(F.lit(day).alias("run_date"), F.lit(fell_back).alias("fell_back"), "timestamp", "price")
+        out = one if out is None else out.unionByName(one)
+    return ntz(out)
+
+
+def bronze_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 K8: a landing that clears the dataset first: only its own snapshots are read afterwards."""
+    spec = default_spec(scratch_path(spark, "bronze-cleared"), RUN_DATE)
+    ds = spec.dataset("energy")
+    docs = _price_docs(spark, sf_dir)
+    land_snapshots(docs.where(F.col("snapshot") <= snapshot_name(RUN_DATE)), ds.bronze)
+    land_snapshots(docs.where(F.col("snapshot") == snapshot_name(RUN_DATE + dt.timedelta(days=3))), ds.bronze, replace=True)
+    return ntz(silver_frame(read_snapshots(spark, ds.bronze, ds.schema), ds).select("timestamp", "price"))
+
+
+def older_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4 A5: a run of an older date, whose fetch brings other prices, changes only rows no later fetch has."""
+    spec = _land_and_spec(spark, sf_dir, "older-rerun")
+    build_silver(spark, spec.but(load_mode="full_refresh"))
+    older = RUN_DATE - dt.timedelta(days=2)
+    other = tb.price_series(_events(spark, sf_dir)).withColumn("price", F.col("price") + 1)
+    land_snapshots(tb.price_documents(other).where(F.col("snapshot") == snapshot_name(older)), spec.dataset("energy").bronze)
+    build_silver(spark, spec.but(run_date=older))
+    return ntz(read_silver(spark, spec.dataset("energy").silver).select("timestamp", "price"))
+
+
 # ------------------------------------------------------------------ pipeline
 
 
@@ -408,7 +500,8 @@ def _land_and_spec(spark: SparkSession, sf_dir: str, label: str):
 
 
 def _gold_out(spark: SparkSession, spec) -> DataFrame:
-    return ntz(read_gold(spark, spec).select(*GOLD_COLUMNS))
+    feeds = [[c for c in spec.dataset(n).select] for n in (spec.gold.weather, spec.gold.air)]
+    return ntz(_nine_places(read_gold(spark, spec).select(*gold_columns(spec.gold.rules, *feeds, spec.gold.keys))))
 
 
 def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -428,6 +521,45 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold_out(spark, spec)
 
 
+#: A day inside the window of the fetch after RUN_DATE, and older than gold's overlap at RUN_DATE.
+CORRECTED_DAY = dt.date(2024, 1, 15)
+
+
+def _corrected_spec(spark: SparkSession, sf_dir: str, label: str):
+    """Gold as of RUN_DATE from fetches with wrong prices on one day, then the true fetch after it has landed."""
+    ev = _events(spark, sf_dir)
+    root = scratch_path(spark, label)
+    cut, nxt = snapshot_name(RUN_DATE), snapshot_name(RUN_DATE + dt.timedelta(days=1))
+    wrong = ev.withColumn("value", F.when(day_of(F.col("ts")) == F.lit(CORRECTED_DAY), F.col("value") + 1).otherwise(F.col("value")))
+    tb.land_bronze(spark, wrong, root, until=cut)
+    spec = default_spec(root, RUN_DATE, rules=TESTBED_RULES)
+    run(spark, spec.but(load_mode="full_refresh"))
+    tb.land_bronze(spark, ev, root, since=nxt)
+    return spec.but(load_mode="incremental", since=nxt)
+
+
+def gold_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrections of a day before the overlap reach gold in an incremental run; equals full refresh."""
+    spec = _corrected_spec(spark, sf_dir, "gold-correction")
+    run(spark, spec)
+    return _gold_out(spark, spec)
+
+
+def gold_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run fails after silver took the corrections; the next one finds them pending; equals full refresh."""
+    spec = _corrected_spec(spark, sf_dir, "gold-retry")
+    broken = GoldRules(rolling_hours=3, wind_threshold=tb.TESTBED_WIND_THRESHOLD, price="no_such_column")
+    try:
+        run(spark, spec.but(gold=replace(spec.gold, rules=broken)))
+    except ValueError as error:
+        if "no_such_column" not in str(error):
+            raise
+    else:
+        raise RuntimeError("the run was to fail in gold")
+    run(spark, spec)
+    return _gold_out(spark, spec)
+
+
 def streaming_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I4 (streaming form): snapshots landed in two waves, each ingested by the
     file stream (availableNow), then incremental gold; equals full refresh."""
@@ -474,32 +606,54 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(preview_op(_gold_mem(spark, sf_dir), 1000, ["timestamp"]))
 
 
+def sql_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest 1000 events by parameterised SQL over a catalog table."""
+    ev = _events(spark, sf_dir).select("event_id", "ts", "event_type", "value")
+    path = scratch_path(spark, "sql-top")
+    name = "hm_top_" + path.rsplit("-", 1)[-1]
+    replace_table(ev, path)
+    register_table(spark, name, path, partitioned=False)
+    return ntz(preview_sql(spark, name, 1000, ["-ts", "event_id"]))
+
+
+def log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events appended twice to a catalog log table made on first use, their maps as JSON."""
+    ev = _events(spark, sf_dir)
+    extra = F.create_map(F.lit("user"), F.col("user_id").cast("string"), F.lit("kind"), F.col("event_type"))
+    level = F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO")
+    rows = ev.select(
+        F.col("ts").cast(T.TimestampType()).alias("event_ts"), level.alias("level"), F.col("event_type").alias("step"),
+        F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("message"), extra.alias("extra"),
+    )
+    path = scratch_path(spark, "log-table")
+    name = "hm_events_" + path.rsplit("-", 1)[-1]
+    fixed = {"logger": "events", "dataset": "events"}
+    append_events(rows.where("level = 'ERROR'"), path, name, fixed)
+    append_events(rows.where("level <> 'ERROR'"), path, name, fixed)
+    return ntz(read_log(spark, table=name).select("event_ts", "level", "logger", "dataset", "step", "message", "extra_json"))
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as log rows, appended, summarised per level/step."""
+    """Events as log rows, appended to a folder, summarised per level/step."""
     ev = _events(spark, sf_dir)
     rows = ev.select(
         F.col("ts").cast(T.TimestampType()).alias("event_ts"),
         F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO").alias("level"),
-        F.lit("events").alias("logger"),
-        F.lit("").alias("notebook_name"),
-        F.lit("").alias("pipeline_job_id"),
-        F.lit("").alias("activity_run_id"),
         F.date_format("ts", "yyyy-MM-dd").alias("run_date"),
-        F.col("event_type").alias("dataset"),
         F.col("event_type").alias("step"),
         F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("message"),
-        F.to_json(F.struct("value", "user_id")).alias("extra_json"),
+        F.create_map(F.lit("value"), F.col("value").cast("string")).alias("extra"),
     )
     path = scratch_path(spark, "run-log")
-    name = "hm_log_" + path.rsplit("-", 1)[-1]
-    ensure_event_table(spark, name, path)
-    append_events(rows, path)
+    append_events(rows, path, constants={"logger": "events", "dataset": "events"})
     return run_summary(spark, path)
 
 
 REGISTRY = {
     "gold_flag": gold_flag,
+    "gold_flag_exact": gold_flag_exact,
     "trailing_avg": trailing_avg,
+    "trailing_avg_exact": trailing_avg_exact,
     "zip_rows": zip_rows_q,
     "zip_rows_ragged": zip_rows_ragged,
     "explode_records": explode_records_q,
@@ -515,14 +669,24 @@ REGISTRY = {
     "upsert_path": upsert_path_q,
     "upsert_table": upsert_table_q,
     "upsert_twice": upsert_twice,
+    "upsert_text_partition": upsert_text_partition,
+    "replace_schema": replace_schema,
+    "write_metrics": write_metrics_q,
+    "snapshot_runs": snapshot_runs,
+    "bronze_cleared": bronze_cleared,
+    "older_rerun": older_rerun,
     "recompute_start": recompute_start,
     "gold_incremental": gold_incremental,
+    "gold_correction": gold_correction,
+    "gold_retry": gold_retry,
     "read_silver_bound": read_silver_bound,
     "chart": chart,
     "default_sums": default_sums,
     "relationship": relationship,
     "preview": preview,
+    "sql_top": sql_top,
     "run_log": run_log,
+    "log_table": log_table,
     "end_to_end": end_to_end,
     "streaming_ingest": streaming_ingest,
 }

@@ -64,7 +64,7 @@ def shared_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="hourmill-ckpt-")
     sc.setCheckpointDir(local)
@@ -120,6 +120,28 @@ def read_small_text(spark: SparkSession, path: str) -> str | None:
         source.close()
 
 
+def put_small_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file that is there whole or not at all: under a hidden name, then renamed."""
+    folder, name = path.rsplit("/", 1)
+    hidden = f"{folder}/.{name}.{uuid.uuid4().hex[:8]}"
+    write_small_text(spark, hidden, text)
+    fs, source = _fs_for(spark, hidden)
+    _, target = _fs_for(spark, path)
+    if fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(source, target):
+        raise OSError(f"could not write {path}")
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, without those starting with ``_`` or ``.``; an absent folder has none."""
+    fs, hpath = _fs_for(spark, path)
+    if not fs.exists(hpath):
+        return []
+    names = (s.getPath().getName() for s in fs.listStatus(hpath))
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder this library wrote itself."""
     fs, hpath = _fs_for(spark, path)

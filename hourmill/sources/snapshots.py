@@ -4,6 +4,10 @@ Layout (one naming rule for landing and reading)::
 
     <bronze>/<dataset>/snapshot=<from>_<to>/part-*.json
 
+    <bronze>/<dataset>/_landed/<from>_<to>
+
+``_landed`` is the manifest: a name is in it once its documents are there
+whole, so a date that never came is known without trying to read it.
 ``snapshot`` is a partition folder, so reading one run's snapshot or all
 snapshots newer than a date is partition pruning on the ``snapshot``
 column, and every row knows which snapshot it came from (newest wins in
@@ -18,14 +22,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourmill.functions.timekeys import snapshot_name
+from hourmill.session import child_names, path_exists, write_small_text
 
 SNAPSHOT_COL = "snapshot"
+MANIFEST = "_landed"
 
 # Fixed field lists of the three source feeds.
 WEATHER_FIELDS = ("time", "temperature_2m", "wind_speed_10m", "direct_radiation")
@@ -125,6 +131,25 @@ def read_snapshot(
     return read_source(spark, folder, fmt, with_snapshot_column(schema), {"basePath": base})
 
 
+def landed_names(spark: SparkSession, base: str) -> list[str]:
+    """Names of the snapshots of one dataset that have landed, by the manifest.
+
+    A dataset that another tool landed, without a manifest, is known by its folders.
+    """
+    base = base.rstrip("/")
+    if path_exists(spark, f"{base}/{MANIFEST}"):
+        return child_names(spark, f"{base}/{MANIFEST}")
+    prefix = f"{SNAPSHOT_COL}="
+    return [n.removeprefix(prefix) for n in child_names(spark, base) if n.startswith(prefix)]
+
+
+def has_landed(spark: SparkSession, base: str, name: str) -> bool:
+    base = base.rstrip("/")
+    if path_exists(spark, f"{base}/{MANIFEST}"):
+        return path_exists(spark, f"{base}/{MANIFEST}/{name}")
+    return path_exists(spark, f"{base}/{SNAPSHOT_COL}={name}")
+
+
 def read_incremental(
     spark: SparkSession,
     base: str,
@@ -133,18 +158,19 @@ def read_incremental(
     fmt: str = "json",
     days: int = 7,
     fallback: bool = True,
+    until: str | None = None,
 ) -> tuple[DataFrame, bool]:
-    """The run date's snapshot; when that is missing, all snapshots.
+    """The run date's snapshot; when that has not landed, all snapshots.
 
-    Only a missing path triggers the fallback (any other error is
-    raised). Returns the frame and whether the fallback was taken.
+    The manifest decides; any error in reading is raised. ``until`` (a
+    snapshot name) hides later ones, the run date's own too. Returns the
+    frame and whether the fallback was taken; without ``fallback`` an absent
+    snapshot raises Spark's error.
     """
-    try:
-        return read_snapshot(spark, base, snapshot_name(run_date, days), schema, fmt), False
-    except AnalysisException as exc:
-        if not fallback or "PATH_NOT_FOUND" not in (exc.getCondition() or str(exc)):
-            raise
-        return read_snapshots(spark, base, schema, fmt), True
+    name = snapshot_name(run_date, days)
+    if not fallback or ((until is None or name <= until) and has_landed(spark, base, name)):
+        return read_snapshot(spark, base, name, schema, fmt), False
+    return read_snapshots(spark, base, schema, fmt, until=until), True
 
 
 def trailing_extract(df: DataFrame, ts: str, run_date: dt.date, days: int = 7) -> DataFrame:
@@ -160,9 +186,22 @@ def land_snapshots(df: DataFrame, base: str, replace: bool = False) -> None:
     Bronze keeps history: only the snapshot folders present in ``df`` are
     (re)written, so landing the same fetch twice leaves one copy and other
     snapshots stay. ``replace=True`` clears the whole dataset folder first
-    (the source pipeline's "delete bronze" step, opt-in).
+    (the source pipeline's "delete bronze" step, opt-in). Names enter the
+    manifest after the documents are written.
     """
-    writer = df.hint("rebalance", SNAPSHOT_COL).write.mode("overwrite").partitionBy(SNAPSHOT_COL)
-    if not replace:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.json(base)
+    spark, base = df.sparkSession, base.rstrip("/")
+    if not path_exists(spark, f"{base}/{MANIFEST}") and not replace:
+        older = landed_names(spark, base)  # of a landing without a manifest
+    else:
+        older = []
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # its names, then its documents
+    try:
+        names = [r[0] for r in df.select(SNAPSHOT_COL).distinct().collect() if r[0] is not None]  # days, not rows
+        writer = df.hint("rebalance", SNAPSHOT_COL).write.mode("overwrite").partitionBy(SNAPSHOT_COL)
+        if not replace:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.json(base)
+    finally:
+        df.unpersist()
+    for name in {*names, *older}:
+        write_small_text(spark, f"{base}/{MANIFEST}/{name}", name + "\n")

@@ -74,6 +74,9 @@ class RunSpec:
     hash_sep: str = KEY_SEPARATOR
     extract_days: int = 7
     log_path: str | None = None
+    log_table: str | None = None  # catalog name of the run log stored at log_path
+    pending_path: str | None = None  # folder of silver changes that gold has not taken
+    metrics_path: str | None = None  # folder of write metrics; None keeps none
     since: str | None = None  # snapshot-name lower bound (inclusive) for a catch-up run
     until: str | None = None  # snapshot-name upper bound (inclusive), e.g. a rebuild "as of"
 
@@ -144,4 +147,5 @@ def default_spec(
         gold=gold,
         load_mode=load_mode,
         log_path=f"{root}/ops/log_events",
+        pending_path=f"{root}/ops/pending",
     )

@@ -12,12 +12,11 @@ as if it had run once. ``trigger(availableNow=True)`` processes all new
 files in rate-limited batches and stops, which suits a scheduled job;
 the same code runs as a continuous stream with a processing-time trigger.
 
-Files are taken oldest first (by modification time), so across batches
-the last landed snapshot wins; within one batch the newest snapshot name
-wins, as in batch mode. Both agree while fetches land in date order.
+The newest snapshot name wins, within a batch and across batches (silver
+keeps each row's snapshot), in whatever order the files landed.
 
 Gold stays a batch step: its range window over time is not a streaming
-operator, and it is driven by the earliest change the stream reports.
+operator, and it is driven by the pending changes the batches noted.
 """
 
 from __future__ import annotations
@@ -27,10 +26,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourmill.plans.pipeline import GoldResult, build_gold
-from hourmill.plans.silver import silver_frame
+from hourmill.plans.pipeline import GoldResult, build_gold, earliest
+from hourmill.plans.silver import pending_note, silver_frame
 from hourmill.sinks.tables import upsert_path
-from hourmill.sources.snapshots import with_snapshot_column
+from hourmill.sources.snapshots import SNAPSHOT_COL, with_snapshot_column
 from hourmill.spec import DatasetSpec, RunSpec
 
 
@@ -62,10 +61,11 @@ def start_silver_stream(
     progress = StreamProgress(ds.name)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = silver_frame(batch, ds, spec.hash_col, spec.hash_sep)
+        rows = silver_frame(batch, ds, spec.hash_col, spec.hash_sep, keep_version=True)
         res = upsert_path(
             spark, rows, ds.silver, [spec.hash_col], ds.partition_by, track="timestamp",
             check_keys=False,  # silver_frame has just deduplicated on the hash key
+            version=SNAPSHOT_COL, before_swap=pending_note(spark, spec, ds),
         )
         progress.batches += 1
         progress.rows += res.rows
@@ -109,6 +109,5 @@ def run_streaming(
     for query, _ in started:
         query.awaitTermination()
     progress = [p for _, p in started]
-    changes = [p.earliest_change for p in progress if p.earliest_change is not None]
-    gold = build_gold(spark, spec.but(load_mode="incremental"), min(changes) if changes else None)
+    gold = build_gold(spark, spec.but(load_mode="incremental"), earliest(progress, spec))
     return progress, gold

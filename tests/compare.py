@@ -1,6 +1,6 @@
 """Compare a Spark result with a DuckDB query over the same Parquet tables.
 
-Used by the tests and by ``python -m hourmill.compare`` to check every
+Used by the tests and by ``python tests/compare.py`` to check every
 registered query the way the driver does: row count, column names and
 types, and an order-insensitive comparison of values.
 """

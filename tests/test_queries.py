@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from hourmill.compare import compare, duck
+from compare import compare, duck
 from hourmill.plans.queries import REGISTRY
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

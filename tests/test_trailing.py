@@ -175,3 +175,66 @@ def test_measured_side_counts_and_cuts_lineage(spark):
     assert "Range" not in m.df._jdf.queryExecution().executedPlan().toString()  # reads the checkpoint
     assert not measured_side(df, limit=10).broadcast
     assert sorted(r.id for r in m.df.collect()) == list(range(0, 500, 5))
+
+
+def test_default_frames_show_nan_and_infinities_as_avg(spark):
+    import math
+
+    inf, nan = float("inf"), float("nan")
+    rows = [(_at(0), 1.0), (_at(10), nan), (_at(20), 2.0), (_at(3 * 3600 + 11), 5.0), (_at(3 * 3600 + 15), inf), (_at(3 * 3600 + 20), 1.0),
+            (_at(3 * 3600 + 25), -inf), (_at(3 * 3600 + 30), 1.0), (_at(7 * 3600), 3.0), (_at(7 * 3600 + 1), 1.0)]
+    got = [r.avg for r in _run(spark, rows)]
+    assert got[0] is None and got[1] == 1.0 and math.isnan(got[2])
+    assert got[3] == 2.0  # the NaN has left the frame
+    assert got[4] == 3.5 and got[5] == inf and got[6] == inf and math.isnan(got[7])
+    assert got[8] is None and got[9] == 3.0
+
+
+def test_default_frames_keep_small_values_after_large_ones(spark):
+    """A difference of running sums would lose them to cancellation."""
+    rows = [(_at(0), 1e17), (_at(4 * 3600), 0.25), (_at(4 * 3600 + 1), 0.5), (_at(4 * 3600 + 2), 1.0)]
+    assert [r.avg for r in _run(spark, rows)][1:] == [None, 0.25, 0.375]
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_default_frames_equal_exact_ones(spark, unique):
+    rnd = random.Random(2)
+    t, rows = 0, []
+    for _ in range(3000):
+        t += rnd.choice([1, 1, 7, 300, 3599, 3 * 3600]) if unique else rnd.choice([0, 1, 60, 3600])
+        rows.append((rnd.choice("ab"), _at(t), rnd.choice([None, rnd.randrange(-500, 500) / 4])))
+    if unique:
+        rows = list({(s, t): (s, t, v) for s, t, v in rows}.values())
+    df = _frame(spark, rows, with_series=True)
+    kw = dict(ts="ts", by=["s"], count_out="n", unique_rows=unique)
+    key = lambda r: (r.s, r.ts, r.v is None, r.v or 0.0, r.n)
+    fast = sorted(trailing_mean(df, "v", "avg", **kw).collect(), key=key)
+    exact = sorted(trailing_mean(df, "v", "avg", scale=2, **kw).collect(), key=key)
+    assert fast == exact  # quarters: sums of doubles are exact too
+
+
+def test_exact_values_are_checked_without_rounding(spark):
+    """Many digits, large whole numbers, and values that only look as if they fit."""
+    ok = [0.1, 123456.789012, 99999999.999999, 999999999999.0, -0.000001, 900719925474.123456]
+    rows = [(_at(i), v) for i, v in enumerate(ok)]
+    got = [r.avg for r in _run(spark, rows, scale=6)]
+    want = _brute(rows)
+    assert all(g is None and w is None or abs(g - w) < 1e-6 for g, w in zip(got, want, strict=True))
+    for bad in (0.1234567, 1e12, float("nan"), float("inf"), 4503599627370497.5, 0.1 + 0.2):
+        with pytest.raises(Exception, match="does not fit"):
+            _run(spark, [(_at(0), bad), (_at(1), 1.0)], scale=6)
+
+
+def test_default_frames_are_linear(spark):
+    """One row a second for a day and more: about the time of exact decimals, not that of summing each frame."""
+    import time
+
+    df = spark.range(100_000).selectExpr("timestamp_seconds(1704067200 + id) as ts", "(id * 37 % 1000) / 4 as v")
+
+    def seconds(scale):
+        start = time.perf_counter()
+        trailing_mean(df, "v", "avg", ts="ts", scale=scale, broadcast_limit=-1).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    seconds(6), seconds(None)
+    assert min(seconds(None) for _ in range(2)) <= 3 * min(seconds(6) for _ in range(2)) + 1
