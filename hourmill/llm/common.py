@@ -27,10 +27,6 @@ SLICE_BYTES = 1 << 20
 #: Rows in one Arrow batch; Spark's own default (10,000) would be 1 GB of long documents.
 BATCH_ROWS = 512
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
-
 def bounded_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small enough for documents; a lower setting of the user's stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -70,6 +66,65 @@ def id_prefilter(df: DataFrame, id_col: str, wanted: DataFrame, bits: int = 24)
     return marked.join(F.broadcast(bitmap), "_word").filter(hit).select(*df.columns)
 
 
+#: Slots of an array that travel as one row.
+CHUNK = 1 << 16
+
+
+def array_chunks(counts: np.ndarray) -> pa.RecordBatch:
+    """(chunk, slots, counts) rows of an array: what is not zero of each chunk; a chunk that is mostly filled goes whole, slots null."""
+    chunks, slots, values = [], [], []
+    for at in range(0, len(counts), CHUNK):
+        part = counts[at : at + CHUNK]
+        some = np.flatnonzero(part)
+        if not len(some):
+            continue
+        whole = len(some) * (2 + counts.itemsize) >= len(part) * counts.itemsize
+        chunks.append(at)
+        slots.append(None if whole else some.astype(np.uint16).tobytes())
+        values.append((part if whole else part[some]).tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(slots, pa.binary()), pa.array(values, pa.binary())], names=["chunk", "slots", "counts"])
+
+
+CHUNKS = "chunk int, slots binary, counts binary"
+
+
+def _add_chunks(kind: str, total_kind: str):
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        most = np.iinfo(total_kind).max
+        for batch in batches:
+            for chunk, slots, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                total = sums.setdefault(chunk, np.zeros(CHUNK, total_kind))
+                n = np.frombuffer(counts, kind)
+                at = np.arange(len(n)) if slots is None else np.frombuffer(slots, np.uint16)
+                total[at] += np.minimum(n, most - total[at]).astype(total_kind)  # stops at the largest number
+        if sums:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sums, pa.int32()), pa.nulls(len(sums), pa.binary()), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
+                names=["chunk", "slots", "counts"],
+            )
+
+    return add
+
+
+def summed_array(rows: DataFrame, size: int, kind: str, total_kind: str) -> np.ndarray:
+    """The sum of arrays of ``size`` that travel as ``array_chunks``, of fixed size on the driver.
+
+    Each chunk is added up in one task, row by row as rows come.
+    """
+    out = np.zeros(max(size, CHUNK), total_kind)
+    for r in rows.repartition("chunk").mapInArrow(_add_chunks(kind, total_kind), CHUNKS).toLocalIterator():
+        out[r["chunk"] : r["chunk"] + CHUNK] = np.frombuffer(r["counts"], total_kind)
+    return out[:size]
+
+
+def document_key(id_col: Column, text: Column) -> Column:
+    """25 bytes that sort as documents do: by id, null ids last, then by digest of the text."""
+    number = F.unhex(F.lpad(F.hex(F.coalesce(id_col, F.lit(0)).bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"))
+    null = F.when(id_col.isNull(), F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00")))
+    return F.concat(null, number, F.unhex(F.md5(text.cast("binary"))))
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the offsets of its rows; null is empty."""
     column = pc.fill_null(column, "").cast(pa.large_string())
@@ -105,19 +160,6 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        m = max(n, SLICE_BYTES + 1)
-        for name, base in (("up", _BASE), ("down", _BASE_INV)):
-            steps = np.full(m, base, dtype=np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.cumprod(steps, dtype=np.uint64)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective finaliser: spreads every input bit over 64 bits."""
     x = x ^ (x >> np.uint64(30))
@@ -127,11 +169,29 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_FACTORS = np.empty(0, np.uint64)
+
+
+def _factors(n: int) -> np.ndarray:
+    """A fixed random odd-or-even factor for each place of a word's letters."""
+    global _FACTORS
+    if len(_FACTORS) < n:
+        _FACTORS = mix64(np.arange(1, max(n, 4096) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return _FACTORS[:n]
+
+
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word with A-Z lower-cased: polynomial prefix sums over the buffer."""
+    """64-bit hash of each word with A-Z lower-cased.
+
+    Multilinear: every place has a factor of its own, so no pattern of letters
+    (as with powers of one base) makes long words alike.
+    """
     if not len(starts):
         return np.empty(0, np.uint64)
-    up, down = _powers(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(LOWER[raw] * up[:-1], out=sums[1:], dtype=np.uint64)
-    return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    sizes = ends - starts
+    ahead = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum()), dtype=np.int64) - np.repeat(ahead, sizes)
+    letters = LOWER[raw[place + np.repeat(starts, sizes)]] * _factors(int(sizes.max()))[place]
+    sums = np.zeros(len(letters) + 1, dtype=np.uint64)
+    np.cumsum(letters, out=sums[1:], dtype=np.uint64)
+    return mix64(sums[ahead + sizes] - sums[ahead] + sizes.astype(np.uint64))

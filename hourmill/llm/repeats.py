@@ -26,10 +26,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourmill.llm.common import bounded_batches, doc_slices, id_prefilter, mix64, text_buffer, word_hashes, word_spans, write_scratch
+from hourmill.llm.common import SPACE, bounded_batches, doc_slices, document_key, id_prefilter, mix64, text_buffer, word_hashes, word_spans, write_scratch
 
 
 @dataclass(frozen=True)
@@ -43,13 +44,6 @@ class RepeatSpec:
             raise ValueError("a window must hold 1 to 64 seeds")
 
 
-def document_key(id_col: Column, text: Column) -> Column:
-    """25 bytes that sort as documents do: by id, null ids last, then by digest of the text."""
-    number = F.unhex(F.lpad(F.hex(F.coalesce(id_col, F.lit(0)).bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"))
-    null = F.when(id_col.isNull(), F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00")))
-    return F.concat(null, number, F.unhex(F.md5(text.cast("binary"))))
-
-
 def winnow(raw: np.ndarray, offsets: np.ndarray, spec: RepeatSpec) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(first word of each row, window starts, anchor of each window, hash of each seed); places count over all rows."""
     starts, ends, first = word_spans(raw, offsets)
@@ -146,28 +140,34 @@ def _block_cutter(spec: RepeatSpec):
     return cut
 
 
-def _runs(words: list[bytes], blocks: list[tuple[int, list[bytes]]]) -> Iterator[tuple[int, int]]:
-    """Maximal runs of equal words over ``blocks`` (place of the first word in the document, words), in order."""
-    start = end = -1
-    for at, block in blocks:
-        lo, hi = max(0, -at), min(len(block), len(words) - at)
-        if lo >= hi:
-            continue
-        if words[at + lo : at + hi] == block[lo:hi]:
-            spans = [(at + lo, at + hi)]
-        else:
-            same = np.fromiter((x == y for x, y in zip(words[at + lo : at + hi], block[lo:hi], strict=True)), bool, hi - lo)
-            turns = np.flatnonzero(np.diff(np.r_[False, same, False].astype(np.int8)))
-            spans = [(at + lo + a, at + lo + b) for a, b in zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True)]
-        for a, b in spans:
-            if a == end:
-                end = b
-            else:
-                if end > start:
-                    yield start, end
-                start, end = a, b
-    if end > start:
-        yield start, end
+def _words(raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """All words of some texts, and for each text the index of its first word (plus the total)."""
+    starts, ends, first = word_spans(raw, offsets)
+    sizes = np.r_[0, np.cumsum(ends - starts)].astype(np.int64)
+    letters = raw[~SPACE[raw]]
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(sizes), pa.py_buffer(letters)]), first
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, .. (sizes[0] of them), starts[1], .."""
+    ahead = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum()), dtype=np.int64) + np.repeat(starts - ahead, sizes)
+
+
+def equal_runs(ours: np.ndarray, theirs: np.ndarray, at: np.ndarray, there: np.ndarray, sizes: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs [start, end) in ``ours`` of words equal to those of ``theirs``.
+
+    Piece i holds sizes[i] words from at[i] and there[i] on; pieces of one line
+    (one diagonal of one document) stand in order, and a run goes on from one
+    to the next if they touch.
+    """
+    places = _spread(at, sizes)
+    same = np.flatnonzero(ours[places] == theirs[_spread(there, sizes)])
+    places, lines = places[same], np.repeat(line, sizes)[same]
+    if not len(places):
+        return places, places
+    breaks = np.flatnonzero((places[1:] != places[:-1] + 1) | (lines[1:] != lines[:-1]))
+    return places[np.r_[0, breaks + 1]], places[np.r_[breaks, len(places) - 1]] + 1
 
 
 RUNS = "key binary, n_removed long, kept_sha256 string, cover array<struct<a:int,b:int>>, rest array<struct<digest:binary,s:int>>"
@@ -178,45 +178,79 @@ def _extender(spec: RepeatSpec):
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw_all, offsets_all = text_buffer(batch.column(1))
-            keys, got = batch.column(0).to_pylist(), batch.column(2)
-            out: list[tuple] = []
-            for d, key in enumerate(keys):
-                raw = raw_all[offsets_all[d] : offsets_all[d + 1]]
-                words = raw.tobytes().split()
-                diagonals: dict[tuple[bytes, int], list] = {}
-                seeded = np.zeros(len(words) + 1, dtype=bool)
-                for g in got[d].as_py():
-                    diagonals.setdefault((g["hkey"], g["diag"]), []).append((g["j"], g["words"]))
-                    seeded[g["ps"]] = True
-                spans: list[tuple[int, int]] = []
-                for (_, diag), blocks in diagonals.items():
-                    blocks.sort()
-                    placed = [(j * spec.block + diag, w.encode().split()) for j, w in blocks]
-                    spans += [(a, b) for a, b in _runs(words, placed) if b - a >= spec.length]
-                _, at, anchors, _ = winnow(raw, np.array([0, len(raw)]), spec)
-                known = np.zeros(len(words) + 1, dtype=bool)
-                for a, b in spans:
-                    known[a : b - spec.length + 1] = True
-                rest = at[seeded[anchors] & ~known[at]].tolist()
-                cover = _merged_spans(spans)
-                removed, sha = _kept(words, cover)
-                digests = [hashlib.blake2b(b" ".join(words[s : s + spec.length]), digest_size=16).digest() for s in rest]
-                out.append((key, removed, sha, [{"a": a, "b": b} for a, b in cover], [{"digest": x, "s": s} for x, s in zip(digests, rest, strict=True)]))
-            if out:
-                key, removed, sha, cover, rest = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(key, pa.binary()), pa.array(removed, pa.int64()), pa.array(sha, pa.string()),
-                        pa.array(cover, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
-                        pa.array(rest, pa.list_(pa.struct([("digest", pa.binary()), ("s", pa.int32())]))),
-                    ],
-                    names=["key", "n_removed", "kept_sha256", "cover", "rest"],
-                )
+            got = batch.column(2)
+            shipped = np.r_[0, np.cumsum(pc.list_value_length(got).to_numpy(zero_copy_only=False))]
+            _, texts_at = text_buffer(batch.column(1))
+            _, blocks_at = text_buffer(pc.struct_field(pc.list_flatten(got), "words"))
+            for a, b in doc_slices(texts_at + blocks_at[shipped], EXTEND_BYTES):
+                yield _extended(batch.slice(a, b - a), spec)
 
     return extend
 
 
+#: Texts and blocks compared at once.
+EXTEND_BYTES = 4 << 20
+
+
+def _extended(batch: pa.RecordBatch, spec: RepeatSpec) -> pa.RecordBatch:
+    raw, offsets = text_buffer(batch.column(1))
+    own, first = _words(raw, offsets)
+    got = pc.list_flatten(batch.column(2))
+    counts = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    hub = pc.struct_field(got, "hkey").dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    diag = np.asarray(pc.struct_field(got, "diag"), dtype=np.int64)
+    j = np.asarray(pc.struct_field(got, "j"), dtype=np.int64)
+    theirs, block_first = _words(*text_buffer(pc.struct_field(got, "words")))
+    codes = pa.concat_arrays([own, theirs]).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+
+    # Pieces in the order of their diagonals, without what lies outside the document.
+    order = np.lexsort((j, diag, hub, doc))
+    at = (j * spec.block + diag)[order]
+    sizes = np.diff(block_first)[order]
+    cut = np.maximum(0, -at)
+    sizes = np.minimum(sizes, np.diff(first)[doc[order]] - at) - cut
+    line = np.r_[0, np.cumsum((np.diff(doc[order]) != 0) | (np.diff(hub[order]) != 0) | (np.diff(diag[order]) != 0))] if len(order) else order
+    some = sizes > 0
+    starts, ends = equal_runs(
+        codes[: len(own)], codes[len(own) :], (first[doc[order]] + at + cut)[some], (block_first[:-1][order] + cut)[some], sizes[some], line[some]
+    )
+    long = ends - starts >= spec.length
+    starts, ends = starts[long], ends[long]
+
+    # Windows within a repeat are known; of the others those whose anchor is a seed are left to compare.
+    _, windows, anchors, _ = winnow(raw, offsets, spec)
+    seeds = pc.struct_field(got, "ps")
+    seeded = np.zeros(len(own) + 1, dtype=bool)
+    seeded[np.repeat(first[doc], pc.list_value_length(seeds).to_numpy(zero_copy_only=False)) + np.asarray(pc.list_flatten(seeds), dtype=np.int64)] = True
+    turns = np.zeros(len(own) + 2, dtype=np.int64)
+    np.add.at(turns, starts, 1)
+    np.add.at(turns, ends - spec.length + 1, -1)
+    known = np.cumsum(turns) > 0
+    rest = windows[seeded[anchors] & ~known[windows]]
+
+    data, out = raw.tobytes(), []
+    by_doc, rest_of = np.searchsorted(first, starts, side="right") - 1, np.searchsorted(rest, first)
+    in_order = np.argsort(by_doc, kind="stable")
+    span_of = np.searchsorted(by_doc[in_order], np.arange(len(counts) + 1))
+    for d, key in enumerate(batch.column(0).to_pylist()):
+        words = data[offsets[d] : offsets[d + 1]].split()
+        mine = in_order[span_of[d] : span_of[d + 1]]
+        cover = _merged_spans(list(zip((starts[mine] - first[d]).tolist(), (ends[mine] - first[d]).tolist(), strict=True)))
+        left = (rest[rest_of[d] : rest_of[d + 1]] - first[d]).tolist()
+        digests = [hashlib.blake2b(b" ".join(words[s : s + spec.length]), digest_size=16).digest() for s in left]
+        out.append((key, *_kept(words, cover), [{"a": a, "b": b} for a, b in cover], [{"digest": x, "s": s} for x, s in zip(digests, left, strict=True)]))
+    key, removed, sha, cover, left = zip(*out, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(key, pa.binary()), pa.array(removed, pa.int64()), pa.array(sha, pa.string()),
+            pa.array(cover, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
+            pa.array(left, pa.list_(pa.struct([("digest", pa.binary()), ("s", pa.int32())]))),
+        ],
+        names=["key", "n_removed", "kept_sha256", "cover", "rest"],
+    )
+
+
 def _finisher(spec: RepeatSpec):
     """(key, text, cover, more) to (key, n_removed, kept_sha256) with the windows that step 4 adds."""
 
@@ -257,7 +291,8 @@ def remove_repeats(docs: DataFrame, spec: RepeatSpec | None = None, id_col: str
     places = signed.select("key", F.explode(F.arrays_zip("hs", "ps")).alias("x")).select(F.col("x.hs").alias("h"), "key", F.col("x.ps").alias("p"))
     again = write_scratch(places.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "repeat-again")
     places = id_prefilter(places, "h", again)
-    hubs = places.groupBy("h").agg(F.min(F.struct("key", "p")).alias("hub"))
+    # Written, so that the join below sees plain shuffles, of which Spark can split a hot anchor's.
+    hubs = write_scratch(places.groupBy("h").agg(F.min(F.struct("key", "p")).alias("hub")), "repeat-hubs")
     seeds = places.join(hubs, "h").filter("not (key = hub.key and p = hub.p)").select(
         "key", "p", F.col("hub.key").alias("hkey"), F.col("hub.p").alias("hp"), (F.col("p") - F.col("hub.p")).alias("diag")
     )
