@@ -1,10 +1,11 @@
 """Phrase collocations from n-gram count streams kept in prefix and in suffix order.
 
-1. Counting. A first pass counts unigrams and bigrams by hash; those that reach
-   the least count mark a bitmap of at most 2**26 bits. A second pass counts, as
-   text, the n-grams whose bigrams are all marked. The bitmap only saves rows: it
-   never misses a frequent n-gram (a phrase is no more frequent than its parts),
-   and whatever it lets through is dropped by its exact count.
+1. Counting. A first pass adds unigrams and bigrams up in an array of counters,
+   by hash; a second one trigrams whose bigrams' counters reach the least count
+   (one more pass for each further word). A last pass counts, as text, the
+   n-grams whose counters all do. The arrays have a fixed size and only save
+   rows: a counter is never below the count of an n-gram in it, and whatever is
+   let through beyond is dropped by its exact count.
 2. Streams. Counts are laid out by range in prefix order (lang, w1, w2, w3), where
    every phrase follows its first words: one lockstep reading of the merged
    unigram, bigram and trigram streams gives each phrase the counts of its first
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourmill.llm.common import bounded_batches, mix64, text_buffer, word_hashes, write_scratch
+from hourmill.llm.common import CHUNKS, array_chunks, bounded_batches, mix64, summed_array, text_buffer, word_hashes, write_scratch
 from hourmill.session import shared_root
 
 
@@ -38,8 +39,8 @@ class PhraseSpec:
     least: int = 10  # occurrences of a candidate
     nested: int = 50  # percent: a phrase goes if a longer candidate around it has so much of its count
     keep: int = 2000  # phrases of a language
-    slice_bytes: int = 8 << 20  # text counted at once
-    most_bits: int = 26  # of the bitmap
+    slice_bytes: int = 4 << 20  # text counted at once
+    most_bits: int = 26  # 2**most_bits counters at most; fewer for small tables
 
 
 _KIND = np.zeros(256, dtype=np.uint8)  # 0: of a word, 1: between words, 2: between pieces
@@ -75,7 +76,7 @@ class _Slice:
         self.totals = np.bincount(spoken, minlength=len(self.langs))
 
     def hashes(self) -> np.ndarray:
-        """Of each token; used for the bitmap only."""
+        """Of each token; used for the counters only."""
         flat, at = text_buffer(self.words)
         own = np.zeros(len(self.words), dtype=np.uint64)
         full = np.flatnonzero(np.diff(at))
@@ -84,10 +85,32 @@ class _Slice:
         salt = np.array([hash_bytes(flat[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)], dtype=np.uint64)
         return mix64(own + salt[self.lang]) if len(own) else own
 
-    def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(places, first and second token) of all bigrams."""
-        at = np.flatnonzero(self.joined)
-        return at, self.tokens[at], self.tokens[at + 1]
+    def grams(self, sketches: list[np.ndarray], longest: int, least: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, places, their hashes) of n-grams up to ``longest`` words whose parts' counters reach ``least``.
+
+        Counters of one and two words are in the first sketch, of three in the second, and so on.
+        """
+        if not len(self.tokens):
+            return
+        own = self.hashes()[self.tokens]
+        h, runs = own, np.ones(len(own), dtype=bool)
+        for length in range(1, longest + 1):
+            if length > 1:
+                h = _pair_hash(h[:-1], own[length - 1 :])
+                runs = runs[:-1] & runs[1:]
+                if length == 2:
+                    runs &= self.joined
+            if max(0, length - 2) < len(sketches):
+                sketch = sketches[max(0, length - 2)]
+                at = np.flatnonzero(runs)
+                runs = np.zeros(len(runs), dtype=bool)
+                runs[at[sketch[_slots(h[at], sketch)] >= min(least, 255)]] = True
+            places = np.flatnonzero(runs)
+            yield length, places, h[places]
+
+
+def _slots(h: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(len(sketch) - 1)).astype(np.int64)
 
 
 def hash_bytes(data: bytes) -> int:
@@ -117,59 +140,33 @@ def _slices(batches: Iterator[pa.RecordBatch], spec: PhraseSpec) -> Iterator[_Sl
         yield _Slice(table.column(0).chunk(0), table.column(1).chunk(0))
 
 
-def _hash_counter(spec: PhraseSpec):
-    """(text, lang) to (lang, h, c): words by language (h null), unigrams and bigrams by hash (lang null)."""
+def _sketcher(sketches, length: int, bits: int, spec: PhraseSpec):
+    """(text, lang) to CHUNKS of counters of n-grams of ``length`` words (of two: and of one), each stopping at 255."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = np.zeros(1 << bits, np.uint8)
         for s in _slices(batches, spec):
-            own = s.hashes()
-            _, first, second = s.bigrams()
-            keys, n = np.unique(first * len(own) + second, return_counts=True)
-            h = np.concatenate([own, _pair_hash(own[keys // len(own)], own[keys % len(own)])]) if len(own) else own
-            c = np.concatenate([s.totals, np.bincount(s.tokens, minlength=len(own)), n])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.concat_arrays([s.langs, pa.nulls(len(h), s.langs.type)]),
-                    pa.concat_arrays([pa.nulls(len(s.langs), pa.int64()), pa.array(h.view(np.int64))]),
-                    pa.array(c, pa.int64()),
-                ],
-                names=["lang", "h", "c"],
-            )
+            for n, _, h in s.grams([b.value for b in sketches], length, spec.least):
+                if n == length or length == 2:
+                    at, c = np.unique(_slots(h, counters), return_counts=True)
+                    counters[at] = np.minimum(counters[at] + c, 255).astype(np.uint8)
+        yield array_chunks(counters)
 
     return count
 
 
-def _text_counter(bitmap, spec: PhraseSpec):
-    """(text, lang) to (lang, phrase, c): counts of a slice's n-grams whose parts the bitmap knows."""
-
-    def known(h: np.ndarray) -> np.ndarray:
-        bits = bitmap.value
-        slot = h & np.uint64(len(bits) * 64 - 1)
-        return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+def _text_counter(sketches, spec: PhraseSpec):
+    """(text, lang) to (lang, phrase, c): counts of a slice's n-grams that the sketches let through, and its words by language (phrase null)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in _slices(batches, spec):
-            own = s.hashes()
-            if not len(own):
-                continue
-            n = np.bincount(s.tokens, minlength=len(own))
-            kept = np.flatnonzero(known(own))
-            yield _phrases(s, [kept], n[kept])
-            at, first, second = s.bigrams()
-            keys, number = np.unique(first * len(own) + second, return_inverse=True)
-            good = known(_pair_hash(own[keys // len(own)], own[keys % len(own)]))
-            runs = np.zeros(len(s.tokens), dtype=bool)  # places where an n-gram of marked bigrams begins
-            runs[at[good[number]]] = True
-            marked = runs.copy()
-            gram = s.tokens.astype(np.int64)  # the n-gram that begins at each place, numbered
-            for length in range(2, spec.words + 1):
-                if length > 2:
-                    runs[: 2 - length] &= marked[length - 2 :]
-                    runs[2 - length :] = False
-                places = np.flatnonzero(runs)
-                keys, inverse, n = np.unique(gram[places] * len(own) + s.tokens[places + length - 1], return_inverse=True, return_counts=True)
-                if not len(keys):
+            yield pa.RecordBatch.from_arrays([s.langs.cast(pa.string()), pa.nulls(len(s.langs), pa.string()), pa.array(s.totals, pa.int64())], names=["lang", "phrase", "c"])
+            gram = np.zeros(len(s.tokens), dtype=np.int64)  # the n-gram that begins at each place, numbered
+            for length, places, _ in s.grams([b.value for b in sketches], spec.words, spec.least):
+                if not len(places):
                     break
+                keys = gram[places] * len(s.words) + s.tokens[places + length - 1]
+                keys, inverse, n = np.unique(keys, return_inverse=True, return_counts=True)
                 one = np.zeros(len(keys), dtype=np.int64)
                 one[inverse] = places  # a place where each occurs
                 yield _phrases(s, [s.tokens[one + j] for j in range(length)], n)
@@ -189,23 +186,17 @@ def _phrases(s: _Slice, tokens: list[np.ndarray], n: np.ndarray) -> pa.RecordBat
 def frequent_phrases(texts: DataFrame, spec: PhraseSpec) -> tuple[DataFrame, DataFrame]:
     """((lang, words, n, f) of all n-grams that occur ``least`` times, (lang, total) words of a language)."""
     spark = texts.sparkSession
-    counted = texts.mapInArrow(_hash_counter(spec), "lang string, h long, c long").groupBy("lang", "h").agg(F.sum("c").alias("c"))
-    counted = write_scratch(counted.filter(f"h is null or c >= {spec.least}"), "phrase-hashes")
-    totals = counted.filter("h is null").select("lang", F.col("c").alias("total"))
-    marked = counted.filter("h is not null")
-    bits = min(spec.most_bits, max(12, (16 * marked.count()).bit_length()))
-    words = (
-        marked.select(F.col("h").bitwiseAND(F.lit((1 << bits) - 1)).alias("slot"))
-        .groupBy(F.shiftright("slot", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
-        .toArrow()  # at most 2**(most_bits - 6) rows
-    )
-    bitmap = np.zeros(1 << (bits - 6), dtype=np.uint64)
-    bitmap[np.asarray(words["word"], dtype=np.int64)] = np.asarray(words["bits"], dtype=np.int64).view(np.uint64)
-    shared = spark.sparkContext.broadcast(bitmap)
-    grams = texts.mapInArrow(_text_counter(shared, spec), "lang string, phrase string, c long").groupBy("lang", "phrase").agg(F.sum("c").alias("f"))
-    grams = grams.filter(f"f >= {spec.least}").withColumn("words", F.split("phrase", " ")).select("lang", "words", F.size("words").alias("n"), "f")
-    return write_scratch(grams, "phrase-counts"), totals
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(spec.most_bits, max(16, (int(size) // 64).bit_length()))
+    sketches = []
+    for length in range(2, spec.words + 1):
+        counted = texts.mapInArrow(_sketcher(list(sketches), length, bits, spec), CHUNKS)
+        sketches.append(spark.sparkContext.broadcast(summed_array(counted, 1 << bits, "uint8", "uint8")))  # 2**most_bits bytes at most
+    counted = texts.mapInArrow(_text_counter(sketches, spec), "lang string, phrase string, c long").groupBy("lang", "phrase").agg(F.sum("c").alias("f"))
+    grams = write_scratch(counted.filter(f"phrase is null or f >= {spec.least}"), "phrase-counts")
+    totals = grams.filter("phrase is null").select("lang", F.col("f").alias("total"))
+    words = grams.filter("phrase is not null").withColumn("words", F.split("phrase", " "))
+    return words.select("lang", "words", F.size("words").alias("n"), "f"), totals
 
 
 def _in_order(stream: DataFrame, order) -> DataFrame:
