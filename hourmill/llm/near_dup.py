@@ -1,15 +1,18 @@
 """Near-duplicate documents by b-bit MinHash.
 
 1. One pass over the texts gives each document's number of distinct 5-word
-   shingles, a digest of its whole shingle set, 200 minima as 40 band keys of
-   5 minima, and the low 4 bits of each minimum packed into 13 longs.
-2. Documents with equal digests are one class; only its smallest id goes on.
+   shingles, a digest of its words, 200 minima as 40 band keys of 5 minima, and
+   the low 4 bits of each minimum packed into 13 longs.
+2. Documents with equal digests are one class, numbered in the order of the
+   smallest id and text in it; only that one goes on. Every text of an id that
+   has several is a document here; an id joins its texts' components at the end.
 3. Classes meet in band buckets. Each is paired with the smallest class of
    each of its buckets. A pair goes on if the similarity that XOR and bit
    counts of the packed minima estimate, corrected for chance collisions of
    4-bit values (1/16), and the set sizes allow the threshold.
 4. Pairs that go on are verified on the full shingle sets, nearest first, and
-   links joined into components; pairs inside a component need no test.
+   links joined into components; pairs inside a component need no test. A pair
+   that links by its shingles' hashes is confirmed on their bytes.
 5. Members of one bucket that are still in different components are then
    compared the same way, so no link of a bucket is lost, while a large group
    of near copies, joined by step 4, is never expanded into all its pairs.
@@ -33,6 +36,7 @@ from pyspark.sql import functions as F
 from hourmill.llm.common import (
     bounded_batches,
     doc_slices,
+    document_key,
     id_prefilter,
     mix64,
     text_buffer,
@@ -107,8 +111,17 @@ def _parity(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def _set_digest(shingles: np.ndarray) -> bytes:
-    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+def _words_digest(text: str) -> bytes:
+    """Of the words with A-Z lower-cased: equal ones have equal shingle sets."""
+    return hashlib.blake2b(b" ".join(text.encode().lower().split()), digest_size=16).digest()
+
+
+def byte_shingles(text: str, k: int) -> frozenset[bytes]:
+    """The distinct shingles themselves."""
+    words = text.encode().lower().split()
+    if 0 < len(words) < k:
+        return frozenset([b" ".join(words)])
+    return frozenset(b" ".join(words[i : i + k]) for i in range(len(words) - k + 1))
 
 
 def _signer(spec: MinHashSpec):
@@ -120,7 +133,7 @@ def _signer(spec: MinHashSpec):
         shift = (np.arange(16, dtype=np.uint64) * np.uint64(4))[None, :]
         for batch in batches:
             counts, digests, bands, packed, odd = [], [], [], [], []
-            for shingles in shingle_sets(batch.column(1), spec.shingle):
+            for text, shingles in zip(batch.column(2), shingle_sets(batch.column(2), spec.shingle), strict=True):
                 counts.append(len(shingles))
                 if not len(shingles):
                     digests.append(None)
@@ -132,31 +145,30 @@ def _signer(spec: MinHashSpec):
                 keys = mix64((least.reshape(spec.bands, spec.rows) * turn).sum(axis=1, dtype=np.uint64) + salt)
                 low = np.zeros(spec.words64 * 16, dtype=np.uint64)
                 low[: spec.hashes] = (least ^ (least >> np.uint64(32))) & np.uint64(15)
-                digests.append(_set_digest(shingles))
+                digests.append(_words_digest(text.as_py()))
                 bands.append(keys.view(np.int64))
                 odd.append(_parity(shingles))
                 packed.append((low.reshape(-1, 16) << shift).sum(axis=1, dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(counts, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(packed, pa.list_(pa.int64())),
                     pa.array(odd, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "digest", "bands", "packed", "odd"],
+                names=["key", "doc_id", "n_shingles", "digest", "bands", "packed", "odd"],
             )
 
     return sign
 
 
-def signatures(docs: DataFrame, spec: MinHashSpec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, digest, bands, packed, odd (the last four null for an empty set)."""
-    bounded_batches(docs.sparkSession)
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, n_shingles long, digest binary, bands array<long>, packed array<long>, odd array<long>"
-    return narrow.mapInArrow(_signer(spec), schema)
+def signatures(texts: DataFrame, spec: MinHashSpec) -> DataFrame:
+    """(key, doc_id, text) to key, doc_id, n_shingles, digest, bands, packed, odd (the last four null for an empty set)."""
+    schema = "key binary, doc_id long, n_shingles long, digest binary, bands array<long>, packed array<long>, odd array<long>"
+    return texts.mapInArrow(_signer(spec), schema)
 
 
 def _unequal(spec: MinHashSpec, a: str, b: str) -> str:
@@ -189,44 +201,45 @@ def _verifier(spec: MinHashSpec):
     import pandas as pd
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets: dict[int, np.ndarray] = {}
-        for i, own in zip(pdf["doc_id"], shingle_sets(pa.array(pdf["text"], pa.string()), spec.shingle), strict=True):
-            if len(own) and (i not in sets or _set_digest(own) < _set_digest(sets[i])):
-                sets[i] = own
+        texts = dict(zip(pdf["node"], pdf["text"], strict=True))
+        sets = dict(zip(texts, shingle_sets(pa.array(texts.values(), pa.string()), spec.shingle), strict=True))
         hub = pdf["hub"].iloc[0]
-        base, out = sets.get(hub), []
+        base, out, base_bytes = sets.get(hub), [], None
         for member, own in sets.items():
             if member == hub or base is None:
                 continue
             both = len(np.intersect1d(base, own, assume_unique=True))
             if 100 * both >= spec.percent * (len(base) + len(own) - both):
-                out.append((member, hub))
+                if base_bytes is None:
+                    base_bytes = byte_shingles(texts[hub], spec.shingle)
+                own_bytes = byte_shingles(texts[member], spec.shingle)
+                both = len(base_bytes & own_bytes)
+                if 100 * both >= spec.percent * (len(base_bytes) + len(own_bytes) - both):
+                    out.append((member, hub))
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
     return verify
 
 
-def verified(pairs: DataFrame, docs: DataFrame, spec: MinHashSpec) -> DataFrame:
-    """Pairs (u, v) whose full shingle sets meet the threshold.
+def verified(pairs: DataFrame, texts: DataFrame, names: DataFrame, spec: MinHashSpec) -> DataFrame:
+    """Pairs (u, v) of classes whose full shingle sets meet the threshold.
 
-    v is the hub of a star; its members are dealt into blocks of about
+    ``names`` gives a class (cls) the key of its document, ``texts`` a key its
+    text. v is the hub of a star; its members are dealt into blocks of about
     ``spec.block``, and the hub's text goes to each block. A text that no pair
-    names is not shuffled as long as the bitmap of wanted ids has room.
+    names is not shuffled as long as the bitmap of wanted keys has room.
     """
     sizes = pairs.groupBy("v").agg(F.count("*").alias("n"))
     dealt = pairs.join(sizes, "v").select(
         "u", "v", F.expr(f"pmod(xxhash64(u), cast(ceil(n / {spec.block}) as long))").alias("blk")
     )
     dealt = write_scratch(dealt, "star-pairs")
-    need = dealt.select(F.col("u").alias("doc_id"), F.col("v").alias("hub"), "blk").unionByName(
-        dealt.select(F.col("v").alias("doc_id"), F.col("v").alias("hub"), "blk").distinct()
-    )
-    texts = id_prefilter(docs, "doc_id", need.select("doc_id"))
-    return (
-        need.join(texts, "doc_id")
-        .groupBy("hub", "blk")
-        .applyInPandas(_verifier(spec), "u long, v long")
+    need = dealt.select(F.col("u").alias("node"), F.col("v").alias("hub"), "blk").unionByName(
+        dealt.select(F.col("v").alias("node"), F.col("v").alias("hub"), "blk").distinct()
     )
+    named = names.join(need.select(F.col("node").alias("cls")).distinct(), "cls").select(F.col("cls").alias("node"), F.col("rep").alias("key"))
+    held = id_prefilter(texts.select("key", "text"), "key", named.select("key")).join(named, "key").groupBy("node").agg(F.min("text").alias("text"))
+    return need.join(held, "node").groupBy("hub", "blk").applyInPandas(_verifier(spec), "u long, v long")
 
 
 def _merged(joined: DataFrame, moved: DataFrame) -> DataFrame:
@@ -236,7 +249,7 @@ def _merged(joined: DataFrame, moved: DataFrame) -> DataFrame:
     return write_scratch(kept.unionByName(moved.join(joined, "node", "left_anti")), "components")
 
 
-def _settle(pairs: DataFrame, joined: DataFrame, docs: DataFrame, spec: MinHashSpec) -> DataFrame:
+def _settle(pairs: DataFrame, joined: DataFrame, texts: DataFrame, names: DataFrame, spec: MinHashSpec) -> DataFrame:
     """Components (node, component_id) after all links among the candidate ``pairs`` (u, v, far).
 
     In each of ``spec.rounds`` rounds every document verifies only its nearest
@@ -256,7 +269,7 @@ def _settle(pairs: DataFrame, joined: DataFrame, docs: DataFrame, spec: MinHashS
         now = pairs.groupBy("u").agg(F.min(F.struct("far", "v", "cu", "cv")).alias("n")).select("u", "n.v", "n.cu", "n.cv") if turn < spec.rounds else pairs.drop("far")
         now = write_scratch(now, "pairs-now")
         tested = now.select("u", "v")
-        links = write_scratch(verified(tested, docs, spec).join(now, ["u", "v"]).select(F.col("cu").alias("u"), F.col("cv").alias("v")), "links-now")
+        links = write_scratch(verified(tested, texts, names, spec).join(now, ["u", "v"]).select(F.col("cu").alias("u"), F.col("cv").alias("v")), "links-now")
         if not links.isEmpty():
             joined = _merged(joined, write_scratch(connected_components(links), "moved"))
     return joined
@@ -265,31 +278,32 @@ def _settle(pairs: DataFrame, joined: DataFrame, docs: DataFrame, spec: MinHashS
 def near_duplicates(
     docs: DataFrame, spec: MinHashSpec | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per document: doc_id, n_shingles, component_id, kept, text_id, text_kept.
 
     Empty or null texts (no words) link with nothing. Rows with a null id link
     with nothing, have a null component_id and are kept. Repeated rows each get
-    the row of their document. An id repeated with different texts takes part
-    with the text of the smallest set digest; its other rows stand alone.
-    Other columns are ignored, whatever their names. An empty table gives an
-    empty result.
+    the row of their document. An id repeated with different texts stands for
+    all of them: whatever one of its texts links with is one component, and
+    ``kept`` is that of the id. ``text_id`` names the row's id and text;
+    ``text_kept`` judges the text alone, without the links an id makes between
+    its texts: true for one text_id of each group of near duplicates, and for
+    texts that belong to none. Other columns are ignored, whatever their names.
+    An empty table gives an empty result.
     """
     spec = spec or MinHashSpec()
     bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = write_scratch(signatures(docs, spec, id_col, text_col), "minhash")
-
-    classes = (
-        signed.filter("digest is not null and doc_id is not null")
-        .groupBy("doc_id")
-        .agg(F.min("digest").alias("digest"))
-        .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"))
-    )
+    texts = narrow.select(document_key(F.col("doc_id"), F.coalesce("text", F.lit(""))).alias("key"), "doc_id", "text")
+    signed = write_scratch(signatures(texts, spec), "minhash")
+
+    # Classes of equal words, numbered in the order of their first document's key.
+    classes = signed.filter("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("key").alias("rep"), F.min("doc_id").alias("rep_id"))
+    classes = classes.repartitionByRange("rep").sortWithinPartitions("rep").withColumn("cls", F.monotonically_increasing_id())
+    classes = write_scratch(classes, "classes")
+    names = classes.select("cls", "rep")
     reps = write_scratch(
-        signed.filter("digest is not null")
-        .join(classes, [signed.digest == classes.digest, F.col("doc_id") == F.col("rep")], "left_semi")
-        .select(F.col("doc_id").alias("rep"), F.col("n_shingles").cast("int").alias("n"), "bands", "packed", "odd")
+        signed.join(names, F.col("key") == F.col("rep"))
+        .select(F.col("cls").alias("rep"), F.col("n_shingles").cast("int").alias("n"), "bands", "packed", "odd")
         .dropDuplicates(["rep"]),  # repeated rows are alike here
         "reps",
     )
@@ -308,7 +322,7 @@ def near_duplicates(
         "star-candidates",
     )
     none = docs.sparkSession.createDataFrame([], "node long, component_id long")
-    joined = _settle(stars, none, narrow, spec)
+    joined = _settle(stars, none, texts, names, spec)
 
     # Buckets whose members are still in different components.
     placed = shared.select("band", "rep").join(joined, F.col("rep") == F.col("node"), "left").select(
@@ -323,15 +337,53 @@ def near_duplicates(
         .distinct()
         .join(stars, ["u", "v"], "left_anti")
     )
-    joined = _settle(write_scratch(rest, "cross-candidates"), joined, narrow, spec)
-
-    found = classes.join(joined, F.col("rep") == F.col("node"), "left").select(
-        F.col("digest").alias("_digest"), F.coalesce("component_id", "rep").alias("_comp")
-    )
-    out = signed.select("doc_id", "n_shingles", "digest").join(found, F.col("digest") == F.col("_digest"), "left")
+    joined = _settle(write_scratch(rest, "cross-candidates"), joined, texts, names, spec)
+
+    # The group of each class, and the key that stays of it.
+    placed = classes.join(joined, F.col("cls") == F.col("node"), "left").select("digest", F.coalesce("component_id", "cls").alias("comp"))
+    heads = classes.select(F.col("cls").alias("comp"), F.col("rep").alias("head"), F.col("rep_id").alias("head_id"))
+    found = write_scratch(placed.join(heads, "comp").select(F.col("digest").alias("_digest"), "comp", "head", "head_id"), "class-groups")
+    out = signed.select("key", "doc_id", "n_shingles", "digest").join(found, (F.col("digest") == F.col("_digest")) & F.col("doc_id").isNotNull(), "left")
+    out = write_scratch(out.drop("digest", "_digest"), "document-groups")
+
+    # An id with several texts joins their groups.
+    several = out.filter("comp is not null").groupBy("doc_id").agg(F.min("comp").alias("least"), F.max("comp").alias("_most")).filter("least <> _most")
+    several = write_scratch(several.select("doc_id", "least"), "ids-of-several")
+    if not several.isEmpty():
+        links = out.join(several, "doc_id").filter("comp <> least").select(F.col("comp").alias("u"), F.col("least").alias("v")).distinct()
+        moved = connected_components(links).join(heads.select(F.col("comp").alias("component_id"), F.col("head_id").alias("_joined")), "component_id")
+        moved = write_scratch(moved.select(F.col("node").alias("comp"), "_joined"), "joined-groups")
+        out = out.join(moved, "comp", "left").withColumn("head_id", F.coalesce("_joined", "head_id"))
+        # A text without words belongs to its id all the same.
+        ids = write_scratch(out.filter("head_id is not null").groupBy("doc_id").agg(F.min("head_id").alias("_id")), "ids")
+        out = out.join(ids, "doc_id", "left").withColumn("head_id", F.coalesce("head_id", "_id"))
     return out.select(
         "doc_id",
         "n_shingles",
-        F.expr("case when doc_id is null then null else coalesce(_comp, doc_id) end").alias("component_id"),
-        F.expr("coalesce(doc_id = coalesce(_comp, doc_id), true)").alias("kept"),
+        F.expr("case when doc_id is null then null else coalesce(head_id, doc_id) end").alias("component_id"),
+        F.expr("coalesce(doc_id = coalesce(head_id, doc_id), true)").alias("kept"),
+        F.col("key").alias("text_id"),
+        F.expr("coalesce(key = head, true)").alias("text_kept"),
     )
+
+
+def keep_one_of_each(docs: DataFrame, spec: MinHashSpec | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: one (id, text) of each group, and one row of repeated ones.
+
+    Decided by id and text together: an id's other texts are judged by
+    themselves. Rows with a null id, and texts without words, stay. Of repeated
+    rows (id and text alike) the one whose other columns are least stays. All
+    columns are kept as they are, whatever their names.
+    """
+    found = write_scratch(near_duplicates(docs, spec, id_col, text_col).select("doc_id", F.col("text_id").alias("_hm_gone"), "text_kept"), "near-duplicates")
+    key = document_key(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    gone = found.filter("not text_kept").select("_hm_gone").distinct()
+    kept = docs.withColumn("_hm_key", key).join(gone, F.col("_hm_key") == F.col("_hm_gone"), "left_anti")
+    again = found.filter("doc_id is not null and text_kept").groupBy("_hm_gone").agg(F.count("*").alias("_hm_n")).filter("_hm_n > 1").select("_hm_gone")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if again.isEmpty():
+        return kept.select(*columns)
+    once = kept.join(again, F.col("_hm_key") == F.col("_hm_gone"), "left_anti").select(*columns)
+    copies = kept.join(again, F.col("_hm_key") == F.col("_hm_gone"), "left_semi")
+    one = copies.groupBy("_hm_key").agg(F.min(F.struct(*columns)).alias("_hm_row"))
+    return once.unionByName(one.select(*[F.col("_hm_row").getField(c).alias(c) for c in docs.columns]))

@@ -38,7 +38,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +74,10 @@ def op8_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path(PIECES), scratch_path(spark, "token-counts"))
+    """A first run over some documents fills the cache; the second, over all, finds their counts there."""
+    docs, cache = _table(spark, sf_dir, "documents"), scratch_path(spark, "token-counts")
+    count_tokens(docs.filter("doc_id % 16 = 0"), tokenizer_path(PIECES), cache)
+    return count_tokens(docs, tokenizer_path(PIECES), cache)
 
 
 def op10_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
