@@ -14,7 +14,8 @@
    entity has one surrogate everywhere (coreference), laid out in the format
    of each occurrence.
 4. Occurrences join their surrogates and documents are put together again.
-   Only documents with an entity are shuffled.
+   Only documents with an entity are shuffled. Every text meets the pattern
+   once: documents are written with their parts between entities beside them.
 """
 
 from __future__ import annotations
@@ -63,7 +64,7 @@ PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
     "ipv6": r"(?<![\p{L}\p{N}:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])"
     r"|(?<![\p{L}\p{N}:])(?=[0-9A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){1,7}:|::(?=[0-9A-Fa-f]))(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![\p{L}\p{N}:])",
-    "ip": r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?!\.?[\p{N}])",
+    "ip": r"(?<![\p{N}.])(?<!(?i:version|release|build|v)\.?[ ]{0,1})(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?!\.?[\p{N}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "card": r"(?<![\p{L}\p{N}.-])(?:[2-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}|3[0-9]{3}[ -][0-9]{6}[ -][0-9]{4,5})(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])",
@@ -82,16 +83,18 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def has_entity(text: Column) -> Column:
+def split_text(text: Column) -> Column:
+    """struct<b, v>: the parts of a text between its entities, and the entities; null if it has none."""
     t = F.coalesce(text, F.lit(""))
     marked = t.rlike("[0-9@]") | t.rlike(rf"(?:{_ALL_TITLES})\.? \p{{Lu}}")
     for m in _MARKS_LOWER:
         marked = marked | F.contains(F.lower(t), F.lit(m))
-    return F.when(marked, t.rlike(_ANY)).otherwise(F.lit(False))
+    some = lambda v: F.when(F.size(v) > 0, F.struct(F.split(t, _ANY, -1).alias("b"), v.alias("v")))
+    return F.when(marked, _let(F.regexp_extract_all(t, F.lit(_ANY), F.lit(0)), some))
 
 
-def occurrences(text: Column) -> Column:
-    """array<struct<pos, type, canonical, value>> of a text's matches in order; type ``none`` is no entity."""
+def occurrences(parts: Column) -> Column:
+    """array<struct<pos, type, canonical, value, gender>> of split parts in order; type ``none`` is no entity."""
 
     def typed(before: Column, value: Column, i: Column, befores: Column, values: Column) -> Column:
         kind = F.when(before.rlike(rf"(?i)({_SECRET_KEYS})[ \t]*[=:][ \t]*[\"']?$"), F.lit("secret"))
@@ -108,24 +111,23 @@ def occurrences(text: Column) -> Column:
             .otherwise(F.lit("x"))
         )
         given = titled & goes_on
-        person = F.when(given, F.concat(F.lit("given_"), script, F.lit("_"), gender)).otherwise(F.concat(F.lit("family_"), script))
+        person = F.concat(F.when(given, F.lit("given_")).otherwise(F.lit("family_")), script)
         type_ = F.when(kind == "name", person).otherwise(kind)
         canonical = (
             F.when(type_.isin("email", "ipv6"), F.lower(value))
             .when(type_.isin("card", "ssn"), F.regexp_replace(value, "[^0-9]", ""))
-            .when(type_ == "phone", F.regexp_replace(value, "[^0-9+]", ""))
+            # Ten digits are the same number with and without the country prefix 1.
+            .when(type_ == "phone", F.regexp_replace(F.regexp_replace(value, "[^0-9+]", ""), r"^\+1([0-9]{10})$", "$1"))
+            .when(type_.startswith("given_") | type_.startswith("family_"), F.lower(value))
             .when(type_ == "iban", F.regexp_replace(value, " ", ""))
             .otherwise(value)
         )
         # A number of a card's length that fails its check digit is no card.
         type_ = F.when((type_ == "card") & (_luhn(canonical) != 0), F.lit("none")).otherwise(type_)
-        return F.struct(i.alias("pos"), type_.alias("type"), canonical.alias("canonical"), value.alias("value"))
+        told = F.when(type_.startswith("given_"), gender).otherwise(F.lit("x"))
+        return F.struct(i.alias("pos"), type_.alias("type"), canonical.alias("canonical"), value.alias("value"), told.alias("gender"))
 
-    befores, values = F.split(text, _ANY, -1), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))
-    return _let(
-        F.struct(befores.alias("b"), values.alias("v")),
-        lambda s: F.transform(s["v"], lambda v, i: typed(F.get(s["b"], i), v, i, s["b"], s["v"])),
-    )
+    return _let(parts, lambda s: F.transform(s["v"], lambda v, i: typed(F.get(s["b"], i), v, i, s["b"], s["v"])))
 
 
 def _byte(stream: Column, k: Column) -> Column:
@@ -137,7 +139,7 @@ def _pick(words: list[str], n: Column) -> Column:
     return F.element_at(F.array(*[F.lit(w) for w in words]), (n % len(words)) + 1)
 
 
-def surrogate(kind: Column, canonical: Column, attempt: int, key: str) -> Column:
+def surrogate(kind: Column, canonical: Column, gender: Column, attempt: int, key: str) -> Column:
     """The surrogate of one entity at one attempt."""
     chunks = F.sequence(F.lit(0), F.floor(F.length(canonical) / 28).cast("int") + 1)
     stream = F.array_join(
@@ -183,7 +185,8 @@ def surrogate(kind: Column, canonical: Column, attempt: int, key: str) -> Column
             base = _pick(names, _byte(s, F.lit(0)))
             if attempt:  # the plain list is used up sooner or later
                 base = F.concat(base, F.lit("-"), F.initcap(F.concat(*[_pick(SYLLABLES[name.split("_")[0]], _byte(s, F.lit(1 + j))) for j in range(1 + attempt)])))
-            out = F.when(kind == f"given_{name}", base).otherwise(out)
+            script, own = name.split("_")
+            out = F.when((kind == f"given_{script}") & (gender == own), base).otherwise(out)
         for script, parts in SYLLABLES.items():
             word = F.initcap(F.concat(*[_pick(parts, _byte(s, F.lit(j))) for j in range(4 + attempt)]))
             out = F.when(kind == f"family_{script}", word).otherwise(out)
@@ -212,33 +215,38 @@ def _like_luhn(real: Column, drawn: Column) -> Column:
     return F.concat(F.substring(drawn, F.lit(1), F.length(drawn) - 1), fixed.cast("string"))
 
 
-def surrogates(entities: DataFrame, key: str, most_attempts: int = 40) -> DataFrame:
-    """(type, canonical) rows to (type, canonical, surrogate): one each, all different, none a real value.
+def surrogates(entities: DataFrame, key: str) -> DataFrame:
+    """(type, canonical, gender) rows to (type, canonical, surrogate): one each, all different, none a real value.
 
     Types whose values look alike are checked together (all digits of cards,
-    phones and the rest in one space), so no surrogate is a value of another type.
+    phones and the rest in one space), so no surrogate is a value of another
+    type. Names are compared without regard to capitals. Attempts go on until
+    every entity has one: from some attempt on, surrogates grow longer.
     """
-    left = write_scratch(entities.select("type", "canonical").distinct(), "entities")
-    real = left.select(F.col("canonical").alias("surrogate")).distinct()
+    men, women = F.max(F.col("gender") == "m"), F.max(F.col("gender") == "f")
+    told = F.when(men & ~women, "m").when(women & ~men, "f").otherwise("x")
+    left = write_scratch(entities.groupBy("type", "canonical").agg(told.alias("gender")), "entities")
+    real = left.select(F.lower("canonical").alias("_like")).distinct()
     spark = entities.sparkSession
     done = spark.createDataFrame([], "type string, canonical string, surrogate string")
-    for attempt in range(most_attempts):
-        drawn = left.select("type", "canonical", surrogate(F.col("type"), F.col("canonical"), attempt, key).alias("surrogate"))
-        taken = real.unionByName(done.select("surrogate"))
-        free = drawn.join(taken, "surrogate", "left_anti")
-        first = free.groupBy("surrogate").agg(F.min(F.struct("type", "canonical")).alias("f")).select("f.type", "f.canonical", "surrogate")
+    attempt = 0
+    while not left.isEmpty():
+        drawn = left.select("type", "canonical", surrogate(F.col("type"), F.col("canonical"), F.col("gender"), attempt, key).alias("surrogate"))
+        drawn = drawn.withColumn("_like", F.lower("surrogate"))
+        taken = real.unionByName(done.select(F.lower("surrogate").alias("_like")))
+        free = drawn.join(taken, "_like", "left_anti")
+        first = free.groupBy("_like").agg(F.min(F.struct("type", "canonical", "surrogate")).alias("f")).select("f.*")
         fresh = write_scratch(first, "surrogates")
         done = done.unionByName(fresh)
         left = write_scratch(left.join(fresh, ["type", "canonical"], "left_anti"), "entities-left")
-        if left.isEmpty():
-            return done
-    raise ValueError(f"no free surrogates after {most_attempts} attempts")
+        attempt += 1
+    return done
 
 
 def _laid_out(kind: Column, value: Column, sur: Column) -> Column:
     """The canonical surrogate in the format of an occurrence: its marks, blanks and capitals."""
 
-    def numbers(_: Column) -> Column:
+    def numbers(value: Column) -> Column:
         def one(c: Column, i: Column) -> Column:
             before = F.length(F.regexp_replace(F.substring(value, F.lit(1), i), "[^\\p{L}\\p{N}+]", ""))
             return F.when(c.rlike("[\\p{L}\\p{N}+]"), F.substring(sur, before + 1, F.lit(1))).otherwise(c)
@@ -253,9 +261,14 @@ def _laid_out(kind: Column, value: Column, sur: Column) -> Column:
             F.transform(chars, lambda c, i: F.when(F.substring(value, i + 1, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), ""
         )
 
+    prefix = F.regexp_extract(value, r"^\+1[ .-]?", 0)
+    prefixed = (kind == "phone") & (F.length(prefix) > 0) & (F.length(F.regexp_replace(value, "[^0-9]", "")) == 11)
+    name = kind.startswith("given_") | kind.startswith("family_")
     return (
-        F.when(kind.isin("card", "ssn", "phone", "iban"), numbers(value))
+        F.when(prefixed, F.concat(prefix, numbers(F.substring(value, F.length(prefix) + 1, F.length(value)))))
+        .when(kind.isin("card", "ssn", "phone", "iban"), numbers(value))
         .when(kind.isin("email", "ipv6") & (value != F.lower(value)), capitals())
+        .when(name & (value == F.upper(value)) & (F.length(value) > 1), F.upper(sur))
         .otherwise(sur)
     )
 
@@ -267,20 +280,24 @@ def replace_entities(
 
     Null and empty texts stay as they are. Repeated rows and null ids are
     treated alike: a row's text decides. All other columns are kept, whatever
-    their names. An empty table gives an empty result.
+    their names; one named like ``count_col`` is replaced by it. An empty table
+    gives an empty result.
     """
-    rows, own = docs, docs.columns
-    held = ["_k", "_d", "_r", "_s", "_n"]
+    own = [c for c in docs.columns if c != count_col]
+    held = ["_k", "_d", "_r", "_s", "_n", "_p"]
     while set(held) & set(own):
         held = [h + "_" for h in held]
-    k, d, r, s, n = held
+    k, d, r, s, n, p = held
     text = F.col(f"`{text_col}`")
-    digest = F.sha2(text.cast("binary"), 256)
-    has = has_entity(text)
-
-    found = rows.filter(has).select(
-        F.col(f"`{id_col}`").alias("id"), digest.alias("d"), F.inline(occurrences(text))
-    )
+    kept = [F.col(f"`{c}`") for c in own]
+    digest = F.when(F.col(p).isNotNull(), F.sha2(text.cast("binary"), 256))
+    # The texts of documents with an entity are held as their parts only.
+    split = docs.select(*kept, split_text(text).alias(p)).withColumn(r, digest)
+    split = split.select(*[F.when(F.col(p).isNull(), text).alias(c) if c == text_col else F.col(f"`{c}`") for c in own], p, r)
+    rows = write_scratch(split, "split-texts")
+
+    marked = rows.filter(F.col(p).isNotNull())
+    found = marked.select(F.col(f"`{id_col}`").alias("id"), F.col(r).alias("d"), F.inline(occurrences(F.col(p))))
     found = write_scratch(found.distinct(), "occurrences")
     table = surrogates(found.filter("type <> 'none'"), key)
     new = (
@@ -290,10 +307,9 @@ def replace_entities(
         .agg(F.sort_array(F.collect_list(F.struct("pos", "new"))).alias("_new"), F.count_if(F.col("type") != "none").alias("_n"))
         .select(F.col("id").alias(k), F.col("d").alias(d), F.col("_new.new").alias(s), F.col("_n").alias(n))
     )
-    pieces = F.split(text, _ANY, -1)
-    whole = F.array_join(F.flatten(F.transform(pieces, lambda p, i: F.array(p, F.coalesce(F.get(F.col(s), i), F.lit(""))))), "")
-    changed = rows.filter(has).withColumn(r, digest).join(new, F.col(f"`{id_col}`").eqNullSafe(F.col(k)) & (F.col(r) == F.col(d)))
-    kept = [F.col(f"`{c}`") for c in own]
+    parts = F.col(p).getField("b")
+    whole = F.array_join(F.flatten(F.transform(parts, lambda x, i: F.array(x, F.coalesce(F.get(F.col(s), i), F.lit(""))))), "")
+    changed = marked.join(new, F.col(f"`{id_col}`").eqNullSafe(F.col(k)) & (F.col(r) == F.col(d)))
     extra = lambda c: [c.cast("long").alias(count_col)] if count_col else []
     with_new = changed.select(*[whole.alias(c) if c == text_col else F.col(f"`{c}`") for c in own], *extra(F.col(n)))
-    return rows.filter(~has).select(*kept, *extra(F.lit(0))).unionByName(with_new)
+    return rows.filter(F.col(p).isNull()).select(*kept, *extra(F.lit(0))).unionByName(with_new)
