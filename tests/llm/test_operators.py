@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hourmill.llm.queries import PIECES, WORDS, tokenizer_path
 from hourmill.session import scratch_path
@@ -80,6 +81,48 @@ def test_near_duplicates_of_a_hot_group(spark):
     assert all(got[i] == (want[i] if i in want else 1000) for i, _ in rows)
 
 
+def test_an_id_with_several_texts(spark):
+    """All texts of an id take part: whatever one of them links with is one component."""
+    from hourmill.llm.near_dup import keep_one_of_each, near_duplicates
+
+    rng = random.Random(6)
+    a, b, c, d = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(60)) for x in "abcd")
+    rows = [(5, a), (7, a), (7, b), (9, b + " more"), (8, c), (3, c), (8, None), (1, d), (1, d), (None, d), (None, d), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("head", F.lit(0)).repartition(3)
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs).collect())
+    assert got == Counter({
+        (5, 5, True): 1, (7, 5, False): 2, (9, 5, False): 1, (8, 3, False): 2, (3, 3, True): 1, (1, 1, True): 2, (None, None, True): 2, (4, 4, True): 1
+    })
+    # By text: 7's b stays though its a goes, and so does 8's empty text; of 1's two equal rows one stays.
+    kept = Counter(texts(keep_one_of_each(docs)))
+    assert kept == Counter([(5, a), (7, b), (3, c), (8, None), (1, d), (None, d), (None, d), (4, "")])
+    assert keep_one_of_each(docs).columns == docs.columns
+
+
+def test_of_repeated_rows_the_least_stays(spark):
+    from hourmill.llm.near_dup import keep_one_of_each
+
+    docs = spark.createDataFrame([(1, "x y", 3), (1, "x y", 2), (2, "other words", 9)], "doc_id long, text string, n int")
+    assert sorted(tuple(r) for r in keep_one_of_each(docs).collect()) == [(1, "x y", 2), (2, "other words", 9)]
+
+
+def test_links_are_confirmed_on_words(spark, monkeypatch):
+    """Long words of one pattern differ in their hashes, and texts whose hashes agree are no duplicates for it."""
+    from hourmill.llm import near_dup
+
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, word), (2, other), (3, word.upper())], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 1}
+    import pandas as pd
+
+    monkeypatch.setattr(near_dup, "shingle_sets", lambda column, k: [np.arange(5, dtype=np.uint64) for _ in column])
+    group = pd.DataFrame({"node": [1, 2, 3], "hub": [1, 1, 1], "blk": [0] * 3, "text": ["a b c d e f", "g h i j k l", "A b c d e f"]})
+    assert near_dup._verifier(near_dup.MinHashSpec())(group).to_numpy().tolist() == [[3, 1]]
+
+
 def test_components_of_long_chains(spark):
     from hourmill.llm.components import connected_components
 
@@ -166,78 +209,116 @@ def test_quality_rules(spark, odd_docs, no_docs):
     assert apply_rules(no_docs).count() == 0
 
 
+def packed_whole(rows, length):
+    """Every piece gapless in its document and its sequence; sequences full or a power of two."""
+    documents, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+        documents[r.doc_id].append((r.start, r.length, r.doc_tokens))
+    for s in sequences.values():
+        at = 0
+        for offset, n in sorted(s):
+            assert offset == at and n > 0
+            at += n
+        assert at == length or at < length and at & (at - 1) == 0
+    return documents
+
+
 def test_packing(spark, odd_docs, no_docs):
     import tokenizers
 
     from hourmill.llm.packing import PackSpec, pack_documents
 
     t = tokenizers.Tokenizer.from_file(tokenizer_path(WORDS))
-    rows = pack_documents(odd_docs, tokenizer_path(WORDS), PackSpec(shard_bytes=60_000)).collect()
     total = sum(len(t.encode(x or "", add_special_tokens=False).ids) + 1 for _, x in texts(odd_docs))
-    sequences = defaultdict(list)
-    for r in rows:
-        sequences[r.sequence_id].append((r.offset, r.length))
-    sizes = []
-    for s in sequences.values():
-        at = 0
-        for offset, length in sorted(s):
-            assert offset == at and length > 0
-            at += length
-        sizes.append(at)
-    assert sum(sizes) == total and all(s <= 4096 and s & (s - 1) == 0 for s in sizes)
     own = {i: t.encode(x or "", add_special_tokens=False).ids + [2] for i, x in texts(odd_docs) if i not in (None, 2)}
-    for i, ids in own.items():
-        pieces = sorted((r.start, r.length, r.ids_crc32, r.doc_tokens) for r in rows if r.doc_id == i)
-        assert [p[0] for p in pieces] == [0, *np.cumsum([p[1] for p in pieces])[:-1]]
-        assert all(c == crc(ids[a : a + n]) and d == len(ids) for a, n, c, d in pieces)
+    for spec in (PackSpec(), PackSpec(length=1024, shard_tokens=3000, first_terms=2, kept_terms=4, block=2, askers=1)):
+        rows = pack_documents(odd_docs, tokenizer_path(WORDS), spec).collect()
+        packed_whole(rows, spec.length)
+        assert sum(r.length for r in rows) == total
+        for i, ids in own.items():
+            pieces = sorted((r.start, r.length, r.ids_crc32, r.doc_tokens) for r in rows if r.doc_id == i)
+            assert [p[0] for p in pieces] == [0, *np.cumsum([p[1] for p in pieces])[:-1]]
+            assert all(c == crc(ids[a : a + n]) and d == len(ids) for a, n, c, d in pieces)
     assert pack_documents(no_docs, tokenizer_path(WORDS)).count() == 0
 
 
-def test_packing_prefers_neighbours():
-    from hourmill.llm.packing import PackSpec, ShardIndex
-
-    rng = np.random.default_rng(0)
-    topics = [rng.integers(100 * k, 100 * k + 100, size=(4, 60)) for k in range(3)]
-    docs = [d for group in zip(*topics, strict=True) for d in group]  # topic = position mod 3
-    index = ShardIndex(docs, PackSpec())
-    near = index.neighbours(0, np.arange(len(docs)) > 0)
-    assert {int(i) % 3 for i in near[:3]} == {0}
-
-
-def test_packing_searches_the_rest_of_the_terms():
-    from hourmill.llm.packing import PackSpec, ShardIndex, fill_windows
-
-    # Twelve heavy terms, used up by document 3; document 2 shares only a light one, document 1 none.
-    docs = [np.array([*range(12)] * 5 + [50]), np.array([60] * 9), np.array([50, 70]), np.array([*range(12)] * 5), np.array([60, 61])]
-    index = ShardIndex(docs, PackSpec())
-    assert 50 not in index.queries[0]
-    first = [d for d, *_ in fill_windows(np.array([len(d) for d in docs]), index, 4096)]
-    assert first[:3] == [0, 3, 2]
-
-
-def test_packing_searches_the_whole_table(spark):
-    from hourmill.llm.packing import PackSpec, ShardIndex, best_windows, pack_documents
+def test_bm25_by_its_formula():
+    from hourmill.llm.packing import CorpusStats, PackSpec, document_terms, ranked_terms
+
+    rng = np.random.default_rng(1)
+    spec = PackSpec(term_bits=12)
+    docs = [rng.integers(0, 9, rng.integers(0, 60)) for _ in range(40)]
+    owner, terms, tf = document_terms(docs, spec.term_bits)
+    df = np.bincount(terms, minlength=1 << spec.term_bits)
+    stats = CorpusStats(len(docs), float(np.mean([len(d) for d in docs])), df)
+    assert (np.bincount(owner, weights=tf, minlength=40) == [max(0, len(d) - 1) for d in docs]).all()  # pairs of neighbours
+    for i, (n, mine, weights) in enumerate(ranked_terms(docs, stats, spec, 0, 10**6)):
+        own = {int(x): int(c) for o, x, c in zip(owner, terms, tf, strict=True) if o == i and df[x] > 1}
+        want = {}
+        for x, c in own.items():
+            idf = np.log(1 + (len(docs) - df[x] + 0.5) / (df[x] + 0.5))
+            want[x] = idf * c * (spec.k1 + 1) / (c + spec.k1 * (1 - spec.b + spec.b * len(docs[i]) / stats.mean))
+        assert n == len(want) and np.allclose([want[int(x)] for x in mine], weights) and (np.diff(weights) <= 1e-12).all()
+    slices = [np.concatenate(x) for x in zip(*[[r[1] for r in ranked_terms(docs, stats, spec, a, b)] for a, b in ((0, 3), (3, 6), (6, 10**6))], strict=True)]
+    assert all((x == r[1]).all() for x, r in zip(slices, ranked_terms(docs, stats, spec, 0, 10**6), strict=True))
+
+
+def test_packing_search_is_complete_for_rare_terms(spark):
+    """Scores of lists within one block are those of all pairs; longer lists meet in part, never more than their share."""
+    from hourmill.llm.packing import PackSpec, neighbours
+
+    rng = random.Random(4)
+    spec = PackSpec(block=8, askers=4)
+    postings = {(rng.randrange(30), r): rng.random() for r in range(60) for _ in range(3)}
+    asked = {(rng.randrange(30), 1000 + w) for w in range(20) for _ in range(3)}
+    rare = {t for t in range(30) if sum(k[0] == t for k in postings) <= 8 and sum(a[0] == t for a in asked) <= 4}
+    hot = [(99, r, 1.0) for r in range(400)]
+    rows = [(t, r, w) for (t, r), w in postings.items() if t in rare]
+    docs = spark.createDataFrame(rows + hot, "term int, row long, weight double")
+    windows = spark.createDataFrame([a for a in asked if a[0] in rare] + [(99, w) for w in range(2000, 2050)], "term int, window long")
+    got = {(r.window, r.row): r.score for r in neighbours(windows, docs, spec).collect()}
+    want = defaultdict(float)
+    for t, w in asked:
+        for u, r, x in rows:
+            if t == u:
+                want[w, r] += x
+    assert len(rare) > 10 and {k: v for k, v in got.items() if k[0] < 2000} == pytest.approx(dict(want))
+    met = Counter(w for w, _ in got if w >= 2000)
+    assert len(met) == 50 and 0 < sum(met.values()) < 50 * 400 / 8
+
+
+def test_packing_brings_topics_together(spark):
+    from hourmill.llm.packing import PackSpec, pack_documents
 
     rng = random.Random(3)
     words = ["".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(6)) for _ in range(40 * 30)]
     rows = [(i, " ".join(rng.choices(words[30 * (i % 40) : 30 * (i % 40) + 30], k=100))) for i in range(40 * 16)]  # topic = id mod 40
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = pack_documents(docs, tokenizer_path(WORDS), PackSpec(length=1024, shard_bytes=20_000)).collect()
+    got = pack_documents(docs, tokenizer_path(WORDS), PackSpec(length=1024)).collect()
     sequences = defaultdict(Counter)
     for r in got:
         sequences[r.sequence_id][r.doc_id % 40] += r.length
-    # About 23 shards of 28 documents in 40 topics: within a shard hardly a document has a neighbour of its topic.
     assert sum(max(c.values()) for c in sequences.values()) > 0.6 * sum(r.length for r in got)
-    for i in {r.doc_id for r in got}:
-        spans = sorted((r.start, r.length) for r in got if r.doc_id == i)
-        assert [a for a, _ in spans] == [0, *np.cumsum([n for _, n in spans])[:-1]] and sum(n for _, n in spans) == next(r.doc_tokens for r in got if r.doc_id == i)
-    assert len({r.doc_id for r in got}) == len(rows)
-    arrays = [np.array(rng.choices(range(300), k=40)) for _ in range(50)]
-    index, queries = ShardIndex(arrays, PackSpec()), [np.array(rng.sample(range(300), 12)) for _ in range(300)]
-    doc, query, score = best_windows(index, queries, 8)
-    table = np.array([index.scores(q) / index.scale(q) for q in queries])
-    for d in range(50):
-        assert np.allclose(np.sort(score[doc == d]), np.sort(table[:, d])[-8:]) and np.allclose(table[query[doc == d], d], score[doc == d])
+    documents = packed_whole(got, 1024)
+    assert len(documents) == len(rows)
+    for spans in documents.values():
+        spans.sort()
+        assert [a for a, *_ in spans] == [0, *np.cumsum([n for _, n, _ in spans])[:-1]] and sum(n for _, n, _ in spans) == spans[0][2]
+
+
+def test_copies_lie_side_by_side(spark):
+    """Pairs of copies, far apart in the table, among documents that share nothing rare."""
+    from hourmill.llm.packing import PackSpec, pack_documents
+
+    rng = random.Random(5)
+    text = [" ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(60)) for _ in range(300)]
+    rows = [(i, text[i % 300]) for i in range(600)]
+    got = pack_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), tokenizer_path(WORDS), PackSpec(length=1024)).collect()
+    placed = defaultdict(set)
+    for r in got:
+        placed[r.doc_id].add(r.sequence_id)
+    assert sum(bool(placed[i] & placed[i + 300]) for i in range(300)) > 200
 
 
 def test_language_id(spark, odd_docs, no_docs):
@@ -307,7 +388,7 @@ def test_addresses_of_one_digit_octets_outgrow_their_shape(spark):
     from hourmill.llm.pii import surrogates
 
     real = {f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)}
-    got = surrogates(spark.createDataFrame([("ip", x) for x in sorted(real)], "type string, canonical string"), "k").collect()
+    got = surrogates(spark.createDataFrame([("ip", x, "x") for x in sorted(real)], "type string, canonical string, gender string"), "k").collect()
     drawn = {r.surrogate for r in got}
     assert len(got) == len(drawn) == len(real) and not drawn & real
     assert all(0 < int(o) < 256 for x in drawn for o in x.split("."))
@@ -316,12 +397,70 @@ def test_addresses_of_one_digit_octets_outgrow_their_shape(spark):
 def test_surrogates_stay_distinct_in_a_small_space(spark):
     from hourmill.llm.pii import surrogates
 
-    entities = spark.createDataFrame([("ip", f"1.1.1.{i}") for i in range(10)] + [("given_latin_m", f"N{i}") for i in range(200)], "type string, canonical string")
-    rows = surrogates(entities, "k").collect()
-    made = [r.surrogate for r in rows]
+    entities = [("ip", f"1.1.1.{i}", "x") for i in range(10)] + [("given_latin", f"n{i}", "m") for i in range(200)]
+    rows = surrogates(spark.createDataFrame(entities, "type string, canonical string, gender string"), "k").collect()
+    made = [r.surrogate.lower() for r in rows]
     assert len(rows) == 210 and len(set(made)) == 210 and not set(made) & {r.canonical for r in rows}
 
 
+def test_one_person_under_all_titles_and_in_capitals(spark):
+    from hourmill.llm.pii import GIVEN, replace_entities
+
+    forms = ["Mr. John Smith came", "Dr. John Smith came", "MR. JOHN SMITH came", "prof John Smith came", "Mr. Smith came", "MR. SMITH came"]
+    forms += ["Mrs. Jane Doe came", "Dr. Jane Doe came", "Dr. Robin Roe came", "Mr. Kim Poe came", "Mrs. Kim Poe came", "Dr. Kim Poe came"]
+    docs = spark.createDataFrame(list(enumerate(forms)), "doc_id long, text string")
+    got = dict(texts(replace_entities(docs, "k")))
+    given, family = got[0].split()[1:3]
+    assert given in GIVEN["latin_m"] and "John" not in str(got) and "Smith" not in str(got)
+    assert [got[i].split()[1:-1] for i in range(6)] == [[given, family], [given, family], [given.upper(), family.upper()], [given, family], [family], [family.upper()]]
+    jane = got[6].split()[1]
+    assert jane in GIVEN["latin_f"] and got[7].split()[1] == jane
+    assert got[8].split()[1] in GIVEN["latin_x"]
+    assert len({got[i].split()[1] for i in (9, 10, 11)}) == 1 and got[9].split()[1].split("-")[0] in GIVEN["latin_x"]  # titles disagree
+
+
+def test_a_number_with_and_without_its_country_prefix(spark):
+    from hourmill.llm.pii import replace_entities
+
+    forms = ["call +1 988 555 2485 now", "call 988-555-2485 now", "call (988) 555-2485 now", "call +1 (988) 555-2485 now", "call +19885552485 now"]
+    stay = ["version 1.2.3.4 is out", "v1.2.3.4 is out", "release 10.0.0.12 is out"]
+    docs = spark.createDataFrame(list(enumerate([*forms, *stay])), "doc_id long, text string")
+    got = dict(texts(replace_entities(docs, "k")))
+    digits = {re.sub(r"\D", "", got[i])[-10:] for i in range(5)}
+    assert len(digits) == 1 and digits != {"9885552485"}
+    d = digits.pop()
+    want = [f"+1 {d[:3]} {d[3:6]} {d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"({d[:3]}) {d[3:6]}-{d[6:]}", f"+1 ({d[:3]}) {d[3:6]}-{d[6:]}", f"+1{d}"]
+    assert [got[i] for i in range(5)] == [f"call {w} now" for w in want]
+    assert [got[5 + i] for i in range(3)] == stay
+
+
+def test_planted_entities_by_brute_force(spark):
+    """Every planted value goes, equal ones to equal surrogates and different ones to different, all else stays."""
+    from hourmill.llm.pii import replace_entities
+
+    rng = random.Random(8)
+    values = [f"user{i}@mail{i % 7}.example.org" for i in range(40)] + [f"10.{rng.randrange(256)}.{rng.randrange(256)}.{i + 1}" for i in range(40)]
+    values += [f"+44 20 7946 {1000 + i}" for i in range(40)] + [f"{100 + i}-45-{6000 + i}" for i in range(40)]
+    filler = [f"word{rng.choice('abcdef')}" for _ in range(50)]
+    rows, held = [], []
+    for i in range(300):
+        picked = rng.choices(values, k=rng.randrange(4))
+        parts = [" ".join(rng.choices(filler, k=5)) for _ in range(len(picked) + 1)]
+        rows.append((i, " ; ".join(x for pair in zip(parts, [*picked, ""], strict=True) for x in pair if x)))
+        held.append((parts, picked))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit("own"))
+    out = replace_entities(docs, "k", count_col="n")
+    assert out.columns == ["doc_id", "text", "n"]  # the own column of that name gives way
+    drawn = {}
+    for r in out.collect():
+        parts, picked = held[r.doc_id]
+        fields = r.text.split(" ; ")
+        assert r.n == len(picked) and fields[::2] == parts
+        for value, new in zip(picked, fields[1::2], strict=True):
+            assert drawn.setdefault(value, new) == new
+    assert len(set(drawn.values())) == len(drawn) and not set(drawn.values()) & set(values)
+
+
 def test_piece_transducer(spark, odd_docs, no_docs):
     import sentencepiece
 
@@ -359,6 +498,28 @@ def test_token_counts(spark, odd_docs, no_docs):
     assert count_tokens(no_docs, path, scratch_path(spark, "t-none")).count() == 0
 
 
+def test_token_counts_of_normalised_content(spark, odd_docs):
+    """Contents that are equal once normalised are encoded once; special strings keep their texts apart; rows repeat."""
+    import tokenizers
+
+    from hourmill.llm import token_counts as tc
+
+    path, cache = tokenizer_path(WORDS), scratch_path(spark, "t-normal")
+    t = tokenizers.Tokenizer.from_file(path)
+    alike = ["An  Old caf\u00e9", "an old cafe\u0301", "AN\n\tOLD  CAF\u00c9"]
+    rows = [(i, x) for i, x in enumerate([*alike, "<|endoftext|> A", "<|endoftext|> a"])] + [(0, alike[0])] * 3
+    want = Counter((i, len(x.encode()), len(t.encode(x, add_special_tokens=False).ids), False) for i, x in rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert Counter(tuple(r) for r in tc.count_tokens(docs, path, cache).collect()) == want
+    assert tc.read_cache(spark, cache, tc.tokenizer_digest(path)).count() == 3
+    files = len(tc.read_cache(spark, cache, tc.tokenizer_digest(path)).inputFiles())
+    more = spark.createDataFrame([(9, "an old  CAF\u00c9")], "doc_id long, text string")
+    assert tc.count_tokens(more, path, cache).first().n_tokens == len(t.encode(alike[0], add_special_tokens=False).ids)
+    assert len(tc.read_cache(spark, cache, tc.tokenizer_digest(path)).inputFiles()) == files  # found, not encoded
+    want = Counter((i, len((x or "").encode()), n := len(t.encode(x or "", add_special_tokens=False).ids), n > 4096) for i, x in texts(odd_docs))
+    assert Counter(tuple(r) for r in tc.count_tokens(odd_docs, path, scratch_path(spark, "t-odd")).collect()) == want
+
+
 def test_cap_filters(spark):
     from hourmill.llm.cap_filters import near_vectors
 
