@@ -291,7 +291,7 @@ def remove_repeats(docs: DataFrame, spec: RepeatSpec | None = None, id_col: str
     places = signed.select("key", F.explode(F.arrays_zip("hs", "ps")).alias("x")).select(F.col("x.hs").alias("h"), "key", F.col("x.ps").alias("p"))
     again = write_scratch(places.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "repeat-again")
     places = id_prefilter(places, "h", again)
-    # Written, so that the join below sees plain shuffles, of which Spark can split a hot anchor's.
+    # Written, as the blocks are, so that their joins see plain shuffles, of which Spark can split a hot anchor's.
     hubs = write_scratch(places.groupBy("h").agg(F.min(F.struct("key", "p")).alias("hub")), "repeat-hubs")
     seeds = places.join(hubs, "h").filter("not (key = hub.key and p = hub.p)").select(
         "key", "p", F.col("hub.key").alias("hkey"), F.col("hub.p").alias("hp"), (F.col("p") - F.col("hub.p")).alias("diag")
@@ -310,6 +310,7 @@ def remove_repeats(docs: DataFrame, spec: RepeatSpec | None = None, id_col: str
     found = id_prefilter(texts.select("key", "text"), "key", asked.select(F.col("hkey").alias("key")))
     found = found.join(asked.withColumnRenamed("hkey", "key"), "key").select("key", "text", "js")
     blocks = found.mapInArrow(_block_cutter(spec), "hkey binary, j int, words string").groupBy("hkey", "j").agg(F.min("words").alias("words"))
+    blocks = write_scratch(blocks, "repeat-blocks")
     shipped = pieces.join(blocks, ["hkey", "j"])
     got = shipped.groupBy("key").agg(F.collect_list(F.struct("hkey", "diag", "j", "ps", "words")).alias("got"))
     wanted = id_prefilter(texts.select("key", "text"), "key", pieces.select("key"))
