@@ -113,7 +113,7 @@ def summed_array(rows: DataFrame, size: int, kind: str, total_kind: str) -> np.n
     Each chunk is added up in one task, row by row as rows come.
     """
     out = np.zeros(max(size, CHUNK), total_kind)
-    for r in rows.repartition("chunk").mapInArrow(_add_chunks(kind, total_kind), CHUNKS).toLocalIterator():
+    for r in rows.repartition("chunk").mapInArrow(_add_chunks(kind, total_kind), CHUNKS).collect():
         out[r["chunk"] : r["chunk"] + CHUNK] = np.frombuffer(r["counts"], total_kind)
     return out[:size]
 

@@ -1,0 +1,111 @@
+"""The learnt operators against plain computations of the same rule."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+
+from hourmill.llm.quality_rules import STOP_WORDS
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_statistics(text):
+    """The twelve numbers of a text, word by word."""
+    raw = (text or "").encode()
+    words = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    if not words:
+        return [0.0] * 12
+    low = [re.sub(rb"[A-Z]", lambda m: m[0].lower(), w) for w in words]
+    n, size = len(words), len(raw)
+    of = lambda chars: sum(raw.count(bytes([c])) for c in chars)
+    plain = [w for w in words if re.fullmatch(rb"[a-zA-Z\x80-\xff.,;:!?\"'()-]+", w) and re.search(rb"[a-zA-Z\x80-\xff]", w)]
+    counts = Counter(low)
+    return [
+        np.log1p(n), sum(map(len, words)) / n, of(range(65, 91)) / size, of(b"#*$%&|<>{}[]=~^\\_@") / n, of(range(48, 58)) / size,
+        of(b".,;:!?\"'()-") / n, len(plain) / n, sum(w.decode(errors="replace") in STOP_WORDS for w in low) / n, len(counts) / n,
+        max(counts.values()) / n, sum(a == b for a, b in zip(low, low[1:], strict=False)) / n, np.log1p(n / (1 + raw.count(b"\n"))),
+    ]
+
+
+def test_text_statistics_word_by_word(spark, odd_docs):
+    from hourmill.llm.quality_classifier import text_statistics
+
+    texts = [r.text for r in odd_docs.select("text").collect()] + [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    assert np.allclose(text_statistics(pa.array(texts, pa.string())), [plain_statistics(t) for t in texts])
+
+
+def test_classifier_by_a_direct_solution(spark):
+    """Weights by least squares over all rows at once, levels by the min-max formula of isotonic regression."""
+    from hourmill.llm.quality_classifier import ClassifierSpec, fit, score_documents, statistics_table
+
+    spec = ClassifierSpec(features=40)
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = fit(statistics_table(docs), labels, spec)
+    text = {r.doc_id: r.text for r in docs.collect()}
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    rows = [(plain_statistics(text[r.doc_id]), r.quality, fold(r.doc_id)) for r in labels.collect() if fold(r.doc_id) and r.quality in (0, 1)]
+    x, y, folds = (np.array(c, float) for c in zip(*rows, strict=True))
+    assert np.allclose(model.fourier.mean, x.mean(axis=0)) and np.allclose(1 / model.fourier.scale, np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1))
+    seen = folds != spec.calibration_fold
+    phi = model.fourier(x[seen])
+    ridge = np.sqrt(spec.ridge * len(phi)) * np.eye(phi.shape[1])
+    direct = np.linalg.lstsq(np.vstack([phi, ridge]), np.r_[y[seen], np.zeros(len(ridge))], rcond=None)[0]
+    assert np.allclose(model.weights, direct, atol=1e-6)
+
+    bins = np.round((np.clip(model.fourier(x[~seen]) @ direct, -0.5, 1.5) + 0.5) * spec.bins / 2).astype(int)
+    own = sorted(set(bins.tolist()))
+    n, k = (np.array([f[bins == b].sum() for b in own]) for f in (np.ones((~seen).sum()), y[~seen]))
+    level = [max(min(k[a : b + 1].sum() / n[a : b + 1].sum() for b in range(i, len(own))) for a in range(i + 1)) for i in range(len(own))]
+    at = np.array(own) * 2 / spec.bins - 0.5
+    assert np.allclose(np.interp(at, model.knots, model.levels), level)
+    got = {r.doc_id: r.score for r in score_documents(docs, labels, spec).collect()}
+    raw = model.fourier(np.array([plain_statistics(t) for t in text.values()])) @ direct
+    assert np.allclose([got[i] for i in text], np.clip(np.interp(raw, model.knots, model.levels), 0, 1), atol=1e-4)
+
+
+def plain_grams(text):
+    words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split(" ")
+    words = [w for w in words if w]
+    if not words:
+        return []
+    line = " " + " ".join(words) + " "
+    return [c for w in words for c in w] + [line[i : i + 2] for i in range(len(line) - 1)] + [line[i : i + 3] for i in range(len(line) - 2) if line[i + 1] != " "]
+
+
+def tie(gram):
+    """The operator's order of equally frequent n-grams: a fixed hash of their code points."""
+    from hourmill.llm.common import mix64
+
+    number = 0
+    for c in gram:
+        number = number << 21 | (0 if c == " " else ord(c))
+    return int(mix64(np.array([number | (1 << 62 if len(gram) == 2 else 0)], dtype=np.uint64)).view(np.int64)[0])
+
+
+def test_languages_by_plain_out_of_place_distance(spark):
+    from hourmill.llm.language_id import ProfileSpec, identify_languages
+
+    spec = ProfileSpec(length=150)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.select("doc_id", "text", "lang").collect()
+    counts = defaultdict(Counter)
+    for r in rows:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            counts[r.lang].update(plain_grams(r.text))
+    best = lambda c: sorted(c, key=lambda g: (-c[g], tie(g)))[: spec.length]
+    profile = {lang: {g: i for i, g in enumerate(best(c))} for lang, c in counts.items()}
+    got = {r.doc_id: (r.held_out, r.lang_pred, r.score) for r in identify_languages(docs, spec).collect()}
+    for r in rows:
+        own = best(Counter(plain_grams(r.text)))
+        held = zlib.crc32(str(r.doc_id).encode()) % 4 == 2
+        if not own:
+            assert got[r.doc_id] == (held, "und", 0.0)
+            continue
+        distance = sorted((sum(abs(p[g] - i) if g in p else spec.length for i, g in enumerate(own)), lang) for lang, p in profile.items())
+        assert got[r.doc_id][:2] == (held, distance[0][1])
+        (d, _), (second, _) = distance[:2]
+        near, lead = 1 - d / (spec.length * len(own)), (second - d) / max(second, 1)
+        assert abs(got[r.doc_id][2] - min(1, max(0, (near + lead) / 2))) < 1e-9
