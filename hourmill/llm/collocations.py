@@ -150,7 +150,7 @@ def _sketcher(sketches, length: int, bits: int, spec: PhraseSpec):
                 if n == length or length == 2:
                     at, c = np.unique(_slots(h, counters), return_counts=True)
                     counters[at] = np.minimum(counters[at] + c, 255).astype(np.uint8)
-        yield array_chunks(counters)
+        yield from array_chunks(counters)
 
     return count
 
@@ -187,7 +187,7 @@ def frequent_phrases(texts: DataFrame, spec: PhraseSpec) -> tuple[DataFrame, Dat
     """((lang, words, n, f) of all n-grams that occur ``least`` times, (lang, total) words of a language)."""
     spark = texts.sparkSession
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(spec.most_bits, max(16, (int(size) // 64).bit_length()))
+    bits = min(spec.most_bits, max(16, (int(size) // 32).bit_length()))
     sketches = []
     for length in range(2, spec.words + 1):
         counted = texts.mapInArrow(_sketcher(list(sketches), length, bits, spec), CHUNKS)

@@ -70,19 +70,22 @@ def id_prefilter(df: DataFrame, id_col: str, wanted: DataFrame, bits: int = 24)
 CHUNK = 1 << 16
 
 
-def array_chunks(counts: np.ndarray) -> pa.RecordBatch:
+def array_chunks(counts: np.ndarray, together: int = 64) -> Iterator[pa.RecordBatch]:
     """(chunk, slots, counts) rows of an array: what is not zero of each chunk; a chunk that is mostly filled goes whole, slots null."""
-    chunks, slots, values = [], [], []
-    for at in range(0, len(counts), CHUNK):
-        part = counts[at : at + CHUNK]
-        some = np.flatnonzero(part)
-        if not len(some):
-            continue
-        whole = len(some) * (2 + counts.itemsize) >= len(part) * counts.itemsize
-        chunks.append(at)
-        slots.append(None if whole else some.astype(np.uint16).tobytes())
-        values.append((part if whole else part[some]).tobytes())
-    return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(slots, pa.binary()), pa.array(values, pa.binary())], names=["chunk", "slots", "counts"])
+    names = ["chunk", "slots", "counts"]
+    for group in range(0, len(counts), CHUNK * together):
+        chunks, slots, values = [], [], []
+        for at in range(group, min(len(counts), group + CHUNK * together), CHUNK):
+            part = counts[at : at + CHUNK]
+            some = np.flatnonzero(part)
+            if not len(some):
+                continue
+            whole = len(some) * (2 + counts.itemsize) >= len(part) * counts.itemsize
+            chunks.append(at)
+            slots.append(None if whole else some.astype(np.uint16).tobytes())
+            values.append((part if whole else part[some]).tobytes())
+        if chunks:
+            yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(slots, pa.binary()), pa.array(values, pa.binary())], names=names)
 
 
 CHUNKS = "chunk int, slots binary, counts binary"
