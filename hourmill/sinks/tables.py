@@ -286,7 +286,8 @@ def upsert_path(
             batch.unpersist()
 
     partition_by = list(partition_by)
-    schema = kept_schema(spark, path) or read_table(spark, path).schema
+    kept = kept_schema(spark, path)
+    schema = kept or read_table(spark, path).schema
     missing = [c for c in schema.fieldNames() if c not in batch.columns]
     if missing:
         raise ValueError(f"batch lacks table columns {missing}")
@@ -336,7 +337,8 @@ def upsert_path(
             staged = scratch_path(spark, "upsert")
             rows.write.parquet(staged)
             spark.read.schema(rows.schema).parquet(staged).write.mode("overwrite").parquet(path)
-        _keep_schema(spark, path, schema, partition_by)
+        if kept is None or write and not partition_by:  # never kept, or just overwritten
+            _keep_schema(spark, path, schema, partition_by)
     finally:
         batch.unpersist()
         if merged is not None:

@@ -22,7 +22,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,6 +138,10 @@ def landed_names(spark: SparkSession, base: str) -> list[str]:
     base = base.rstrip("/")
     if path_exists(spark, f"{base}/{MANIFEST}"):
         return child_names(spark, f"{base}/{MANIFEST}")
+    return _folder_names(spark, base)
+
+
+def _folder_names(spark: SparkSession, base: str) -> list[str]:
     prefix = f"{SNAPSHOT_COL}="
     return [n.removeprefix(prefix) for n in child_names(spark, base) if n.startswith(prefix)]
 
@@ -190,18 +193,12 @@ def land_snapshots(df: DataFrame, base: str, replace: bool = False) -> None:
     manifest after the documents are written.
     """
     spark, base = df.sparkSession, base.rstrip("/")
-    if not path_exists(spark, f"{base}/{MANIFEST}") and not replace:
-        older = landed_names(spark, base)  # of a landing without a manifest
-    else:
-        older = []
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # its names, then its documents
-    try:
-        names = [r[0] for r in df.select(SNAPSHOT_COL).distinct().collect() if r[0] is not None]  # days, not rows
-        writer = df.hint("rebalance", SNAPSHOT_COL).write.mode("overwrite").partitionBy(SNAPSHOT_COL)
-        if not replace:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        writer.json(base)
-    finally:
-        df.unpersist()
-    for name in {*names, *older}:
-        write_small_text(spark, f"{base}/{MANIFEST}/{name}", name + "\n")
+    writer = df.hint("rebalance", SNAPSHOT_COL).write.mode("overwrite").partitionBy(SNAPSHOT_COL)
+    if not replace:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.json(base)
+    # Folders are swapped in when the write commits, so all that are there now are whole.
+    known = child_names(spark, f"{base}/{MANIFEST}")
+    for name in _folder_names(spark, base):
+        if name not in known:
+            write_small_text(spark, f"{base}/{MANIFEST}/{name}", name + "\n")
