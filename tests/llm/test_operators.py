@@ -266,10 +266,9 @@ def test_bm25_by_its_formula():
 
 def test_packing_search_is_complete_for_rare_terms(spark):
     """Scores of lists within one block are those of all pairs; longer lists meet in part, never more than their share."""
-    from hourmill.llm.packing import PackSpec, neighbours
+    from hourmill.llm.packing import neighbours
 
     rng = random.Random(4)
-    spec = PackSpec(block=8, askers=4)
     postings = {(rng.randrange(30), r): rng.random() for r in range(60) for _ in range(3)}
     asked = {(rng.randrange(30), 1000 + w) for w in range(20) for _ in range(3)}
     rare = {t for t in range(30) if sum(k[0] == t for k in postings) <= 8 and sum(a[0] == t for a in asked) <= 4}
@@ -277,7 +276,7 @@ def test_packing_search_is_complete_for_rare_terms(spark):
     rows = [(t, r, w) for (t, r), w in postings.items() if t in rare]
     docs = spark.createDataFrame(rows + hot, "term int, row long, weight double")
     windows = spark.createDataFrame([a for a in asked if a[0] in rare] + [(99, w) for w in range(2000, 2050)], "term int, window long")
-    got = {(r.window, r.row): r.score for r in neighbours(windows, docs, spec).collect()}
+    got = {(r.window, r.row): r.score for r in neighbours(windows, docs, 8, 4).collect()}
     want = defaultdict(float)
     for t, w in asked:
         for u, r, x in rows:
@@ -307,7 +306,7 @@ def test_packing_brings_topics_together(spark):
         assert [a for a, *_ in spans] == [0, *np.cumsum([n for _, n, _ in spans])[:-1]] and sum(n for _, n, _ in spans) == spans[0][2]
 
 
-def test_copies_lie_side_by_side(spark):
+def test_a_seed_gets_its_copy(spark):
     """Pairs of copies, far apart in the table, among documents that share nothing rare."""
     from hourmill.llm.packing import PackSpec, pack_documents
 
@@ -315,10 +314,13 @@ def test_copies_lie_side_by_side(spark):
     text = [" ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(60)) for _ in range(300)]
     rows = [(i, text[i % 300]) for i in range(600)]
     got = pack_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), tokenizer_path(WORDS), PackSpec(length=1024)).collect()
-    placed = defaultdict(set)
+    windows = defaultdict(dict)
     for r in got:
-        placed[r.doc_id].add(r.sequence_id)
-    assert sum(bool(placed[i] & placed[i + 300]) for i in range(300)) > 200
+        if r.sequence_id < 1 << 62:  # filled by the search
+            windows[r.sequence_id][r.doc_id] = r.offset
+    seeds = {next(d for d, offset in w.items() if offset == 0): w for w in windows.values()}
+    alone = [s for s in seeds if (s + 300) % 600 not in seeds]
+    assert len(alone) > 20 and sum((s + 300) % 600 in seeds[s] for s in alone) >= 0.9 * len(alone)
 
 
 def test_language_id(spark, odd_docs, no_docs):
