@@ -17,7 +17,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hourmill.functions.names import pick, require, snake_columns, snake_name
 from hourmill.functions.timekeys import day_of, hash_key, snapshot_name, time_literal
