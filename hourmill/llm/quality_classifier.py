@@ -85,6 +85,7 @@ def text_statistics(column: pa.Array) -> np.ndarray:
         is_stop = np.isin(hashes, stop)
         same = np.zeros(len(hashes), dtype=bool)
         same[1:] = hashes[1:] == hashes[:-1]
+        same[first[:-1][np.diff(first) > 0]] = False  # the word before is another document's
         n_words = np.maximum(np.diff(first), 1)
         n_bytes = np.maximum(np.diff(offsets), 1)
         by_word = lambda flag, first=first: np.diff(np.concatenate([[0], np.cumsum(flag)])[first])
@@ -103,6 +104,7 @@ def text_statistics(column: pa.Array) -> np.ndarray:
             _, counts = np.unique(hashes[first[d] : first[d + 1]], return_counts=True)
             rows[d, 8] = len(counts) / n_words[d]
             rows[d, 9] = counts.max() / n_words[d]
+        rows[np.diff(first) == 0] = 0  # without a word
     return out
 
 
