@@ -6,7 +6,7 @@ needs no Python for the first; a text that holds one of its special strings,
 which are cut out before normalising, is digested raw. Documents are joined
 with the stored counts; of those without one, each distinct content is encoded
 once and appended to the cache, a Parquet folder partitioned by the tokenizer's
-digest. A later run, or another corpus with the same texts, finds them there.
+digest. Only texts that another row may share leave the task that reads them. A later run, or another corpus with the same texts, finds them there.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmill.llm.common import bounded_batches, id_prefilter, write_scratch
+from hourmill.llm.common import bounded_batches, id_outside, id_prefilter, write_scratch
 from hourmill.session import path_exists
 
 CACHE = "digest binary, n_tokens long"
@@ -105,6 +105,22 @@ def read_cache(spark: SparkSession, cache: str, version: str) -> DataFrame:
     return spark.read.schema(CACHE).parquet(path).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
+def unseen_texts(texts: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(digest, text) of each content without a stored count, once: those that stay where they are read, and those that travel.
+
+    ``found``: digest, first_id, n (rows), known (null without a stored count).
+    A content that no other row has needs no shuffle; a bitmap tells most of
+    them. Of the others the text of the first id is sent, once for all its rows.
+    """
+    others = found.filter("known or n > 1")
+    misses = found.filter("known is null")
+    first = F.xxhash64("digest", "doc_id").alias("_first")
+    rest = id_prefilter(texts, "digest", others).select("digest", "text", first)
+    rest = id_prefilter(rest, "_first", misses.select(F.xxhash64("digest", "first_id").alias("_first"))).select("digest", "text")
+    rest = rest.dropDuplicates(["digest"]).join(misses.select("digest"), "digest", "left_semi")
+    return id_outside(texts, "digest", others).select("digest", "text"), rest
+
+
 def count_tokens(
     docs: DataFrame, tokenizer: str, cache: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -126,18 +142,11 @@ def count_tokens(
         texts = texts.mapInArrow(_digester(tokenizer), "doc_id long, text string, digest binary")
     keys = write_scratch(texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest"), "text-digests")
     stored = read_cache(spark, cache, version)
-    misses = keys.groupBy("digest").agg(F.min("doc_id").alias("first_id")).join(stored, "digest", "left_anti")
-    misses = write_scratch(misses, "cache-misses")
-    if not misses.isEmpty():
-        m = misses.select(F.col("digest").alias("_digest"), F.col("first_id"))
-        # A row repeated with id and text is there once: the join has dealt rows by digest already.
-        wanted = (
-            id_prefilter(texts, "digest", misses)
-            .join(m, F.expr("digest = _digest and doc_id <=> first_id"), "left_semi")
-            .select("digest", "text")
-            .dropDuplicates(["digest"])
-        )
-        counted = wanted.mapInArrow(_counter(tokenizer), CACHE)
+    found = keys.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
+    found = write_scratch(found.join(stored.select("digest", F.lit(True).alias("known")), "digest", "left"), "distinct-digests")
+    if not found.filter("known is null").isEmpty():
+        alone, first = unseen_texts(texts, found)
+        counted = alone.unionByName(first).mapInArrow(_counter(tokenizer), CACHE)
         counted.write.mode("append").parquet(f"{cache}/tokenizer={version}")
     # Written, so that the join sees plain shuffles, of which Spark can split a frequent text's.
     known = write_scratch(read_cache(spark, cache, version), "known-counts")

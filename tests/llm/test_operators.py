@@ -522,6 +522,23 @@ def test_token_counts_of_normalised_content(spark, odd_docs):
     assert Counter(tuple(r) for r in tc.count_tokens(odd_docs, path, scratch_path(spark, "t-odd")).collect()) == want
 
 
+def test_only_texts_that_rows_share_travel(spark):
+    """Contents of one row are encoded where they are read; of others one text; none with a stored count."""
+    from hourmill.llm.token_counts import unseen_texts
+
+    rows = [(i, f"own {i}", f"o{i}") for i in range(500)] + [(900 + i, f"copy {i % 10}", f"c{i % 10}") for i in range(40)]
+    rows += [(None, "no id", "x"), (None, "no id", "x"), (7000, "stored", "s"), (7001, "stored", "s"), (7002, "stored too", "t")]
+    texts = spark.createDataFrame(rows, "doc_id long, text string, digest string").repartition(3)
+    found = spark.createDataFrame(
+        [(d, min((i for i, _, e in rows if e == d and i is not None), default=None), sum(r[2] == d for r in rows), d in "st" or None) for d in {r[2] for r in rows}],
+        "digest string, first_id long, n long, known boolean",
+    )
+    alone, rest = unseen_texts(texts, found)
+    alone, rest = Counter(tuple(r) for r in alone.collect()), Counter(tuple(r) for r in rest.collect())
+    assert alone + rest == Counter({(d, t) for _, t, d in rows if d not in "st"})  # each content once
+    assert len(rest) < 20 and {(f"c{i}", f"copy {i}") for i in range(10)} | {("x", "no id")} <= set(rest)
+
+
 def test_cap_filters(spark):
     from hourmill.llm.cap_filters import near_vectors
 
