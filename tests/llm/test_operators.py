@@ -287,6 +287,22 @@ def test_packing_search_is_complete_for_rare_terms(spark):
     assert len(met) == 50 and 0 < sum(met.values()) < 50 * 400 / 8
 
 
+def test_packing_search_goes_on_until_lists_are_read_whole(spark, monkeypatch):
+    """All documents share frequent terms: none stays without a window as long as one is open, however short the blocks."""
+    from hourmill.llm import packing
+
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(12)]
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(words, k=rng.randint(20, 90)))) for i in range(300)], "doc_id long, text string").repartition(3)
+    kept = []
+    streamed = packing._streamed
+    monkeypatch.setattr(packing, "_streamed", lambda left, spec: kept.append(left) or streamed(left, spec))
+    rows = packing.pack_documents(docs, tokenizer_path(WORDS), packing.PackSpec(length=1024, block=2, askers=1)).collect()
+    assert len(packed_whole(rows, 1024)) == 300
+    left = kept[0].collect()
+    assert not [r for r in left if r.mates == r.row] or not [r for r in left if r.mates != r.row]
+
+
 def test_packing_brings_topics_together(spark):
     from hourmill.llm.packing import PackSpec, pack_documents
 
