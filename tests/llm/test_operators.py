@@ -303,6 +303,47 @@ def test_packing_search_goes_on_until_lists_are_read_whole(spark, monkeypatch):
     assert not [r for r in left if r.mates == r.row] or not [r for r in left if r.mates != r.row]
 
 
+def test_packing_ends_in_few_rounds(spark, monkeypatch):
+    """What three rounds left of a small table is searched whole at once: a table of any size ends with such rounds."""
+    from hourmill.llm import packing
+
+    docs, rounds = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text"), []
+    claims = packing._claims
+    monkeypatch.setattr(packing, "_claims", lambda *a: rounds.append(a) or claims(*a))
+    before = {key: spark.conf.get(key) for key in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    rows = packing.pack_documents(docs, tokenizer_path(WORDS), packing.PackSpec(length=1024, first_terms=2, block=4, askers=1)).collect()
+    assert len(packed_whole(rows, 1024)) == docs.select("doc_id").distinct().count()
+    assert len(rounds) <= 6
+    assert before == {key: spark.conf.get(key) for key in before}
+
+
+def test_packing_settles_every_claim(spark):
+    """Best score first; a document that is not used up is claimed by full windows only."""
+    from hourmill.llm.packing import PLACED, PackSpec, _settler
+
+    rng = random.Random(8)
+    left, room = {r: rng.randint(1, 90) for r in range(40)}, {w: rng.randint(1, 99) for w in range(100, 125)}
+    claims = [(w, r, float(rng.randint(1, 9)), 1000 * r, left[r], room[w]) for w in room for r in left if rng.random() < 0.3]
+    rows = spark.createDataFrame(claims, "window long, row long, score double, at long, left long, room long").coalesce(1)
+    got = rows.mapInArrow(_settler(PackSpec(length=100)), PLACED).collect()
+    used, held, ends = Counter(), Counter(), {}
+    for p in sorted(got, key=lambda p: (p.window, p.offset)):
+        assert p.length > 0 and p.offset == ends.get(p.window, 100 - room[p.window])
+        ends[p.window] = p.offset + p.length
+        used[p.row] += p.length
+        held[p.window] += p.length
+    for r in left:
+        at = 1000 * r
+        for p in sorted((p for p in got if p.row == r), key=lambda p: p.at):
+            assert p.at == at
+            at += p.length
+    assert all(used[r] <= left[r] for r in left) and all(held[w] <= room[w] for w in room)
+    assert all(used[r] == left[r] or held[w] == room[w] for w, r, *_ in claims)
+    first = max(s for _, _, s, *_ in claims)
+    assert {(p.window, p.row) for p in got} & {(w, r) for w, r, s, *_ in claims if s == first}
+    assert rows.limit(0).mapInArrow(_settler(PackSpec()), PLACED).count() == 0
+
+
 def test_packing_brings_topics_together(spark):
     from hourmill.llm.packing import PackSpec, pack_documents
 
