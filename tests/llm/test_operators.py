@@ -287,6 +287,37 @@ def test_packing_search_is_complete_for_rare_terms(spark):
     assert len(met) == 50 and 0 < sum(met.values()) < 50 * 400 / 8
 
 
+def test_packing_lists_are_whole(spark):
+    """A window's list holds its best documents by all terms, however many documents and windows share them, across all blocks."""
+    from hourmill.llm import packing
+
+    rng = np.random.default_rng(9)
+    spec = packing.PackSpec(length=100, term_bits=14, block=7, askers=5)
+    docs = [rng.integers(0, 12, rng.integers(1, 90)) for _ in range(60)] + [np.arange(3, dtype=np.int64)] * 30  # copies; every pair of ids is frequent
+    owner, terms, _ = packing.document_terms(docs, spec.term_bits)
+    stats = packing.CorpusStats(len(docs), float(np.mean([len(d) for d in docs])), np.bincount(terms, minlength=1 << spec.term_bits).astype(np.int32))
+    seeds, others = list(range(0, 60, 4)), [i for i in range(len(docs)) if i % 4 or i >= 60]
+    room = {1000 + i: 100 - len(docs[i]) for i in seeds}
+    weights = [dict(zip(t.tolist(), w.tolist(), strict=True)) for _, t, w in packing.ranked_terms(docs, stats, spec, 0, 10**6)]
+    score = {(1000 + i, d): sum(weights[d][t] for t in weights[i].keys() & weights[d].keys()) for i in seeds for d in others}
+    schema = "number long, at long, value long, ids binary"
+    held = spark.createDataFrame([(d, 0, len(docs[d]), packing._packed(docs[d])) for d in others], schema).repartition(4)
+    asking = spark.createDataFrame([(1000 + i, 0, room[1000 + i], packing._packed(docs[i])) for i in seeds], schema).repartition(3)
+    share = spark.sparkContext.broadcast(stats)
+    for depth in (1, 3, 10**6):
+        lists = defaultdict(dict)
+        for r in packing._claims(held, asking, len(others), len(seeds), share, spec, depth).collect():
+            assert (r.at, r.left, r.room) == (0, len(docs[r.row]), room[r.window]) and r.score == pytest.approx(score[r.window, r.row], rel=1e-4)
+            lists[r.window][r.row] = r.score
+        for w in room:
+            able = {d for d in others if score[w, d] > 0}
+            assert lists[w].keys() <= able
+            if missing := able - lists[w].keys():
+                assert sum(len(docs[d]) for d in lists[w]) >= depth * room[w]
+                assert min(lists[w].values()) >= max(score[w, d] for d in missing) * (1 - 1e-4)
+        assert depth < 10**6 or {w: set(x) for w, x in lists.items()} == {w: {d for d in others if score[w, d] > 0} for w in room}
+
+
 def test_packing_search_goes_on_until_lists_are_read_whole(spark, monkeypatch):
     """All documents share frequent terms: none stays without a window as long as one is open, however short the blocks."""
     from hourmill.llm import packing
