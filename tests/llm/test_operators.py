@@ -661,6 +661,27 @@ def test_cap_filters(spark):
     assert near_vectors(df.limit(0)).count() == 0
 
 
+def test_cap_filters_leave_little_on_disk(spark):
+    """Filters and pairs go once they were used; vectors of floats are written as such, with the results of doubles."""
+    from hourmill.llm.cap_filters import near_vectors
+    from hourmill.session import child_names, shared_root
+
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(40, 64)).astype(np.float32)
+    vectors = np.concatenate([base, base + np.float32(0.04) * rng.normal(size=base.shape).astype(np.float32), base[:5]])
+    rows = [(i, [float(x) for x in v], i % 2) for i, v in enumerate(vectors)]
+    folder = f"{shared_root(spark)}/hourmill"
+    got = []
+    for kind in ("float", "double"):
+        df, before = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label int"), set(child_names(spark, folder))
+        got.append(sorted(map(tuple, near_vectors(df).collect())))
+        left = set(child_names(spark, folder)) - before
+        assert not [x for x in left if x.startswith(("caps-", "vector-pairs-"))]
+        (classes,) = [x for x in left if x.startswith("vector-classes-")]
+        assert dict(spark.read.parquet(f"{folder}/{classes}").dtypes)["v"] == f"array<{kind}>"
+    assert got[0] == got[1] and sum(r[1] for r in got[0]) >= 80
+
+
 def test_pipeline_by_brute_force(spark):
     """Every stage's decisions take effect on all its predecessor kept."""
     import corpus_pipeline as p
